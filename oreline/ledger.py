@@ -92,13 +92,13 @@ class Ledger:
         self.path = path
 
     def events(self) -> DataFrame:
-        return read_if_present(self.spark, self.path, SCHEMA)
+        return read_if_present(self.spark, self.path, SCHEMA).select(*SCHEMA.names)
 
     def append(self, run: Run) -> None:
+        """Each event has a folder of its own, so that runs may write side by side."""
         row = tuple(asdict(run)[name] for name in SCHEMA.names)
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        event = self.spark.createDataFrame([row], SCHEMA).drop("run_id", "seq")
+        event.coalesce(1).write.parquet(f"{self.path}/run_id={run.run_id}/seq={run.seq}")
 
     @contextmanager
     def run(

@@ -14,7 +14,6 @@ from oreline.contract import Contract, ContractError
 from oreline.functions.text import parse_text
 
 RAW = "_raw"
-CAST_FAILURES = "_cast_failures"
 
 
 def rename_bulk(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
@@ -46,8 +45,8 @@ def normalize_values(
 def contract_cast(df: DataFrame, contract: Contract, keep_raw: bool = False) -> DataFrame:
     """Type the contract's columns by name, in one projection.
 
-    Extra columns pass through.  With ``keep_raw`` the untyped values stay in a
-    struct, next to the names of the columns whose text did not parse.
+    Extra columns pass through.  With ``keep_raw`` the untyped values stay beside
+    them, in a struct.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     missing = [c.name for c in contract.columns if c.name not in types]
@@ -68,16 +67,13 @@ def contract_cast(df: DataFrame, contract: Contract, keep_raw: bool = False) ->
     if not keep_raw:
         return df.select(*[typed[c].alias(c) for c in names], *extras)
 
-    # Two projections, so that each value is parsed once and then tested.
     raw = F.struct(*[F.col(c).cast("string").alias(c) for c in names])
-    parsed = df.select(*[typed[c].alias(c) for c in names], *extras, raw.alias(RAW))
-    failed = [
-        F.when(F.col(f"{RAW}.`{c.name}`").isNotNull() & F.col(c.name).isNull(), c.name)
-        for c in contract.columns
-        if not isinstance(c.data_type, T.StringType)
-    ]
-    failures = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    return parsed.withColumn(CAST_FAILURES, failures)
+    return df.select(*[typed[c].alias(c) for c in names], *extras, raw.alias(RAW))
+
+
+def cast_failed(column: str) -> Column:
+    """The text held something, but nothing the column's type can hold."""
+    return F.col(f"{RAW}.`{column}`").isNotNull() & F.col(column).isNull()
 
 
 def partition_literals(df: DataFrame, execution_date: date) -> DataFrame:

@@ -17,10 +17,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreline.contract import Contract
 from oreline.functions.literals import instant
-from oreline.operators.clean import CAST_FAILURES
+from oreline.operators.clean import cast_failed
 
 OUTCOME = "_outcome"
 REASONS = "_reasons"
@@ -73,7 +74,8 @@ def row_rules(
                 rules[f"not_null:{c.name}"] = F.col(c.name).isNotNull()
         if with_cast_failures:
             for c in contract.columns:
-                rules[f"cast_failed:{c.name}"] = ~F.array_contains(CAST_FAILURES, c.name)
+                if not isinstance(c.data_type, T.StringType):
+                    rules[f"cast_failed:{c.name}"] = ~cast_failed(c.name)
     for c in contract.columns:
         if c.valid_values:
             test = F.col(c.name).isin(*c.valid_values)
@@ -102,12 +104,14 @@ def flag_rows(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     tested = df.withColumn("_held", held)
     passes = [F.col("_held")[i] for i in range(len(names))]
     flag = reduce(Column.__and__, passes, F.lit(True))
+    verdicts = F.create_map(F.lit(True), F.lit(VALID), F.lit(False), F.lit(REJECTED))
     reasons = [
         F.when(~p, F.lit(n)).when(p.isNull(), F.lit(f"{n}?")) for n, p in zip(names, passes)
     ]
     return tested.withColumns(
         {
-            OUTCOME: F.when(flag, VALID).when(~flag, REJECTED).otherwise(INDETERMINATE),
+            # A lookup names the flag once; a CASE would repeat every rule.
+            OUTCOME: F.coalesce(F.try_element_at(verdicts, flag), F.lit(INDETERMINATE)),
             REASONS: (
                 F.array_compact(F.array(*reasons))
                 if reasons
@@ -157,9 +161,13 @@ def check_gate(metrics: RowMetrics, contract: Contract, allow_empty: bool = Fals
 
 
 def rule_breakdown(flagged: DataFrame) -> DataFrame:
-    """How many rows failed each rule; a row counts once per rule it failed."""
+    """How many rows failed each rule; a row counts once per rule it failed.
+
+    The outer explode keeps the optimizer from copying all rules into a filter.
+    """
     return (
-        flagged.select(F.explode(REASONS).alias("reason"))
+        flagged.select(F.explode_outer(REASONS).alias("reason"))
+        .where(F.col("reason").isNotNull())
         .groupBy("reason")
         .agg(F.count("*").alias("n_rows"))
     )

@@ -4,7 +4,8 @@ A configuration names its source, an optional watermark, the transforms, an
 optional custom handler, and the load steps of its target::
 
     {"process_type": ..., "source": {"source_name": ...},
-     "watermark": {"source_name", "apply_filter", "timestamp_column", "update_after_load"},
+     "watermark": {"source_name": ..., "apply_filter": ..., "timestamp_column": ...,
+                   "update_after_load": ..., "seed": ...},
      "transformations": [...], "custom_handler": ...,
      "target": {"gold_path": ..., "load": [{"step": "scd2", ...}]}}
 """
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from oreline.contract import Contract
 from oreline.functions.dates import date_key
 from oreline.functions.literals import instant
-from oreline.ledger import Run
+from oreline.ledger import WATERMARK_SEED, Run
 from oreline.operators.dimensions import (
     Scd2,
     insert_if_new,
@@ -56,6 +57,7 @@ from oreline.plans.lake import (
     read_versions,
 )
 from oreline.session import materialize
+from oreline.sources import writers  # noqa: F401  (registers the csv_report handler)
 
 
 class ConfigError(ValueError):
@@ -125,7 +127,7 @@ def _insert_new(load: Load, step: Mapping[str, Any]) -> None:
     start = load.last_key()
     fresh = insert_if_new(existing, load.staged, step["key"], step.get("surrogate"), start)
     path = f"{load.lake.table(step['table'])}/run_id={load.run.run_id}"
-    fresh.select(*schema.names).write.mode("append").parquet(path)
+    fresh.select(*schema.names).write.parquet(path)
     inserted = load.spark.read.schema(schema).parquet(path).count()
     load.run.rows_inserted += inserted
     load.run.last_key = start + inserted if step.get("surrogate") else 0
@@ -151,7 +153,7 @@ def _scd2(load: Load, step: Mapping[str, Any]) -> None:
     after = scd2_sweep(active, changes, spec).unionByName(scd2_inserts(changes, spec, start))
     path = f"{load.lake.table(step['table'])}/run_id={load.run.run_id}"
     # A snapshot of the active versions and, beside it, only what this run closed.
-    after.write.mode("append").partitionBy(spec.active).parquet(path)
+    after.write.partitionBy(spec.active).parquet(path)
     counts = committed_rows(load.lake, path, spec.active)
     load.run.rows_inserted += changed
     load.run.rows_updated += counts.get("false", 0)
@@ -205,8 +207,7 @@ def _fact(load: Load, step: Mapping[str, Any]) -> None:
             shaped.select(*columns),
             ["resolved", "month_key", step["date_key"], moment, surrogate],
         )
-        .write.mode("append")
-        .partitionBy("resolved", "month_key")
+        .write.partitionBy("resolved", "month_key")
         .parquet(path)
     )
     counts = committed_rows(load.lake, path, "resolved")
@@ -309,7 +310,10 @@ def gold_job(
     with lake.ledger.run(GOLD, process, execution_date, batch_id) as run:
         watermark = None
         if use_watermark and mark.get("apply_filter"):
-            watermark = lake.ledger.watermark(mark["source_name"])
+            seed = mark.get("seed")
+            watermark = lake.ledger.watermark(
+                mark["source_name"], datetime.fromisoformat(seed) if seed else WATERMARK_SEED
+            )
         ctx = TransformContext(
             execution_dt=datetime.combine(execution_date, time()),
             watermark=watermark - lateness if watermark else None,

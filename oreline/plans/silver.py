@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from oreline.contract import Contract
 from oreline.ledger import Run
 from oreline.operators.clean import (
-    CAST_FAILURES,
     RAW,
     contract_cast,
     normalize_values,
@@ -47,7 +46,7 @@ def judged_rows(
     typed = contract_cast(named, contract, keep_raw=True)
     dated = partition_literals(typed, execution_date)
     rules = row_rules(contract, as_of, null_policy, with_cast_failures=True)
-    return flag_rows(dated, rules).drop(CAST_FAILURES)
+    return flag_rows(dated, rules)
 
 
 def silver_job(
@@ -72,15 +71,15 @@ def silver_job(
         if raw is None:
             raw = read_source(spark, contract, day_folder(lake.bronze(source), execution_date))
         judged = judged_rows(raw, contract, execution_date, as_of, null_policy)
+        path = f"{lake.silver(source)}/run_id={run.run_id}"
         evidence = F.when(F.col(OUTCOME) != VALID, F.col(RAW))
         (
-            judged.withColumns({RAW: evidence, "run_id": F.lit(run.run_id)})
+            judged.withColumn(RAW, evidence)
             .withColumnRenamed(OUTCOME, "outcome")
-            .write.mode("append")
-            .partitionBy("run_id", "outcome", *contract.partition_keys)
-            .parquet(lake.silver(source))
+            .write.partitionBy("outcome", *contract.partition_keys)
+            .parquet(path)
         )
-        counts = committed_rows(lake, f"{lake.silver(source)}/run_id={run.run_id}", "outcome")
+        counts = committed_rows(lake, path, "outcome")
         metrics = RowMetrics(
             rows_read=sum(counts.values()),
             rows_valid=counts.get(VALID, 0),

@@ -1 +1,195 @@
-"""Placeholder."""
+"""Whole jobs on a fresh lake: CSV in, committed tables out."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from oreline.operators.dimensions import date_dimension
+from oreline.plans.daily import daily_load
+from oreline.plans.gold import gold_job, insert_schema, read_fact, scd2_schema
+from oreline.plans.lake import (
+    Lake,
+    read_appended,
+    read_rejects,
+    read_silver,
+    read_versions,
+)
+from oreline.plans.silver import silver_job
+from oreline.session import scratch_path
+from oreline.sources.writers import land_raw
+from oreline.suite.model import (
+    AS_OF,
+    CONTRACT,
+    CUSTOMER,
+    CUSTOMER_ATTRIBUTES,
+    CUSTOMER_KEYS,
+    DATE_PROCESS,
+    DIMENSIONS,
+    FACT_PROCESS,
+    FACTS,
+)
+from oreline.suite.quality import STRICT_SQL, STRICT_TYPED_SQL, with_outcomes
+from oreline.suite.registry import query
+from oreline.suite.transforms import parts_sql
+from oreline.suite.views import RAW_SQL, TX_SQL, raw_tx
+
+FIRST_DAY, SECOND_DAY = date(2024, 1, 1), date(2024, 1, 2)
+TYPED_COLUMNS = CONTRACT.schema.names
+
+
+def as_delivered(raw: DataFrame) -> DataFrame:
+    """The raw rows under the headers of the source's files."""
+    return raw.withColumnsRenamed({c: r for r, c in CONTRACT.column_renames.items()})
+
+
+def fresh_lake(spark: SparkSession) -> Lake:
+    return Lake(spark, scratch_path(spark, "lake"))
+
+
+def _loaded_silver(spark: SparkSession, sf_dir: str):
+    lake = fresh_lake(spark)
+    land_raw(as_delivered(raw_tx(spark, sf_dir)), lake.bronze("transactions"), FIRST_DAY)
+    return lake, silver_job(spark, lake, CONTRACT, FIRST_DAY, as_of=AS_OF)
+
+
+@query(
+    "silver_job",
+    with_outcomes(
+        f"SELECT {', '.join(TYPED_COLUMNS)}, '2024' AS year, '01' AS month, '01' AS day"
+        " FROM outcomes WHERE outcome = 'valid'"
+    ),
+)
+def _silver(spark, sf_dir):
+    lake, _ = _loaded_silver(spark, sf_dir)
+    rows = read_silver(lake, CONTRACT, FIRST_DAY)
+    dated = {c: F.lpad(F.col(c).cast("string"), n, "0") for c, n in
+             (("year", 4), ("month", 2), ("day", 2))}
+    return rows.withColumns(dated)
+
+
+@query(
+    "silver_rejects",
+    with_outcomes(
+        """
+SELECT raw_id_number AS id_number, account_no, raw_amount AS amount, raw_birth_date AS birth_date,
+       city, reasons
+FROM outcomes WHERE outcome = 'rejected'
+"""
+    ),
+)
+def _silver_rejects(spark, sf_dir):
+    lake, run = _loaded_silver(spark, sf_dir)
+    rejects = read_rejects(lake, CONTRACT, run.run_id)
+    return rejects.select(
+        "id_number", "account_no", "amount", "birth_date", "city",
+        F.concat_ws(",", "reasons").alias("reasons"),
+    )
+
+
+@query(
+    "gold_job",
+    with_outcomes(
+        f"""
+, days AS (SELECT DISTINCT CAST(event_ts AS date) AS date FROM outcomes WHERE outcome = 'valid')
+SELECT CAST(strftime(date, '%Y%m%d') AS integer) AS sk_date, date, {parts_sql('date')} FROM days
+"""
+    ),
+)
+def _gold(spark, sf_dir):
+    lake, _ = _loaded_silver(spark, sf_dir)
+    gold_job(spark, lake, DATE_PROCESS, CONTRACT, FIRST_DAY)
+    schema = date_dimension(read_silver(lake, CONTRACT, FIRST_DAY), "event_ts").schema
+    return read_appended(lake, "dim_date", "dim_date", insert_schema(schema, {}))
+
+
+# Two deliveries.  In the second one every fifth customer has moved.
+SPLIT_AT = "1999-01-01 00:00:00"
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    raw = raw_tx(spark, sf_dir)
+    first = F.col("event_ts") < SPLIT_AT
+    moved = F.when(F.col("id_number").cast("bigint") % 5 == 0, F.lit("MOVED TOWN"))
+    later = raw.where(~first).withColumn("city", F.coalesce(moved, F.col("city")))
+    return [as_delivered(raw.where(first)), as_delivered(later)]
+
+
+DELIVERED_SQL = f"""
+WITH tx AS ({TX_SQL}), delivered AS ({RAW_SQL}), raw AS (
+  SELECT * REPLACE (
+    CASE WHEN event_ts >= '{SPLIT_AT}' AND CAST(id_number AS bigint) % 5 = 0
+         THEN 'MOVED TOWN' ELSE city END AS city)
+  FROM delivered
+), typed AS ({STRICT_TYPED_SQL}) {STRICT_SQL}, loaded AS (
+  SELECT *, CASE WHEN event_ts < TIMESTAMP '{SPLIT_AT}' THEN TIMESTAMP '2024-01-01'
+                 ELSE TIMESTAMP '2024-01-02' END AS batch
+  FROM outcomes WHERE outcome = 'valid'
+), states AS (
+  SELECT DISTINCT id_type, id_number, full_name, city, CAST(birth_date AS date) AS birth_date,
+         risk_flag, risk_amount, overdue_days, batch
+  FROM loaded
+), opened AS (
+  SELECT * FROM (
+    SELECT *, lag(city) OVER (PARTITION BY id_type, id_number ORDER BY batch) AS before FROM states)
+  WHERE before IS NULL OR before <> city
+), versions AS (
+  SELECT row_number() OVER (ORDER BY batch, id_type, id_number) AS sk_customer,
+         id_type, id_number, full_name, city, birth_date, risk_flag, risk_amount, overdue_days,
+         batch AS valid_from,
+         lead(batch) OVER (PARTITION BY id_type, id_number ORDER BY batch) - INTERVAL 1 SECOND AS valid_to,
+         lead(batch) OVER (PARTITION BY id_type, id_number ORDER BY batch) IS NULL AS is_active
+  FROM opened
+)
+"""
+
+FACT_SQL = DELIVERED_SQL + """
+, products AS (
+  SELECT row_number() OVER (ORDER BY batch, product_type) AS sk_product, product_type
+  FROM (SELECT product_type, min(batch) AS batch FROM loaded GROUP BY product_type)
+)
+SELECT v.sk_customer, p.sk_product, CAST(strftime(l.event_ts, '%Y%m%d') AS integer) AS sk_date,
+       l.account_no, l.tx_type, l.amount, l.event_ts,
+       CAST(extract(year FROM l.event_ts) * 100 + extract(month FROM l.event_ts) AS integer) AS month_key
+FROM loaded l JOIN products p USING (product_type)
+JOIN versions v ON v.id_type = l.id_type AND v.id_number = l.id_number
+ AND l.batch >= v.valid_from AND (v.valid_to IS NULL OR l.batch < v.valid_to)
+"""
+
+
+def loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Both deliveries, each through the whole daily load."""
+    lake = fresh_lake(spark)
+    for day, raw in zip((FIRST_DAY, SECOND_DAY), deliveries(spark, sf_dir)):
+        land_raw(raw, lake.bronze("transactions"), day)
+        daily_load(spark, lake, CONTRACT, DIMENSIONS, FACTS, day, as_of=AS_OF)
+    return lake
+
+
+def facts_of(lake: Lake) -> DataFrame:
+    rows = read_fact(lake, FACT_PROCESS, CONTRACT.schema)
+    return rows.drop("sk_transaction")
+
+
+def customer_versions(lake: Lake) -> DataFrame:
+    types = {f.name: f.dataType for f in CONTRACT.schema.fields}
+    types |= {"birth_date": T.DateType(), "row_hash": T.StringType()}
+    types |= {"valid_from": T.TimestampNTZType()}
+    staged = T.StructType([T.StructField(c, types[c], True) for c in CUSTOMER.staged_columns])
+    versions = read_versions(lake, "dim_customer", "dim_customer", scd2_schema(staged, CUSTOMER))
+    return versions.select(
+        "sk_customer", *CUSTOMER_KEYS, *CUSTOMER_ATTRIBUTES, "valid_from", "valid_to", "is_active"
+    )
+
+
+@query("daily_load_facts", FACT_SQL)
+def _daily_facts(spark, sf_dir):
+    return facts_of(loaded_lake(spark, sf_dir))
+
+
+@query("daily_load_customers", DELIVERED_SQL + "SELECT * FROM versions")
+def _daily_customers(spark, sf_dir):
+    return customer_versions(loaded_lake(spark, sf_dir))
