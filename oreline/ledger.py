@@ -14,10 +14,11 @@ from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreline.functions.literals import instant
 from oreline.sources.readers import read_if_present
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
@@ -58,6 +59,10 @@ class WatermarkMissing(LookupError):
     """No load has set a watermark for the source, and no seed was given."""
 
 
+def _literal(value: object) -> Column:
+    return instant(value) if isinstance(value, datetime) else F.lit(value)
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -96,9 +101,15 @@ class Ledger:
 
     def append(self, run: Run) -> None:
         """Each event has a folder of its own, so that runs may write side by side."""
-        row = tuple(asdict(run)[name] for name in SCHEMA.names)
-        event = self.spark.createDataFrame([row], SCHEMA).drop("run_id", "seq")
-        event.coalesce(1).write.parquet(f"{self.path}/run_id={run.run_id}/seq={run.seq}")
+        values = asdict(run)
+        event = self.spark.range(1, numPartitions=1).select(
+            *[
+                _literal(values[f.name]).cast(f.dataType).alias(f.name)
+                for f in SCHEMA.fields
+                if f.name not in ("run_id", "seq")
+            ]
+        )
+        event.write.parquet(f"{self.path}/run_id={run.run_id}/seq={run.seq}")
 
     @contextmanager
     def run(
@@ -203,12 +214,11 @@ def seeded_watermarks(
     sources: DataFrame, events: DataFrame, seed: datetime = WATERMARK_SEED
 ) -> DataFrame:
     """Every source with its high-water mark, the seed where it has none."""
-    seed_value = F.lit(seed.isoformat(sep=" ")).cast("timestamp_ntz")
     return sources.join(
         watermark_state(events).select("watermark_source", "last_processed_ts"),
         F.col("source_name") == F.col("watermark_source"),
         "left",
     ).select(
         "source_name",
-        F.coalesce("last_processed_ts", seed_value).alias("last_processed_ts"),
+        F.coalesce("last_processed_ts", instant(seed)).alias("last_processed_ts"),
     )

@@ -157,7 +157,7 @@ def _metrics(spark, sf_dir):
     "q_gate",
     with_outcomes(
         f"""
-SELECT *, rows_valid / rows_read AS valid_rate, rows_valid / rows_read >= 0.6 AS gate_passed
+SELECT *, rows_valid / rows_read AS valid_rate, rows_valid / rows_read >= 0.1 AS gate_passed
 FROM ({_METRICS_SQL})
 """
     ),
