@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from oreline.session import as_nullable, scratch_path
 
-_TASK_NUMBER = r"part-(\d+)"
-_FILE_NUMBER = r"-c(\d+)"
+# The task and file numbers in the name Spark gives a file.
+_TASK_NUMBER = r"part-(\d+)-[^/]*$"
+_FILE_NUMBER = r"-c(\d+)[^/]*$"
 
 
 def keys_by_position(source: DataFrame, key: str, start: int = 0) -> DataFrame:
@@ -27,7 +28,7 @@ def keys_by_position(source: DataFrame, key: str, start: int = 0) -> DataFrame:
     """
     placed = source.select(
         "*",
-        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_index"),
     )
     per_file = placed.groupBy("_file").agg(F.count("*").alias("_n"))

@@ -204,8 +204,7 @@ def _fact(load: Load, step: Mapping[str, Any]) -> None:
     path = f"{load.lake.table(step['table'])}/run_id={load.run.run_id}"
     (
         sorted_layout(
-            shaped.select(*columns),
-            ["resolved", "month_key", step["date_key"], moment, surrogate],
+            shaped.select(*columns), ["resolved", "month_key"], [step["date_key"], moment]
         )
         .write.partitionBy("resolved", "month_key")
         .parquet(path)
@@ -330,17 +329,17 @@ def gold_job(
         path = lake.gold(config["target"]["gold_path"], execution_date)
         staged.write.mode("overwrite").parquet(path)
         staged = spark.read.schema(staged.schema).parquet(path)
-        run.rows_valid = staged.count()
+        newest = F.max(mark["timestamp_column"]) if mark.get("update_after_load") else F.lit(None)
+        written = staged.agg(F.count("*").alias("n"), newest.alias("newest")).first()
+        run.rows_valid = written["n"]
 
         load = Load(spark, lake, run, process, staged, lateness, watermark)
         for step in config["target"].get("load", []):
             _load_steps[step["step"]][0](load, step)
 
-        if mark.get("update_after_load"):
-            newest = staged.agg(F.max(mark["timestamp_column"])).first()[0]
-            if newest is not None:
-                # A time in the future must not shut out the rows still to come.
-                newest = min(newest, as_of) if as_of else newest
-                run.watermark_source = mark["source_name"]
-                run.watermark_end = max(newest, watermark) if watermark else newest
+        if written["newest"] is not None:
+            # A time in the future must not shut out the rows still to come.
+            newest = min(written["newest"], as_of) if as_of else written["newest"]
+            run.watermark_source = mark["source_name"]
+            run.watermark_end = max(newest, watermark) if watermark else newest
     return run

@@ -16,6 +16,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # An extra exchange is cheaper than one task holding a hot key.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
     # A few open partition files per task spare the sort of a write by outcome.
     "spark.sql.maxConcurrentOutputFileWriters": "8",

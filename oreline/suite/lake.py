@@ -280,8 +280,9 @@ def _layout(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", F.year("l_shipdate").alias("ship_year")
     )
-    order = ["ship_year", "l_shipdate", "l_orderkey", "l_linenumber"]
-    sorted_layout(rows, order).write.partitionBy("ship_year").parquet(path)
+    sorted_layout(rows, ["ship_year"], ["l_shipdate", "l_orderkey"]).write.partitionBy(
+        "ship_year"
+    ).parquet(path)
     month = F.lit("1998-03-01").cast("timestamp_ntz"), F.lit("1998-04-01").cast("timestamp_ntz")
     return spark.read.parquet(path).where(
         (F.col("ship_year") == 1998)

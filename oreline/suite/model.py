@@ -221,8 +221,9 @@ def build_star(spark: SparkSession, source: DataFrame) -> Star:
         *FACT_MEASURES, (F.year(day) * 100 + F.month(day)).alias("month_key"),
     )
     path = scratch_path(spark, "fact")
-    order = ["month_key", "sk_date", "event_ts", "sk_transaction"]
-    sorted_layout(fact, order).write.partitionBy("month_key").parquet(path)
+    sorted_layout(fact, ["month_key"], ["sk_date", "event_ts"]).write.partitionBy(
+        "month_key"
+    ).parquet(path)
     schema = T.StructType(
         [f for f in fact.schema.fields if f.name != "month_key"] + [fact.schema["month_key"]]
     )

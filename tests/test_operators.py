@@ -17,6 +17,7 @@ from oreline.operators.joins import (
     skew_safe_join,
 )
 from oreline.operators.keys import dense_keys, keys_by_position
+from oreline.operators.layout import sorted_layout
 from oreline.operators.ranking import latest, top_k_by_rank
 from oreline.operators.transforms import (
     TransformContext,
@@ -228,3 +229,26 @@ def test_random_dedupe_against_brute_force(spark):
     assert rows(dedupe_latest(df, ["k"], ["t"])) == sorted(
         ((k, t, v) for k, (t, v) in best.items()), key=repr
     )
+
+
+def test_hot_folder_is_cut_and_its_files_are_sorted(spark, folder):
+    """A third of the rows share a month; no task may get them all."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        df = spark.range(0, 60000, 1, 24).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5).alias("month"),
+            F.xxhash64("id").alias("t"),
+        )
+        sorted_layout(df, ["month"], ["t"]).write.partitionBy("month").parquet(f"{folder}/t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    stored = spark.read.parquet(f"{folder}/t").select(
+        "month", "t", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i")
+    )
+    per_file = stored.where("month = 7").groupBy("f").count()
+    assert per_file.count() >= 3 and per_file.agg(F.max("count")).first()[0] < 15000
+    a, b = stored.alias("a"), stored.alias("b")
+    assert a.join(b, F.expr("a.month = b.month and a.f = b.f and a.i + 1 = b.i and a.t > b.t")).isEmpty()
+    assert stored.count() == 60000
