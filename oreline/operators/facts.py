@@ -19,11 +19,12 @@ def lookup_active(
     spread: str,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Key of the version that is active now, whatever the fact's time."""
     current = dimension.where(F.col(spec.active)).select(*spec.keys, spec.surrogate)
     return lookup_join(
-        facts, current, spec.keys, spread, how, broadcast_bytes=broadcast_bytes
+        facts, current, spec.keys, spread, how, None, broadcast_bytes, key_source
     )
 
 
@@ -35,6 +36,7 @@ def lookup_as_of(
     spread: str,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Key of the version that was valid at the fact's time.
 
@@ -50,7 +52,7 @@ def lookup_as_of(
     moment = facts[event_time]
     valid = (moment >= F.col("_from")) & (F.col("_until").isNull() | (moment < F.col("_until")))
     return lookup_join(
-        facts, versions, spec.keys, spread, how, valid, broadcast_bytes
+        facts, versions, spec.keys, spread, how, valid, broadcast_bytes, key_source
     ).drop("_from", "_until")
 
 
@@ -62,16 +64,11 @@ def lookup_key(
     spread: str,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Key of an unversioned dimension."""
-    return lookup_join(
-        facts,
-        dimension.select(*keys, surrogate),
-        keys,
-        spread,
-        how,
-        broadcast_bytes=broadcast_bytes,
-    )
+    known = dimension.select(*keys, surrogate)
+    return lookup_join(facts, known, keys, spread, how, None, broadcast_bytes, key_source)
 
 
 def resolved(surrogates: Sequence[str]) -> Column:

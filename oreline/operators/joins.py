@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreline.session import shuffle_partitions
+from oreline.session import materialize, shuffle_partitions
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -62,17 +62,21 @@ def skew_safe_join(
     spread: str,
     how: str = "inner",
     condition: Column | None = None,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffled equi-join that gives no task more than a few fair shares.
 
     ``spread`` is a column of ``large`` whose values are unique, so that even
     identical copies of a row land in different slices.  Lookup rows of a hot key
     are repeated once per slice; all other rows are joined as they are.  Rows with
-    a NULL key match nothing and are spread out too.
+    a NULL key match nothing and are spread out too.  ``key_source`` names a frame
+    whose keys are those of ``large`` but cheaper to count, such as a plain scan.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    hot = F.broadcast(hot_keys(large, keys))  # fewer than P / 2 rows
+    # Counted once: both sides of the join need the answer.
+    counted = materialize(hot_keys(key_source or large, keys), "hot-keys")
+    hot = F.broadcast(counted)  # fewer than P / 2 rows
     null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     slices = F.when(null_key, shuffle_partitions(large.sparkSession)).otherwise(
         F.coalesce(F.col("_slices"), F.lit(1))
@@ -104,10 +108,11 @@ def lookup_join(
     how: str = "inner",
     condition: Column | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Join by broadcast where the measured lookup side allows, else by slices."""
     if not fits_broadcast(lookup, broadcast_bytes):
-        return skew_safe_join(large, lookup, keys, spread, how, condition)
+        return skew_safe_join(large, lookup, keys, spread, how, condition, key_source)
     on = [large[k] == lookup[k] for k in keys]
     if condition is not None:
         on.append(condition)

@@ -16,22 +16,24 @@ def top_k_by_rank(df: DataFrame, score: str, k: int, rank: str = "rank") -> Data
     scores remain, and only those, with their row counts, are ranked in one task.
     """
     stored = materialize(df, "scored")
-    # NULL when fewer than k rows have a score: then every row ranks within k.
+    # One value; NULL when fewer than k rows have a score, as then all rank within k.
     floor = (
         stored.select(score)
         .orderBy(F.desc_nulls_last(score))
         .limit(k)
-        .agg(F.when(F.count(score) >= k, F.min(score)).alias("floor"))
-    ).scalar()
-    contenders = stored.where(floor.isNull() | (F.col(score) >= floor))
+        .agg(F.when(F.count(score) >= k, F.min(score)))
+        .first()[0]
+    )
+    contenders = stored if floor is None else stored.where(F.col(score) >= F.lit(floor))
+    best_first = Window.orderBy(F.desc_nulls_last("_score")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     ranks = (
         contenders.groupBy(F.col(score).alias("_score"))
         .agg(F.count("*").alias("_n"))
         .select(
             "_score",
-            (F.coalesce(F.sum("_n").over(Window.orderBy(F.desc_nulls_last("_score"))
-             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1)
-            .cast("bigint").alias(rank),
+            (F.coalesce(F.sum("_n").over(best_first), F.lit(0)) + 1).cast("bigint").alias(rank),
         )
     )
     return contenders.join(

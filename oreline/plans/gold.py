@@ -39,6 +39,7 @@ from oreline.operators.facts import (
     not_loaded_yet,
     resolved,
 )
+from oreline.operators.joins import BROADCAST_BYTES
 from oreline.operators.keys import keys_by_position
 from oreline.operators.layout import sorted_layout
 from oreline.operators.transforms import (
@@ -224,13 +225,20 @@ def _resolve(
 ) -> DataFrame:
     """Left lookup, so that a row without a match is kept as an orphan."""
     types = {f.name: f.dataType for f in facts.schema.fields}
+    # Hot keys are counted on the staged files, not behind the lookups before.
+    sizing = {
+        "key_source": load.staged,
+        "broadcast_bytes": lookup.get("broadcast_bytes", BROADCAST_BYTES),
+    }
     if not lookup.get("versioned"):
         fields = [T.StructField(lookup["surrogate"], T.LongType(), True)]
         fields += [T.StructField(k, types[k], True) for k in lookup["keys"]]
         dimension = read_appended(
             load.lake, lookup["table"], lookup["process"], T.StructType(fields)
         )
-        return lookup_key(facts, dimension, lookup["keys"], lookup["surrogate"], spread, "left")
+        return lookup_key(
+            facts, dimension, lookup["keys"], lookup["surrogate"], spread, "left", **sizing
+        )
     spec = Scd2(
         keys=tuple(lookup["keys"]),
         attributes=(),
@@ -246,9 +254,9 @@ def _resolve(
     )
     if lookup.get("as_of"):
         versions = read_versions(load.lake, lookup["table"], lookup["process"], schema)
-        return lookup_as_of(facts, versions, spec, moment, spread, "left")
+        return lookup_as_of(facts, versions, spec, moment, spread, "left", **sizing)
     active = read_active(load.lake, lookup["table"], lookup["process"], schema)
-    return lookup_active(facts, active, spec, spread, "left")
+    return lookup_active(facts, active, spec, spread, "left", **sizing)
 
 
 def read_fact(lake: Lake, config: Mapping[str, Any], staged: T.StructType) -> DataFrame:

@@ -5,7 +5,7 @@ from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
 from oreline.ledger import FAILED
 from oreline.operators.quality import QualityGateError
@@ -253,3 +253,23 @@ def test_insert_counts_match_the_table(spark, lake):
     day(spark, lake, [line("1", "a"), line("2", "b", product="CARD")], DAY)
     counts = {r["source_name"]: r["rows_inserted"] for r in lake.ledger.state().collect()}
     assert counts == {"transactions": 0, "dim_customer": 2, "dim_product": 2, "dim_date": 1, "fact_transactions": 2}
+
+
+def test_sliced_lookups_in_the_job(spark, lake):
+    """Dimensions too large to broadcast give the same facts."""
+    lines = [line("1", f"a{i}") for i in range(30)] + [line("2", "b"), line("3", "c", product="CARD")]
+    config = copy.deepcopy(FACT_PROCESS)
+    for lookup in config["target"]["load"][0]["lookups"]:
+        lookup["broadcast_bytes"] = -1
+    daily_load(spark, lake, CONTRACT, DIMENSIONS, [config], DAY, as_of=AS_OF, raw=raw(spark, lines))
+    other = Lake(spark, scratch_path(spark, "lake"))
+    day(spark, other, lines, DAY)
+    assert [f[:2] for f in facts(lake)] == [f[:2] for f in facts(other)]
+
+
+def test_fact_reads_prune_runs_and_months(spark, lake):
+    day(spark, lake, [line("1", "a")], DAY)
+    month = read_fact(lake, FACT_PROCESS, CONTRACT.schema).where("month_key = 199805").select("amount")
+    scan = next(x for x in plan(month).splitlines() if "FileScan parquet [amount" in x)
+    assert "month_key" in scan and "dynamicpruning" in scan and "resolved" in scan
+    assert "ReadSchema: struct<amount:decimal(18,2)>" in scan
