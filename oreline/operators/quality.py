@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from oreline.contract import Contract
 from oreline.functions.literals import instant
 from oreline.operators.clean import cast_failed
+from oreline.session import materialize
 
 OUTCOME = "_outcome"
 REASONS = "_reasons"
@@ -60,7 +61,8 @@ def row_rules(
         raise ValueError(f"null_policy must be one of {NULL_POLICIES}")
     strict = null_policy == "strict"
     quality = contract.quality_rules
-    now = instant(as_of) if as_of else F.current_timestamp().cast("timestamp_ntz")
+    utc_now = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+    now = instant(as_of) if as_of else utc_now
     rules: dict[str, Column] = {}
 
     def null_passes(column: str, test: Column) -> Column:
@@ -122,9 +124,10 @@ def flag_rows(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def split(flagged: DataFrame) -> dict[str, DataFrame]:
-    """One frame per outcome; write them, or materialize ``flagged`` first."""
+    """One frame per outcome.  The rows are judged once and written by outcome."""
+    judged = materialize(flagged, "judged", [OUTCOME])
     return {
-        outcome: flagged.where(F.col(OUTCOME) == outcome)
+        outcome: judged.where(F.col(OUTCOME) == outcome)
         for outcome in (VALID, REJECTED, INDETERMINATE)
     }
 

@@ -12,6 +12,7 @@ optional custom handler, and the load steps of its target::
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
@@ -106,7 +107,7 @@ def insert_schema(staged: T.StructType, step: Mapping[str, Any]) -> T.StructType
 
 
 def scd2_spec(step: Mapping[str, Any]) -> Scd2:
-    named = ("surrogate", "hash", "start", "end", "close", "same_date")
+    named = ("surrogate", "hash", "start", "end", "active", "close", "same_date")
     return Scd2(
         keys=tuple(step["keys"]),
         attributes=tuple(step["attributes"]),
@@ -144,7 +145,7 @@ def _scd2(load: Load, step: Mapping[str, Any]) -> None:
             f"{step['table']} holds {newest_date}; {load.run.execution_date} needs a rebuild"
         )
     schema = scd2_schema(load.staged.schema, spec)
-    active = read_active(load.lake, step["table"], load.process, schema)
+    active = read_active(load.lake, step["table"], load.process, schema, spec.active)
     changes = materialize(scd2_changes(active, load.staged, spec), "scd2-changes")
     changed = changes.count()
     start = load.last_key()
@@ -239,12 +240,7 @@ def _resolve(
         return lookup_key(
             facts, dimension, lookup["keys"], lookup["surrogate"], spread, "left", **sizing
         )
-    spec = Scd2(
-        keys=tuple(lookup["keys"]),
-        attributes=(),
-        surrogate=lookup["surrogate"],
-        close=lookup.get("close", "second"),
-    )
+    spec = scd2_spec({**lookup, "attributes": ()})
     ntz = T.TimestampNTZType()
     schema = T.StructType(
         [T.StructField(spec.surrogate, T.LongType(), True)]
@@ -253,9 +249,11 @@ def _resolve(
         + [T.StructField(spec.active, T.BooleanType(), True)]
     )
     if lookup.get("as_of"):
-        versions = read_versions(load.lake, lookup["table"], lookup["process"], schema)
+        versions = read_versions(
+            load.lake, lookup["table"], lookup["process"], schema, spec.active
+        )
         return lookup_as_of(facts, versions, spec, moment, spread, "left", **sizing)
-    active = read_active(load.lake, lookup["table"], lookup["process"], schema)
+    active = read_active(load.lake, lookup["table"], lookup["process"], schema, spec.active)
     return lookup_active(facts, active, spec, spread, "left", **sizing)
 
 
@@ -282,11 +280,18 @@ def read_orphans(lake: Lake, config: Mapping[str, Any], staged: T.StructType) ->
     return rows.where(~F.col("resolved")).drop("resolved")
 
 
+def load_process(spark: SparkSession, path: str) -> dict[str, Any]:
+    """Read a process configuration from anywhere Spark can read."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
 def check_config(config: Mapping[str, Any], ctx: TransformContext) -> None:
     for name in ("process_type", "source", "target"):
         if name not in config:
             raise ConfigError(f"process configuration lacks {name!r}")
     check_transforms(config.get("transformations", []), ctx)
+    if "sql_after_copy" in config["target"] and "load" not in config["target"]:
+        raise ConfigError("express sql_after_copy as load steps")
     for step in config["target"].get("load", []):
         if step.get("step") not in _load_steps:
             raise ConfigError(f"unknown load step {step.get('step')!r}")
@@ -306,6 +311,7 @@ def gold_job(
     use_watermark: bool = True,
     lateness: timedelta = timedelta(0),
     as_of: datetime | None = None,
+    options: Mapping[str, Any] | None = None,
 ) -> Run:
     """Run one Gold process for one day.
 
@@ -324,6 +330,7 @@ def gold_job(
         ctx = TransformContext(
             execution_dt=datetime.combine(execution_date, time()),
             watermark=watermark - lateness if watermark else None,
+            options=options or {},
         )
         check_config(config, ctx)
         run.watermark_start = watermark

@@ -113,7 +113,9 @@ def snapshot_run(lake: Lake, process: str) -> str | None:
     return row["run_id"] if row else None
 
 
-def read_active(lake: Lake, table: str, process: str, schema: T.StructType) -> DataFrame:
+def read_active(
+    lake: Lake, table: str, process: str, schema: T.StructType, active: str = "is_active"
+) -> DataFrame:
     """The active versions: one run's snapshot, found by partition values alone."""
     run_id = snapshot_run(lake, process)
     if run_id is None:
@@ -121,15 +123,17 @@ def read_active(lake: Lake, table: str, process: str, schema: T.StructType) -> D
     path = f"{lake.table(table)}/run_id={run_id}"
     return (
         read_if_present(lake.spark, path, as_nullable(schema))
-        .where(F.col("is_active"))
+        .where(F.col(active))
         .select(*schema.names)
     )
 
 
-def read_versions(lake: Lake, table: str, process: str, schema: T.StructType) -> DataFrame:
+def read_versions(
+    lake: Lake, table: str, process: str, schema: T.StructType, active: str = "is_active"
+) -> DataFrame:
     """All versions: the active snapshot and every committed closure."""
-    closed = read_appended(lake, table, process, schema).where(~F.col("is_active"))
-    return read_active(lake, table, process, schema).unionByName(closed)
+    closed = read_appended(lake, table, process, schema).where(~F.col(active))
+    return read_active(lake, table, process, schema, active).unionByName(closed)
 
 
 def committed_rows(lake: Lake, path: str, column: str) -> dict[str, int]:

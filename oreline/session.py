@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,6 +18,8 @@ DEFAULTS = {
     # An extra exchange is cheaper than one task holding a hot key.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Text shrinks to a fraction as Parquet; larger splits make files worth reading.
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
     # A few open partition files per task spare the sort of a write by outcome.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
@@ -62,17 +65,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
+def materialize(
+    df: DataFrame, label: str = "cut", partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Write ``df`` once and go on from the files.
 
     Used where a frame feeds several branches, or must not be recomputed: the
     written files outlive the executors that made them, and later reads prune
-    columns.
+    columns, and folders where ``partition_by`` made some.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(as_nullable(df.schema)).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(as_nullable(df.schema)).parquet(path).select(*df.columns)
 
 
 def as_nullable(schema: T.StructType) -> T.StructType:

@@ -157,14 +157,13 @@ def _metrics(spark, sf_dir):
     "q_gate",
     with_outcomes(
         f"""
-SELECT *, rows_valid / rows_read AS valid_rate, rows_valid / rows_read >= 0.1 AS gate_passed
+SELECT *, rows_valid / rows_read AS valid_rate, rows_valid / rows_read >= 0.6 AS gate_passed
 FROM ({_METRICS_SQL})
 """
     ),
 )
 def _gate(spark, sf_dir):
-    minimum = CONTRACT.quality_rules.min_valid_rate
-    return gate_frame(metrics_frame(strict_rows(spark, sf_dir)), minimum)
+    return gate_frame(metrics_frame(strict_rows(spark, sf_dir)), 0.6)
 
 
 @query(
