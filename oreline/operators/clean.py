@@ -14,6 +14,7 @@ from oreline.contract import Contract, ContractError
 from oreline.functions.text import parse_text
 
 RAW = "_raw"
+CASE_LIMIT = 100
 
 
 def rename_bulk(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
@@ -36,10 +37,22 @@ def normalized(column: str, spellings: Mapping[str, str]) -> Column:
 def normalize_values(
     df: DataFrame, normalizations: Mapping[str, Mapping[str, str]]
 ) -> DataFrame:
-    present = set(df.columns)
-    return df.withColumns(
-        {c: normalized(c, m) for c, m in normalizations.items() if c in present}
-    )
+    """Replace bad spellings, column by column.
+
+    A short list becomes a CASE.  A long one is joined as a table; it comes from the
+    contract, which the driver holds, so it is small enough to broadcast.
+    """
+    present = {c: m for c, m in normalizations.items() if c in df.columns and m}
+    short = {c: m for c, m in present.items() if len(m) <= CASE_LIMIT}
+    df = df.withColumns({c: normalized(c, m) for c, m in short.items()})
+    for c in present.keys() - short.keys():
+        pairs = df.sparkSession.createDataFrame(
+            list(present[c].items()), "_bad string, _good string"
+        )
+        df = df.join(F.broadcast(pairs), df[c] == pairs["_bad"], "left").select(
+            *[F.coalesce("_good", n).alias(n) if n == c else F.col(n) for n in df.columns]
+        )
+    return df
 
 
 def contract_cast(df: DataFrame, contract: Contract, keep_raw: bool = False) -> DataFrame:

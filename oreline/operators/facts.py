@@ -75,10 +75,19 @@ def resolved(surrogates: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(s).isNotNull() for s in surrogates])
 
 
-def not_loaded_yet(staged: DataFrame, loaded: DataFrame, key: Sequence[str]) -> DataFrame:
+def not_loaded_yet(
+    staged: DataFrame,
+    loaded: DataFrame,
+    key: Sequence[str],
+    spread: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Staged rows whose natural key the fact table does not hold.
 
     For loads that reread an overlap behind the watermark.  Pass ``loaded`` already
-    cut to that overlap, so only its partitions are read.
+    cut to that overlap, so only its partitions are read.  Copies of one key, however
+    many, are spread like those of any hot key.
     """
-    return staged.join(loaded.select(*key).distinct(), list(key), "left_anti")
+    held = loaded.select(*key).distinct().withColumn("_held", F.lit(True))
+    marked = lookup_join(staged, held, key, spread, "left", None, broadcast_bytes)
+    return marked.where(F.col("_held").isNull()).drop("_held")

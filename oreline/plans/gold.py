@@ -188,7 +188,7 @@ def _fact(load: Load, step: Mapping[str, Any]) -> None:
             .where(F.col("month_key") >= F.year(since) * 100 + F.month(since))
             .where(F.col(moment) > since)
         )
-        facts = not_loaded_yet(facts, loaded, step["key"])
+        facts = not_loaded_yet(facts, loaded, step["key"], surrogate)
     for lookup in step["lookups"]:
         facts = _resolve(load, facts, lookup, moment, surrogate)
     day = F.col(moment)

@@ -103,7 +103,18 @@ def _append(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
     loaded = rows.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     overlap = F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
-    fresh = not_loaded_yet(rows.where(overlap), loaded.where(overlap), ["user_id", "ts"])
+    fresh = not_loaded_yet(
+        rows.where(overlap), loaded.where(overlap), ["user_id", "ts"], "event_id"
+    )
+    return loaded.unionByName(fresh)
+
+
+@query("fact_append_sliced", "SELECT event_id, user_id, ts, event_type FROM events")
+def _append_sliced(spark, sf_dir):
+    """The same with an overlap too large to broadcast, and one hot key: the type."""
+    rows = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+    loaded = rows.where(F.col("event_type") != "error")
+    fresh = not_loaded_yet(rows, loaded, ["event_type"], "event_id", broadcast_bytes=-1)
     return loaded.unionByName(fresh)
 
 

@@ -37,11 +37,11 @@ def _csv(spark, sf_dir):
     return read_csv(spark, path, delimiter=";", headers=raw.columns)
 
 
-@query("csv_bom_header", "SELECT CAST(n_nationkey AS varchar) AS n_nationkey, n_name FROM nation")
+@query("csv_bom_header", "SELECT CAST(c_custkey AS varchar) AS c_custkey, c_name FROM customer")
 def _bom(spark, sf_dir):
     path = scratch_path(spark, "bom")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    marked = nations.withColumnRenamed("n_nationkey", f"{BOM}n_nationkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    marked = customers.withColumnRenamed("c_custkey", f"{BOM}c_custkey")
     marked.write.option("header", True).csv(path)
     return read_csv(spark, path, encoding="utf-8-sig")
 

@@ -153,3 +153,12 @@ def test_conform_goes_by_name(spark):
     assert rows(conform(df, target, {"a": 9, "c": True})) == [(1, "x", True), (9, "y", True)]
     with pytest.raises(ValueError, match="'c'"):
         conform(df, target)
+
+
+def test_long_spelling_list_is_joined(spark):
+    spellings = {f"bad{i}": f"good{i}" for i in range(300)}
+    df = spark.createDataFrame([("bad7", 1), ("fine", 2), (None, 3), ("bad299", 4)], "city string, n int")
+    fixed = normalize_values(df, {"city": spellings})
+    assert fixed.columns == ["city", "n"]
+    assert rows(fixed) == sorted([("good7", 1), ("fine", 2), (None, 3), ("good299", 4)], key=repr)
+    assert "BroadcastHashJoin" in plan(fixed)

@@ -41,3 +41,12 @@ def test_same_rows(spark, engine, name):
     expected = engine.execute(f"SELECT {listed} FROM ({ORACLES[name]})").fetchall()
     actual = [tuple(r) for r in df.select(*columns).collect()]
     assert sorted(actual, key=repr) == sorted(expected, key=repr)
+
+
+def test_entry(spark):
+    import __spark_entry__ as driver
+
+    flagship = driver.entry(spark)
+    assert flagship.count() > 0
+    assert flagship.columns == QUERIES["profitability_ranking"](spark, DATA).columns
+    assert set(driver.queries()) == set(driver.oracle_sql())

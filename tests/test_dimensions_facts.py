@@ -5,7 +5,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import plan, rows
+from conftest import rows
 from pyspark.sql import functions as F
 
 from oreline.functions.text import row_hash
@@ -159,9 +159,10 @@ def test_date_dimension_skips_missing_dates(spark):
     assert [(r["sk_date"], r["weekday_name"], r["is_weekend"]) for r in row] == [(20240229, "Thursday", False)]
 
 
-def test_overlap_rows_are_not_loaded_twice(spark):
+@pytest.mark.parametrize("limit", [1 << 20, -1])
+def test_overlap_rows_are_not_loaded_twice(spark, limit):
     have = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "k string, t int")
-    come = spark.createDataFrame([("a", 1), ("c", 3), ("b", 3)], "k string, t int")
-    fresh = not_loaded_yet(come, have, ["k", "t"])
-    assert rows(fresh) == [("b", 3), ("c", 3)]
-    assert "LeftAnti" in plan(fresh)
+    come = [("a", 1)] * 20 + [("c", 3), ("b", 3), (None, 1), (None, 1)]
+    come = spark.createDataFrame([(i, *r) for i, r in enumerate(come)], "id bigint, k string, t int")
+    fresh = not_loaded_yet(come, have, ["k", "t"], "id", limit)
+    assert rows(fresh.select("k", "t")) == sorted([("b", 3), ("c", 3), (None, 1), (None, 1)], key=repr)
