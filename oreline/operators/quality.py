@@ -28,6 +28,7 @@ OUTCOME = "_outcome"
 REASONS = "_reasons"
 VALID, REJECTED, INDETERMINATE = "valid", "rejected", "indeterminate"
 NULL_POLICIES = ("strict", "sql")
+REASON_SEPARATOR = "\x1f"
 
 
 class QualityGateError(RuntimeError):
@@ -110,15 +111,14 @@ def flag_rows(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     reasons = [
         F.when(~p, F.lit(n)).when(p.isNull(), F.lit(f"{n}?")) for n, p in zip(names, passes)
     ]
+    # concat_ws skips NULLs in generated code; filtering an array would be interpreted.
+    # Each reason is named once; text that repeats in a plan is computed again.
+    listed = F.split(F.concat_ws(REASON_SEPARATOR, *reasons), REASON_SEPARATOR)
     return tested.withColumns(
         {
             # A lookup names the flag once; a CASE would repeat every rule.
             OUTCOME: F.coalesce(F.try_element_at(verdicts, flag), F.lit(INDETERMINATE)),
-            REASONS: (
-                F.array_compact(F.array(*reasons))
-                if reasons
-                else F.array().cast("array<string>")
-            ),
+            REASONS: F.array_remove(listed, ""),
         }
     ).drop("_held")
 

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from oreline.contract import Contract
 from oreline.functions.dates import date_key
 from oreline.functions.literals import instant
-from oreline.ledger import WATERMARK_SEED, Run
+from oreline.ledger import WATERMARK_SEED, Run, utc_now
 from oreline.operators.dimensions import (
     Scd2,
     insert_if_new,
@@ -354,7 +354,7 @@ def gold_job(
 
         if written["newest"] is not None:
             # A time in the future must not shut out the rows still to come.
-            newest = min(written["newest"], as_of) if as_of else written["newest"]
+            newest = min(written["newest"], as_of or utc_now())
             run.watermark_source = mark["source_name"]
             run.watermark_end = max(newest, watermark) if watermark else newest
     return run

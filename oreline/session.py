@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Text shrinks to a fraction as Parquet; larger splits make files worth reading.
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Longer generated methods are not compiled by the JVM; wide contracts reach that.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
     # A few open partition files per task spare the sort of a write by outcome.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
