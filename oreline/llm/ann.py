@@ -1,7 +1,7 @@
 """Nearest neighbours with randomly rotated one-bit codes.
 
 Fit: centroids are learned by k-means on a bounded sample (``sample`` vectors, those with the least hash of
-their ids) and a random rotation is drawn from a seed.  Index: every vector goes to its nearest centroid;
+their ids), a random rotation is drawn from a seed, and the number of lists to visit is measured on the sample.  Index: every vector goes to its nearest centroid;
 what remains is rotated and kept as one bit per dimension, with scalars that correct the estimate: the residual's norm and
 its product with its own code.  Search: a query visits the lists of its ``probes`` nearest
 centroids.  In a list, inner products are estimated from the codes; the error bound gives a lower and an upper end;
@@ -26,10 +26,11 @@ from oreline.session import materialize
 
 @dataclass
 class Model:
-    """Centroids (of unit vectors) and the rotation."""
+    """Centroids (of unit vectors), the rotation, and how many lists a query visits."""
 
     centroids: np.ndarray
     rotation: np.ndarray
+    probes: int
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -59,11 +60,19 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    vectors: DataFrame, lists: int = 64, sample: int = 20_000, rounds: int = 12, seed: int = 7
+    vectors: DataFrame,
+    lists: int = 64,
+    sample: int = 20_000,
+    rounds: int = 12,
+    recall: float = 0.96,
+    trials: int = 500,
+    seed: int = 7,
 ) -> Model | None:
     """Learns from at most ``sample`` vectors on the driver; None if there are none.
 
-    The dimension is that of the most sampled vectors, the larger on a tie.
+    The dimension is that of the most sampled vectors, the larger on a tie.  ``probes`` is the least number of
+    lists that holds a share ``recall`` of the five nearest in the sample of ``trials`` of its vectors.  The
+    sample is sparser than the table, so its neighbours are farther off, and the table's are found no less often.
     """
     rows = (
         vectors.select("embedding", F.xxhash64("vec_id").alias("h"), "vec_id")
@@ -86,7 +95,18 @@ def fit(
         near = (x @ centres.T - 0.5 * (centres * centres).sum(axis=1)).argmax(axis=1)
         for c in np.unique(near):
             centres[c] = x[near == c].mean(axis=0)
-    return Model(centres, rotation)
+    model = Model(centres, rotation, 1)
+    ask = x[:trials]
+    alike = ask @ x.T
+    alike[np.arange(len(ask)), np.arange(len(ask))] = -np.inf
+    k = min(5, len(x) - 1)
+    if k:
+        nearest = np.argpartition(-alike, k - 1, axis=1)[:, :k]
+        homes = distances(x, model).argmin(axis=1)[nearest]
+        visits = np.argsort(np.argsort(distances(ask, model), axis=1), axis=1)
+        needed = np.take_along_axis(visits, homes, axis=1) + 1
+        model.probes = int(np.quantile(needed, recall, method="higher"))
+    return model
 
 
 def distances(x: np.ndarray, model: Model) -> np.ndarray:
@@ -199,7 +219,7 @@ def nearest(
     queries: DataFrame,
     model: Model,
     k: int = 5,
-    probes: int = 16,
+    probes: int | None = None,
     block: int = 4096,
     query_block: int = 512,
     certainty: float = 3.0,
@@ -215,7 +235,9 @@ def nearest(
     shared = spark.sparkContext.broadcast(model)
     index = materialize(encode(usable(vectors), model), "codes")
     routed = materialize(
-        route(usable(queries).withColumnRenamed("vec_id", "query_id"), model, probes), "routes"
+        route(
+            usable(queries).withColumnRenamed("vec_id", "query_id"), model, probes or model.probes
+        ), "routes"
     )
     sizes = (
         index.groupBy("list").count().select("list", F.ceil(F.col("count") / block).alias("parts"))
