@@ -1,13 +1,17 @@
 """Removes repeated passages: seed and extend.
 
 1. Seeds.  A window is ``length`` words.  Its anchor is the run of ``k`` words in it with the least hash
-   (the rightmost of equals), as in winnowing, so equal windows have equal anchors in
-   equal places, and a document keeps about one anchor in (length - k + 2) / 2 words.
-2. Join.  Anchors that occur in one document only drop out: their windows cannot repeat.
-3. Extend.  From each anchor that is left, the match is extended to both sides, one window for every way of
-   sharing ``length`` words between left and right; windows are keyed by a 128-bit hash, and the smallest document of
-   each key is found by an aggregation that combines before it shuffles.
-4. Repeats.  Windows whose key also starts in a smaller document merge into maximal spans.
+   (the rightmost of equals), as in winnowing, so equal windows have equal anchors in equal
+   places.  The windows in a row that share an anchor are a seed: the anchor, extended to both sides as
+   far as it serves.  A document has about one seed per (length - k + 2) / 2 words.
+2. Join.  Seeds meet at their anchors.  A seed that occurs whole in a smaller document is repeated, with
+   all its windows.  Of equal seeds in one batch only the smallest document's travels, so a
+   passage that a third of all documents hold does not gather in one task.
+3. Extend.  Where different seeds share an anchor, the match ends somewhere within them: the first holder of each such seed is
+   extended word by word, one window for every way of sharing ``length`` words between left and right of the anchor, and the smallest
+   document of each window is found.  (The first holder of a window never holds it in a seed that a
+   still smaller document holds whole, so nothing else has to be looked at.)
+4. Repeats.  Repeated seeds and windows merge into maximal spans.
 """
 
 from __future__ import annotations
@@ -16,12 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreline.llm.words import Words, mix, run_hashes, words
+from oreline.llm.words import Words, mix, run_hashes, span_hashes, words
 from oreline.session import materialize
 
+SPANS = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
+
 
 def anchors(group: Words, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(window, anchor, hash): for each window's first word, its anchor's word and hash."""
@@ -39,76 +46,109 @@ def anchors(group: Words, length: int, k: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def seeds(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """(doc_id, anchor): the distinct anchors of each document."""
+    """(anchor, seed, doc_id, start, n, done): runs of ``n`` windows from word ``start``.
+
+    ``done`` marks what a smaller document of the same batch holds as well; its anchor is arbitrary.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            parts = []
             for group in words(batch.column("text")):
-                _, at, h = anchors(group, length, k)
-                new = np.ones(len(at), dtype=bool)
-                new[1:] = at[1:] != at[:-1]  # one anchor serves windows in a row
-                doc = ids[group.first_row + group.row[at[new]]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc, type=pa.int64()), pa.array(h[new].view(np.int64))],
-                    names=["doc_id", "anchor"],
-                )
+                window, at, h = anchors(group, length, k)
+                if not len(window):
+                    continue
+                new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                n = np.diff(np.append(new, len(window)))
+                first = window[new]
+                row = group.row[first]
+                whole = span_hashes(group.hash, first, first + n - 1 + length)
+                start = first - group.bounds()[row]
+                parts.append((h[new], whole, ids[group.first_row + row], start, n))
+            if not parts:
+                continue
+            anchor, seed, doc, start, n = (np.concatenate(p) for p in zip(*parts))
+            order = np.lexsort((doc, seed, anchor))
+            anchor, seed, doc, start, n = (x[order] for x in (anchor, seed, doc, start, n))
+            fresh = np.append(
+                True, (anchor[1:] != anchor[:-1]) | (seed[1:] != seed[:-1])
+            )
+            done = doc > doc[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+            apart = mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64))
+            anchor = np.where(done, apart, anchor)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(anchor.view(np.int64)),
+                    pa.array(seed.view(np.int64)),
+                    pa.array(doc, type=pa.int64()),
+                    pa.array(start.astype(np.int64)),
+                    pa.array(n.astype(np.int32)),
+                    pa.array(done),
+                ],
+                names=["anchor", "seed", "doc_id", "start", "n", "done"],
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id bigint, anchor bigint")
+    return docs.select("doc_id", "text").mapInArrow(
+        make, "anchor bigint, seed bigint, doc_id bigint, start bigint, n int, done boolean"
+    )
 
 
-def extended(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """(doc_id, start, w1, w2): windows of ``docs`` (doc_id, text, anchors) around those anchors."""
+def extended(docs: DataFrame, length: int) -> DataFrame:
+    """(doc_id, start, w1, w2): the windows of the seeds of ``docs`` (doc_id, text, seeds)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            lists = batch.column("anchors")
+            lists = batch.column("seeds")
             for group in words(batch.column("text")):
-                window, _, h = anchors(group, length, k)
-                bounds = np.searchsorted(window, group.bounds())
-                keep = np.zeros(len(window), dtype=bool)
-                for i in range(group.n_rows):
-                    a, b = bounds[i], bounds[i + 1]
-                    some = lists[group.first_row + i].values.to_numpy(zero_copy_only=False)
-                    keep[a:b] = np.isin(h[a:b].view(np.int64), some)
-                at = window[keep]
-                first = group.bounds()
-                row = group.row[at]
-                doc = ids[group.first_row + row]
+                own = lists.slice(group.first_row, group.n_rows)
+                row = np.repeat(np.arange(group.n_rows), pc.list_value_length(own).to_numpy())
+                flat = own.flatten()
+                start, n = flat.field("start").to_numpy(), flat.field("n").to_numpy()
+                start = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                row = np.repeat(row, n)
+                at = start + group.bounds()[row]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(doc, type=pa.int64()),
-                        pa.array((at - first[row]).astype(np.int64)),
+                        pa.array(ids[group.first_row + row], type=pa.int64()),
+                        pa.array(start),
                         pa.array(run_hashes(group.hash, at, length).view(np.int64)),
                         pa.array(run_hashes(mix(~group.hash), at, length).view(np.int64)),
                     ],
                     names=["doc_id", "start", "w1", "w2"],
                 )
 
-    return docs.select("doc_id", "text", "anchors").mapInArrow(
+    return docs.select("doc_id", "text", "seeds").mapInArrow(
         make, "doc_id bigint, start bigint, w1 bigint, w2 bigint"
     )
 
 
-def repeated_spans(docs: DataFrame, length: int = 13, k: int = 6) -> DataFrame:
-    """(doc_id, spans): maximal runs of words [low, high) that also occur in smaller documents.
+def repeated_parts(docs: DataFrame, length: int = 13, k: int = 4) -> DataFrame:
+    """(doc_id, low, high): runs of words that also occur in a smaller document; they may overlap.
 
-    Only documents with such a run have a row.  Words are what lies between ``[\\x20\\x09-\\x0D]``, unchanged.
+    Words are what lies between ``[\\x20\\x09-\\x0D]``, unchanged.
     """
     known = docs.where("doc_id is not null").select("doc_id", "text")
-    seeded = seeds(known, length, k)
-    repeated = materialize(
-        seeded.groupBy("anchor")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        .where("low < high")
-        .select("anchor"),
-        "anchors",
+    # Partitioned by the anchor once; the second window's rows are together already.
+    met = Window.partitionBy("anchor")
+    equal = Window.partitionBy("anchor", "seed")
+    marks = materialize(
+        seeds(known, length, k)
+        .withColumn("several", (F.min("seed").over(met) < F.max("seed").over(met)))
+        .withColumn("others", (F.min("doc_id").over(met) < F.max("doc_id").over(met)))
+        .withColumn("owner", F.min("doc_id").over(equal))
+        .withColumn("whole", F.col("done") | (F.col("owner") < F.col("doc_id")))
+        .where("whole or (several and others)")
+        .select("doc_id", "start", "n", "whole"),
+        "seeds",
     )
-    held = seeded.join(repeated, "anchor").groupBy("doc_id").agg(
-        F.collect_set("anchor").alias("anchors")
+    partly = (
+        marks.where("not whole")
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("start", "n")).alias("seeds"))
     )
-    windows = materialize(extended(known.join(held, "doc_id"), length, k), "windows")
+    windows = materialize(extended(known.join(partly, "doc_id"), length), "windows")
     owners = materialize(
         windows.groupBy("w1", "w2")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
@@ -116,30 +156,26 @@ def repeated_spans(docs: DataFrame, length: int = 13, k: int = 6) -> DataFrame:
         .select("w1", "w2", "owner"),
         "owners",
     )
-    covered = (
-        windows.join(owners, ["w1", "w2"])
-        .where(F.col("doc_id") > F.col("owner"))
-        .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_set("start")).alias("starts"))
+    single = windows.join(owners, ["w1", "w2"]).where(F.col("doc_id") > F.col("owner"))
+    return (
+        marks.where("whole")
+        .select("doc_id", F.col("start").alias("low"), (F.col("start") + F.col("n") - 1 + length).alias("high"))
+        .union(single.select("doc_id", "start", F.col("start") + length))
     )
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for starts in batch.column("starts"):
-                s = starts.values.to_numpy(zero_copy_only=False)
-                new = np.flatnonzero(np.append(True, s[1:] > s[:-1] + length))
-                ends = np.append(s[new[1:] - 1], s[-1]) + length
-                out.append([{"low": a, "high": b} for a, b in zip(s[new].tolist(), ends.tolist())])
-            kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(out, type=kind)], names=["doc_id", "spans"]
-            )
 
-    return covered.mapInArrow(merge, "doc_id bigint, spans array<struct<low: bigint, high: bigint>>")
+def merged(parts: list[dict]) -> list[dict]:
+    """Maximal spans of overlapping or touching parts."""
+    spans: list[dict] = []
+    for part in sorted(parts, key=lambda p: p["low"]):
+        if spans and part["low"] <= spans[-1]["high"]:
+            spans[-1]["high"] = max(spans[-1]["high"], part["high"])
+        else:
+            spans.append(dict(part))
+    return spans
 
 
-def remove_repeats(docs: DataFrame, length: int = 13, k: int = 6) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 13, k: int = 4) -> DataFrame:
     """``docs`` with repeated passages taken out: doc_id, n_words, n_removed, kept_text, spans.
 
     ``kept_text`` is the words that stay, joined by one space.  Of the documents that hold a window
@@ -147,20 +183,25 @@ def remove_repeats(docs: DataFrame, length: int = 13, k: int = 6) -> DataFrame:
     no words give 0 words and an empty text.  Rows that share a doc_id are judged by the smaller ids only;
     a row without a doc_id keeps its words.
     """
-    spans = materialize(repeated_spans(docs, length, k), "repeats")
-    placed = docs.select("doc_id", "text").join(spans, "doc_id", "left")
+    parts = (
+        repeated_parts(docs, length, k)
+        .groupBy("doc_id")
+        .agg(F.collect_set(F.struct("low", "high")).alias("parts"))
+    )
+    placed = docs.select("doc_id", "text").join(parts, "doc_id", "left")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("spans")
-            counts, removed, texts = [], [], []
+            lists = batch.column("parts")
+            counts, removed, texts, spans = [], [], [], []
             for group in words(batch.column("text")):
                 bounds = group.bounds()
                 raw = group.data.tobytes()
                 for i in range(group.n_rows):
                     a, b = bounds[i], bounds[i + 1]
                     keep = np.ones(b - a, dtype=bool)
-                    for span in lists[group.first_row + i].as_py() or ():
+                    spans.append(merged(lists[group.first_row + i].as_py() or []))
+                    for span in spans[-1]:
                         keep[span["low"] : span["high"]] = False
                     starts, ends = group.start[a:b][keep].tolist(), group.end[a:b][keep].tolist()
                     texts.append(b" ".join([raw[s:e] for s, e in zip(starts, ends)]).decode())
@@ -172,7 +213,7 @@ def remove_repeats(docs: DataFrame, length: int = 13, k: int = 6) -> DataFrame:
                     pa.array(counts, type=pa.int64()),
                     pa.array(removed, type=pa.int64()),
                     pa.array(texts, type=pa.string()),
-                    lists,
+                    pa.array(spans, type=SPANS),
                 ],
                 names=["doc_id", "n_words", "n_removed", "kept_text", "spans"],
             )
