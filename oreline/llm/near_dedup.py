@@ -3,8 +3,9 @@
 1. Each document becomes its set of word shingles (64-bit hashes), a 128-bit fingerprint of that
    set and a SuperMinHash signature, cut into bands.
 2. Documents with equal sets collapse into one, so groups of copies of any size go on as one row.
-3. In each band bucket every member is paired with the smallest and the largest id only; pairs
-   are verified on the full sets; union-find gives components.
+3. Buckets with the same members are taken once.  Each document is paired with the smallest id it meets; pairs are verified on the
+   full sets; union-find gives components.  Then members are paired with the smallest id of
+   their other buckets, where the two are not yet connected.
 4. Buckets that still hold several components pair the members outside their largest component
    with all members of other components.  Any two members of one bucket that are not yet connected are then compared,
    so no link among candidates is lost, and no pair inside a known group is made.
@@ -283,31 +284,42 @@ def near_duplicates(
         .select("doc_id", F.posexplode("bands").alias("band", "value"))
     )
     ends = members.groupBy("band", "value").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+        F.min("doc_id").alias("low"),
+        F.max("doc_id").alias("high"),
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit("second"), "doc_id")).alias("x2"),
     )
-    shared = materialize(ends.where("low < high"), "buckets")
-    crowded = materialize(members.join(shared, ["band", "value"]), "members")
-    pairs = materialize(
-        crowded.select(
-            "doc_id", F.explode(F.array_distinct(F.array("low", "high"))).alias("end")
-        )
-        .where("doc_id <> end")
-        .select(F.least("doc_id", "end").alias("a"), F.greatest("doc_id", "end").alias("b"))
-        .distinct(),
-        "pairs",
+    # Documents that meet in many bands meet in the same company: one bucket of each is enough.
+    shared = materialize(
+        ends.where("low < high")
+        .groupBy("low", "high", "n", "x1", "x2")
+        .agg(F.min(F.struct("band", "value")).alias("bucket"))
+        .select("bucket.band", "bucket.value", "low", "n"),
+        "buckets",
     )
+    crowded = materialize(members.join(shared, ["band", "value"]), "members")
     wanted = crowded.select("doc_id").distinct()
     sets = materialize(
         full_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), k, lower),
         "shingles",
     )
-    links = materialize(verified(pairs, sets, percent), "links")
+    # First one pair per document, with the smallest it meets; then the smallest of its other buckets.
+    stars = crowded.where("low < doc_id").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
+    done = materialize(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
+    links = materialize(verified(done, sets, percent), "links")
     found = components(links)
-    rest = _unconnected(crowded, found, pairs)
-    if not rest.isEmpty():
+    for next_pairs in (_other_stars, _unconnected):
+        rest = materialize(
+            next_pairs(crowded, found).join(done, ["a", "b"], "left_anti"), "rest"
+        )
+        if rest.isEmpty():
+            continue
+        done = done.union(rest)
         more = materialize(verified(rest, sets, percent), "links")
         if not more.isEmpty():
-            found = components(links.union(more))
+            links = links.union(more)
+            found = components(links)
     grouped = (
         reps.join(found, F.col("rep") == F.col("node"), "left")
         .select("f1", "f2", F.coalesce("root", "rep").alias("component"))
@@ -326,20 +338,31 @@ def near_duplicates(
     )
 
 
-def _unconnected(crowded: DataFrame, found: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components that have not been compared."""
+def _rooted(pairs: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """``pairs`` with the component of column ``name``, itself where it has no link."""
+    roots = found.select(F.col("node").alias(name), F.col("root").alias("r"))
+    return pairs.join(roots, name, "left").withColumn("r" + name, F.coalesce("r", name)).drop("r")
+
+
+def _other_stars(crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of a member and its bucket's smallest that are in different components."""
+    pairs = crowded.where("low < doc_id").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
+    placed = _rooted(_rooted(pairs.distinct(), found, "a"), found, "b")
+    return placed.where("ra <> rb").select("a", "b")
+
+
+def _unconnected(crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of one bucket in different components."""
     placed = materialize(
-        crowded.join(found, F.col("doc_id") == F.col("node"), "left").select(
-            "band", "value", "doc_id", F.coalesce("root", "doc_id").alias("root")
-        ),
+        _rooted(crowded.where("n > 2").select("band", "value", "doc_id"), found, "doc_id")
+        .withColumnRenamed("rdoc_id", "root"),
         "placed",
     )
     sizes = placed.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
     mixed = materialize(
         sizes.groupBy("band", "value")
-        .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("c"), F.sum("n").alias("n"))
-        # two members are each other's ends, and have been compared
-        .where("c > 1 and n > 2")
+        .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("c"))
+        .where("c > 1")
         .select("band", "value", "main"),
         "mixed",
     )
@@ -347,10 +370,9 @@ def _unconnected(crowded: DataFrame, found: DataFrame, done: DataFrame) -> DataF
     outside = inside.where("root <> main").select(
         "band", "value", F.col("doc_id").alias("x"), F.col("root").alias("rx")
     )
-    pairs = (
+    return (
         inside.join(outside, ["band", "value"])
         .where("root <> rx")
         .select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b"))
         .distinct()
     )
-    return materialize(pairs.join(done, ["a", "b"], "left_anti"), "rest")
