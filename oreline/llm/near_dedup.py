@@ -311,7 +311,7 @@ def near_duplicates(
     found = components(links)
     for next_pairs in (_other_stars, _unconnected):
         rest = materialize(
-            next_pairs(crowded, found).join(done, ["a", "b"], "left_anti"), "rest"
+            next_pairs(crowded, found, sets, percent).join(done, ["a", "b"], "left_anti"), "rest"
         )
         if rest.isEmpty():
             continue
@@ -344,15 +344,43 @@ def _rooted(pairs: DataFrame, found: DataFrame, name: str) -> DataFrame:
     return pairs.join(roots, name, "left").withColumn("r" + name, F.coalesce("r", name)).drop("r")
 
 
-def _other_stars(crowded: DataFrame, found: DataFrame) -> DataFrame:
+def _other_stars(crowded: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a member and its bucket's smallest that are in different components."""
     pairs = crowded.where("low < doc_id").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
     placed = _rooted(_rooted(pairs.distinct(), found, "a"), found, "b")
     return placed.where("ra <> rb").select("a", "b")
 
 
-def _unconnected(crowded: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components."""
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(doc_id, n, u): how many shingles a document has, and how many no other of ``sets`` has."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, packed in zip(batch.column("doc_id"), batch.column("shingles")):
+                h = np.frombuffer(packed.as_py(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(h), doc.as_py())), pa.array(h)], names=["doc_id", "h"]
+                )
+
+    alone = (
+        sets.select("doc_id", "shingles")
+        .mapInArrow(unpack, "doc_id bigint, h bigint")
+        .groupBy("h")
+        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("c"))
+        .where("c = 1")
+        .groupBy("doc_id")
+        .agg(F.count("*").alias("u"))
+    )
+    sizes = sets.groupBy("doc_id").agg(F.max("n").alias("n"))
+    return sizes.join(alone, "doc_id", "left").select("doc_id", "n", F.coalesce("u", F.lit(0)).alias("u"))
+
+
+def _unconnected(crowded: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket in different components that may reach the similarity.
+
+    A shingle that only one of these documents has is in no intersection, so with n shingles and u such ones, the
+    intersection is at most the lesser n - u, and the union at least both u and the greater n - u.
+    """
     placed = materialize(
         _rooted(crowded.where("n > 2").select("band", "value", "doc_id"), found, "doc_id")
         .withColumnRenamed("rdoc_id", "root"),
@@ -366,13 +394,28 @@ def _unconnected(crowded: DataFrame, found: DataFrame) -> DataFrame:
         .select("band", "value", "main"),
         "mixed",
     )
-    inside = placed.join(mixed, ["band", "value"])
-    outside = inside.where("root <> main").select(
-        "band", "value", F.col("doc_id").alias("x"), F.col("root").alias("rx")
+    inside = materialize(placed.join(mixed, ["band", "value"]), "inside")
+    few = sets.join(inside.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = materialize(own_shingles(few).where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")), "own")
+    able = inside.join(known.select("doc_id", (F.col("n") - F.col("u")).alias("m"), "u"), "doc_id")
+    outside = able.where("root <> main").select(
+        "band",
+        "value",
+        F.col("doc_id").alias("x"),
+        F.col("root").alias("rx"),
+        F.col("m").alias("mx"),
+        F.col("u").alias("ux"),
     )
+    inner, outer = able.alias("i"), outside.alias("o")
+    reach = 100 * F.least("m", "mx") >= percent * (F.col("u") + F.col("ux") + F.greatest("m", "mx"))
     return (
-        inside.join(outside, ["band", "value"])
-        .where("root <> rx")
+        inner.join(
+            outer,
+            (F.col("i.band") == F.col("o.band"))
+            & (F.col("i.value") == F.col("o.value"))
+            & (F.col("root") != F.col("rx"))
+            & reach,
+        )
         .select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b"))
         .distinct()
     )
