@@ -22,7 +22,6 @@ from oreline.functions.literals import instant
 from oreline.sources.readers import read_if_present
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
-ERROR_LENGTH = 1990
 WATERMARK_SEED = datetime(2000, 1, 1)
 
 _TEXT, _COUNT, _TIME = T.StringType(), T.LongType(), T.TimestampNTZType()
@@ -132,7 +131,7 @@ class Ledger:
         try:
             yield run
         except Exception as error:
-            run.error_msg = str(error)[:ERROR_LENGTH]
+            run.error_msg = str(error)
             self.append(replace(run, seq=1, finished_at=utc_now(), status=FAILED))
             raise
         run.finished_at = utc_now()

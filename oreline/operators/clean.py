@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from oreline.contract import Contract, ContractError
 from oreline.functions.text import parse_text
 
 RAW = "_raw"
-CASE_LIMIT = 100
 
 
 def rename_bulk(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
@@ -22,37 +20,26 @@ def rename_bulk(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(renames))
 
 
-def normalized(column: str, spellings: Mapping[str, str]) -> Column:
-    """Exact-match replacement; unmapped values and NULL stay."""
+def normalized(column: str, spellings: Mapping[str, str | None]) -> Column:
+    """Exact-match replacement; unmapped values and NULL stay.
+
+    One literal map for a list of any length.  A spelling may be mapped to NULL.
+    """
     value = F.col(column)
     if not spellings:
         return value
-    return reduce(
-        lambda cases, pair: cases.when(value == pair[0], pair[1]),
-        list(spellings.items())[1:],
-        F.when(value == next(iter(spellings)), next(iter(spellings.values()))),
-    ).otherwise(value)
+    pairs = [F.lit(text).cast("string") for pair in spellings.items() for text in pair]
+    table = F.create_map(*pairs)
+    return F.when(F.map_contains_key(table, value), F.try_element_at(table, value)).otherwise(value)
 
 
 def normalize_values(
-    df: DataFrame, normalizations: Mapping[str, Mapping[str, str]]
+    df: DataFrame, normalizations: Mapping[str, Mapping[str, str | None]]
 ) -> DataFrame:
-    """Replace bad spellings, column by column.
-
-    A short list becomes a CASE.  A long one is joined as a table; it comes from the
-    contract, which the driver holds, so it is small enough to broadcast.
-    """
-    present = {c: m for c, m in normalizations.items() if c in df.columns and m}
-    short = {c: m for c, m in present.items() if len(m) <= CASE_LIMIT}
-    df = df.withColumns({c: normalized(c, m) for c, m in short.items()})
-    for c in present.keys() - short.keys():
-        pairs = df.sparkSession.createDataFrame(
-            list(present[c].items()), "_bad string, _good string"
-        )
-        df = df.join(F.broadcast(pairs), df[c] == pairs["_bad"], "left").select(
-            *[F.coalesce("_good", n).alias(n) if n == c else F.col(n) for n in df.columns]
-        )
-    return df
+    """Replace bad spellings, column by column, in one projection."""
+    return df.withColumns(
+        {c: normalized(c, m) for c, m in normalizations.items() if c in df.columns and m}
+    )
 
 
 def contract_cast(df: DataFrame, contract: Contract, keep_raw: bool = False) -> DataFrame:

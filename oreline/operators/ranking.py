@@ -15,6 +15,8 @@ def top_k_by_rank(df: DataFrame, score: str, k: int, rank: str = "rank") -> Data
     score is found by a distributed top-k; rows below it leave.  At most k distinct
     scores remain, and only those, with their row counts, are ranked in one task.
     """
+    if k < 1:
+        raise ValueError("k must be 1 or more")
     stored = materialize(df, "scored")
     # One value; NULL when fewer than k rows have a score, as then all rank within k.
     floor = (

@@ -181,7 +181,8 @@ def _fact(load: Load, step: Mapping[str, Any]) -> None:
     # Keys follow the staged files, so a repeated load gives the same keys.
     facts = keys_by_position(load.staged, surrogate, start)
     schema = fact_schema(step, load.staged.schema)
-    if load.lateness and load.watermark and step.get("key"):
+    # Rows above the committed mark may be loaded as well: the mark never passes ``as_of``.
+    if load.watermark and step.get("key"):
         since = instant(load.watermark - load.lateness)
         loaded = (
             read_appended(load.lake, step["table"], load.process, schema)
@@ -298,6 +299,10 @@ def check_config(config: Mapping[str, Any], ctx: TransformContext) -> None:
         missing = [r for r in _load_steps[step["step"]][1] if r not in step]
         if missing:
             raise ConfigError(f"load step {step['step']!r} lacks {missing}")
+        for lookup in step.get("lookups", []):
+            missing = [r for r in ("process", "table", "surrogate") if r not in lookup]
+            if missing:
+                raise ConfigError(f"lookup {lookup!r} lacks {missing}")
 
 
 def gold_job(
@@ -333,6 +338,9 @@ def gold_job(
             options=options or {},
         )
         check_config(config, ctx)
+        steps = config["target"].get("load", [])
+        if lateness and any(s["step"] == "fact" and not s.get("key") for s in steps):
+            raise ConfigError("lateness needs the fact step's 'key', or rows would load twice")
         run.watermark_start = watermark
 
         rows = read_silver(lake, contract, execution_date, silver_run_id)

@@ -90,11 +90,23 @@ def read_if_present(
 
 
 def landed_files(spark: SparkSession, base: str) -> DataFrame:
-    """One row per landed file, with its partition values.  No content is read."""
-    return spark.read.format("binaryFile").load(base).drop("content")
+    """One row per landed file, with its partition values.  No content is read.
+
+    Where nothing has landed yet there are no rows, and no partition columns.
+    """
+    try:
+        return spark.read.format("binaryFile").load(base).drop("content")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame(
+            [], "path string, modificationTime timestamp, length bigint"
+        )
 
 
 def arrival_audit(expected: DataFrame, landed: DataFrame) -> DataFrame:
     """Expected (source, year, month, day) rows for which no file has landed."""
     key = ["source_name", "year", "month", "day"]
+    if not set(key) <= set(landed.columns):
+        return expected
     return expected.join(landed.select(*key).distinct(), key, "left_anti")

@@ -252,3 +252,8 @@ def test_hot_folder_is_cut_and_its_files_are_sorted(spark, folder):
     a, b = stored.alias("a"), stored.alias("b")
     assert a.join(b, F.expr("a.month = b.month and a.f = b.f and a.i + 1 = b.i and a.t > b.t")).isEmpty()
     assert stored.count() == 60000
+
+
+def test_top_k_rejects_k_below_one(spark):
+    with pytest.raises(ValueError):
+        top_k_by_rank(spark.range(3), "id", 0)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from oreline.ledger import FAILED, RUNNING, SUCCESS, Ledger, WatermarkMissing
 from oreline.session import materialize, scratch_path, shared_folder
 from oreline.sources.readers import (
+    arrival_audit,
     landed_files,
     on_day,
     read_csv,
@@ -120,7 +121,7 @@ def test_ledger_success_and_failure(spark, folder):
     by_day = {r["execution_date"]: r for r in ledger.state().collect()}
     good, bad = by_day[date(2024, 1, 1)], by_day[date(2024, 1, 2)]
     assert (good["status"], good["rows_read"], good["error_msg"]) == (SUCCESS, 5, None)
-    assert bad["status"] == FAILED and len(bad["error_msg"]) == 1990
+    assert bad["status"] == FAILED and bad["error_msg"] == "it's broken " + "x" * 3000
     assert ledger.last_success("j", "s")["run_id"] == good["run_id"]
     assert ledger.last_success("j", "s", date(2024, 1, 2)) is None
 
@@ -153,3 +154,9 @@ def test_runs_may_write_the_ledger_side_by_side(spark, folder):
     for t in threads:
         t.join()
     assert ledger.state().where(F.col("status") == SUCCESS).count() == 4
+
+
+def test_arrival_audit_where_nothing_has_landed(spark, folder):
+    expected = spark.createDataFrame([("s", 2024, 1, 2)], "source_name string, year int, month int, day int")
+    missing = arrival_audit(expected, landed_files(spark, f"{folder}/nowhere"))
+    assert missing.count() == 1
