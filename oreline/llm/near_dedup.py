@@ -6,9 +6,9 @@
 3. Buckets with the same members are taken once.  Each document is paired with the smallest id it meets; pairs are verified on the
    full sets; union-find gives components.  Then members are paired with the smallest id of
    their other buckets, where the two are not yet connected.
-4. Buckets that still hold several components pair the members outside their largest component
-   with all members of other components.  Any two members of one bucket that are not yet connected are then compared,
-   so no link among candidates is lost, and no pair inside a known group is made.
+4. In buckets that still hold several components, members are compared block by block by parity sketches, which
+   give a sure lower bound of the difference of two sets.  Only pairs that the bound cannot rule out leave
+   the tasks and are verified, so no link among candidates is lost and no group is expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from oreline.session import materialize
 SEED = np.uint64(0x5851F42D4C957F2D)
 #: Elements handled at once.
 CHUNK = 1 << 14
+#: Members of a bucket that are compared at once with as many others.
+BLOCK = 1024
 
 
 def shingle_sets(group: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +135,7 @@ def sketch(docs: DataFrame, k: int, bands: int, rows: int, lower: bool = True) -
 
 
 def full_sets(docs: DataFrame, k: int, lower: bool = True) -> DataFrame:
-    """doc_id and its shingle hashes, ordered, as the bytes of 64-bit integers."""
+    """doc_id, its shingle hashes, ordered, as the bytes of 64-bit integers, and their :func:`parities`."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,30 +144,78 @@ def full_sets(docs: DataFrame, k: int, lower: bool = True) -> DataFrame:
                 row, h = shingle_sets(group, k)
                 edges = np.searchsorted(row, np.arange(group.n_rows + 1))
                 sets = [h[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+                sums = parities(row, h, np.diff(edges))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(group.first_row, group.n_rows),
                         pa.array(np.diff(edges).astype(np.int64)),
                         pa.array(sets, type=pa.binary()),
+                        pa.array(sums, type=pa.binary()),
                     ],
-                    names=["doc_id", "n", "shingles"],
+                    names=["doc_id", "n", "shingles", "parity"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id bigint, n bigint, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        make, "doc_id bigint, n bigint, shingles binary, parity binary"
+    )
+
+
+def parities(row: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """A parity sketch for each row's set: every shingle flips one bit.
+
+    The bits in which two sketches differ are at most as many as the shingles that only one of the sets has.
+    A sketch has a power of two of bits, four to eight for each shingle; a longer one folds to a shorter.
+    """
+    longs = 1 << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / 16))).astype(np.int64)
+    first = np.concatenate(([0], np.cumsum(longs)))
+    at = mix(h ^ np.uint64(0x6C62272E07BB0142)) & (longs[row] * 64 - 1).astype(np.uint64)
+    flat = np.zeros(first[-1], dtype=np.uint64)
+    bit = np.uint64(1) << (at & np.uint64(63))
+    np.bitwise_xor.at(flat, first[row] + (at >> np.uint64(6)).astype(np.int64), bit)
+    return [flat[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+
+
+def folded(sketches: np.ndarray, longs: int) -> np.ndarray:
+    """Sketches, one a row, at ``longs`` integers each."""
+    while sketches.shape[1] > longs:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def within_reach(differ: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``total`` shingles together that differ in ``differ`` at least may reach the similarity."""
+    return (100 + percent) * differ.astype(np.int64) <= (100 - percent) * total
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= percent * union, decided on the full sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    # Sizes alone rule out many: the intersection is at most the smaller, the union at least the larger.
+    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"), F.col("shingles").alias("sb"))
+    # Sizes and sketches rule out most pairs that are too far apart, before full sets travel.
+    near = ("na", "pa", "nb", "pb")
     sized = (
         pairs.join(left.drop("sa"), "a")
         .join(right.drop("sb"), "b")
         .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        .select("a", "b")
+        .select("a", "b", *near)
     )
 
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            for i, pair in enumerate(
+                zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())
+            ):
+                x, y = (np.frombuffer(p, dtype=np.uint64)[None, :] for p in pair)
+                longs = min(x.shape[1], y.shape[1])
+                differ = np.bitwise_count(folded(x, longs) ^ folded(y, longs)).sum()
+                keep[i] = within_reach(differ, na[i] + nb[i], percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    sifted = materialize(sized.mapInArrow(sift, "a bigint, b bigint"), "sifted")
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, dtype=bool)
@@ -181,8 +231,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return (
-        sized.join(left.drop("na"), "a")
-        .join(right.drop("nb"), "b")
+        sifted.join(left.drop("na", "pa"), "a")
+        .join(right.drop("nb", "pb"), "b")
         .select("a", "b", "sa", "sb")
         .mapInArrow(compare, "a bigint, b bigint")
     )
@@ -351,35 +401,10 @@ def _other_stars(crowded: DataFrame, found: DataFrame, sets: DataFrame, percent:
     return placed.where("ra <> rb").select("a", "b")
 
 
-def own_shingles(sets: DataFrame) -> DataFrame:
-    """(doc_id, n, u): how many shingles a document has, and how many no other of ``sets`` has."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, packed in zip(batch.column("doc_id"), batch.column("shingles")):
-                h = np.frombuffer(packed.as_py(), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), doc.as_py())), pa.array(h)], names=["doc_id", "h"]
-                )
-
-    alone = (
-        sets.select("doc_id", "shingles")
-        .mapInArrow(unpack, "doc_id bigint, h bigint")
-        .groupBy("h")
-        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("c"))
-        .where("c = 1")
-        .groupBy("doc_id")
-        .agg(F.count("*").alias("u"))
-    )
-    sizes = sets.groupBy("doc_id").agg(F.max("n").alias("n"))
-    return sizes.join(alone, "doc_id", "left").select("doc_id", "n", F.coalesce("u", F.lit(0)).alias("u"))
-
-
 def _unconnected(crowded: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket in different components that may reach the similarity.
 
-    A shingle that only one of these documents has is in no intersection, so with n shingles and u such ones, the
-    intersection is at most the lesser n - u, and the union at least both u and the greater n - u.
+    A bucket's members are dealt into blocks and every two blocks meet in one task, which holds 2 * BLOCK members at most.
     """
     placed = materialize(
         _rooted(crowded.where("n > 2").select("band", "value", "doc_id"), found, "doc_id")
@@ -387,35 +412,52 @@ def _unconnected(crowded: DataFrame, found: DataFrame, sets: DataFrame, percent:
         "placed",
     )
     sizes = placed.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
-    mixed = materialize(
+    mixed = (
         sizes.groupBy("band", "value")
-        .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("c"))
+        .agg(F.count("*").alias("c"), F.sum("n").alias("members"))
         .where("c > 1")
-        .select("band", "value", "main"),
-        "mixed",
+        .select("band", "value", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     )
-    inside = materialize(placed.join(mixed, ["band", "value"]), "inside")
-    few = sets.join(inside.select("doc_id").distinct(), "doc_id", "left_semi")
-    known = materialize(own_shingles(few).where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")), "own")
-    able = inside.join(known.select("doc_id", (F.col("n") - F.col("u")).alias("m"), "u"), "doc_id")
-    outside = able.where("root <> main").select(
-        "band",
-        "value",
-        F.col("doc_id").alias("x"),
-        F.col("root").alias("rx"),
-        F.col("m").alias("mx"),
-        F.col("u").alias("ux"),
+    dealt = (
+        placed.join(materialize(mixed, "mixed"), ["band", "value"])
+        .withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "root"
+        )
     )
-    inner, outer = able.alias("i"), outside.alias("o")
-    reach = 100 * F.least("m", "mx") >= percent * (F.col("u") + F.col("ux") + F.greatest("m", "mx"))
-    return (
-        inner.join(
-            outer,
-            (F.col("i.band") == F.col("o.band"))
-            & (F.col("i.value") == F.col("o.value"))
-            & (F.col("root") != F.col("rx"))
-            & reach,
+    sketched = dealt.join(sets.select("doc_id", "n", "parity"), "doc_id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        own = table["own"].to_numpy()
+        low, high = table["i"][0].as_py(), table["j"][0].as_py()
+        doc, root, n = (table[c].to_numpy() for c in ("doc_id", "root", "n"))
+        flat = [np.frombuffer(p, dtype=np.uint64) for p in table["parity"].to_pylist()]
+        longs = np.array([len(p) for p in flat])
+        levels = {
+            w: (np.flatnonzero(longs == w), np.stack([p for p in flat if len(p) == w])) for w in np.unique(longs)
+        }
+        a, b = [], []
+        for w, (rows, sketches) in levels.items():
+            for v, (others, theirs) in levels.items():
+                near = folded(theirs, min(w, v))
+                for at, sketch_ in zip(rows, folded(sketches, min(w, v))):
+                    if own[at] != low:
+                        continue
+                    able = (root[others] != root[at]) & (own[others] == high)
+                    able &= 100 * np.minimum(n[others], n[at]) >= percent * np.maximum(n[others], n[at])
+                    able = np.flatnonzero(able)
+                    differ = np.bitwise_count(near[able] ^ sketch_).sum(axis=1)
+                    hits = others[able[within_reach(differ, n[others[able]] + n[at], percent)]]
+                    a.append(np.minimum(doc[hits], doc[at]))
+                    b.append(np.maximum(doc[hits], doc[at]))
+        return pa.table(
+            {
+                name: pa.array(np.concatenate([np.empty(0, dtype=np.int64), *x]))
+                for name, x in (("a", a), ("b", b))
+            }
         )
-        .select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b"))
-        .distinct()
+
+    return (
+        sketched.groupBy("band", "value", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
     )
