@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass, field, replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +34,7 @@ SCHEMA = T.StructType(
             ("job_name", _TEXT),
             ("source_name", _TEXT),
             ("execution_date", T.DateType()),
+            ("stream_id", _TEXT),
             ("batch_id", _COUNT),
             ("started_at", _TIME),
             ("finished_at", _TIME),
@@ -46,7 +47,8 @@ SCHEMA = T.StructType(
             ("rows_indeterminate", _COUNT),
             ("rows_inserted", _COUNT),
             ("rows_updated", _COUNT),
-            ("last_key", _COUNT),
+            ("last_keys", T.MapType(_TEXT, _COUNT)),
+            ("snapshots", T.ArrayType(_TEXT)),
             ("status", _TEXT),
             ("error_msg", _TEXT),
         )
@@ -59,6 +61,9 @@ class WatermarkMissing(LookupError):
 
 
 def _literal(value: object) -> Column:
+    if isinstance(value, dict):
+        keys, values = (F.lit(list(part)) for part in (value, value.values()))
+        return F.map_from_arrays(keys.cast("array<string>"), values.cast("array<bigint>"))
     return instant(value) if isinstance(value, datetime) else F.lit(value)
 
 
@@ -68,10 +73,14 @@ def utc_now() -> datetime:
 
 @dataclass
 class Run:
+    """One run.  ``batch_id`` counts within the stream ``stream_id``; ``last_keys`` holds the highest surrogate key by
+    table, ``snapshots`` the versioned tables whose active rows this run wrote anew."""
+
     run_id: str
     job_name: str
     source_name: str
     execution_date: date | None = None
+    stream_id: str | None = None
     batch_id: int | None = None
     seq: int = 0
     started_at: datetime | None = None
@@ -85,7 +94,8 @@ class Run:
     rows_indeterminate: int = 0
     rows_inserted: int = 0
     rows_updated: int = 0
-    last_key: int = 0
+    last_keys: dict[str, int] = field(default_factory=dict)
+    snapshots: list[str] = field(default_factory=list)
     status: str = RUNNING
     error_msg: str | None = None
 
@@ -117,6 +127,7 @@ class Ledger:
         source_name: str,
         execution_date: date | None = None,
         batch_id: int | None = None,
+        stream_id: str | None = None,
     ) -> Iterator[Run]:
         """Open a run before any work; close it with what the body left in it."""
         run = Run(
@@ -124,6 +135,7 @@ class Ledger:
             job_name=job_name,
             source_name=source_name,
             execution_date=execution_date,
+            stream_id=stream_id,
             batch_id=batch_id,
             started_at=utc_now(),
         )
@@ -157,9 +169,13 @@ class Ledger:
             runs = runs.where(F.col("execution_date") == F.lit(execution_date))
         return runs.orderBy(F.desc("finished_at"), F.desc("run_id")).first()
 
-    def batch_done(self, job_name: str, source_name: str, batch_id: int) -> bool:
-        runs = self.successes(job_name, source_name)
-        return not runs.where(F.col("batch_id") == batch_id).isEmpty()
+    def batch_run(
+        self, job_name: str, source_name: str, batch_id: int, stream_id: str | None
+    ) -> str | None:
+        """The committed run of a stream's micro-batch; another stream's batches do not count."""
+        same = (F.col("batch_id") == batch_id) & F.col("stream_id").eqNullSafe(F.lit(stream_id))
+        row = self.successes(job_name, source_name).where(same).select("run_id").first()
+        return row["run_id"] if row else None
 
     def watermark(
         self, source_name: str, seed: datetime | None = WATERMARK_SEED

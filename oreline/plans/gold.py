@@ -82,9 +82,11 @@ class Load:
     lateness: timedelta
     watermark: datetime | None
 
-    def last_key(self) -> int:
+    def last_key(self, table: str) -> int:
+        """The highest surrogate key that committed runs gave out in ``table``."""
         runs = self.lake.ledger.successes(GOLD, self.process)
-        return runs.agg(F.coalesce(F.max("last_key"), F.lit(0))).first()[0]
+        given = F.try_element_at("last_keys", F.lit(table))
+        return runs.agg(F.coalesce(F.max(given), F.lit(0))).first()[0]
 
 
 LoadStep = Callable[[Load, Mapping[str, Any]], None]
@@ -126,13 +128,14 @@ def scd2_schema(staged: T.StructType, spec: Scd2) -> T.StructType:
 def _insert_new(load: Load, step: Mapping[str, Any]) -> None:
     schema = insert_schema(load.staged.schema, step)
     existing = read_appended(load.lake, step["table"], load.process, schema)
-    start = load.last_key()
+    start = load.last_key(step["table"])
     fresh = insert_if_new(existing, load.staged, step["key"], step.get("surrogate"), start)
     path = f"{load.lake.table(step['table'])}/run_id={load.run.run_id}"
     fresh.select(*schema.names).write.parquet(path)
     inserted = load.spark.read.schema(schema).parquet(path).count()
     load.run.rows_inserted += inserted
-    load.run.last_key = start + inserted if step.get("surrogate") else 0
+    if step.get("surrogate"):
+        load.run.last_keys[step["table"]] = start + inserted
 
 
 @load_step("scd2", "table", "keys", "attributes")
@@ -148,8 +151,8 @@ def _scd2(load: Load, step: Mapping[str, Any]) -> None:
     active = read_active(load.lake, step["table"], load.process, schema, spec.active)
     changes = materialize(scd2_changes(active, load.staged, spec), "scd2-changes")
     changed = changes.count()
-    start = load.last_key()
-    load.run.last_key = start
+    start = load.last_key(step["table"])
+    load.run.last_keys[step["table"]] = start
     if not changed:
         return  # the previous snapshot stays the current one
     after = scd2_sweep(active, changes, spec).unionByName(scd2_inserts(changes, spec, start))
@@ -159,7 +162,8 @@ def _scd2(load: Load, step: Mapping[str, Any]) -> None:
     counts = committed_rows(load.lake, path, spec.active)
     load.run.rows_inserted += changed
     load.run.rows_updated += counts.get("false", 0)
-    load.run.last_key = start + changed
+    load.run.last_keys[step["table"]] = start + changed
+    load.run.snapshots.append(step["table"])
 
 
 def fact_schema(step: Mapping[str, Any], staged: T.StructType) -> T.StructType:
@@ -177,7 +181,7 @@ def fact_schema(step: Mapping[str, Any], staged: T.StructType) -> T.StructType:
 @load_step("fact", "table", "surrogate", "date_key", "event_time", "lookups", "measures")
 def _fact(load: Load, step: Mapping[str, Any]) -> None:
     moment, surrogate = step["event_time"], step["surrogate"]
-    start = load.last_key()
+    start = load.last_key(step["table"])
     # Keys follow the staged files, so a repeated load gives the same keys.
     facts = keys_by_position(load.staged, surrogate, start)
     schema = fact_schema(step, load.staged.schema)
@@ -215,7 +219,7 @@ def _fact(load: Load, step: Mapping[str, Any]) -> None:
     counts = committed_rows(load.lake, path, "resolved")
     load.run.rows_inserted += counts.get("true", 0)
     load.run.rows_rejected += counts.get("false", 0)
-    load.run.last_key = start + load.run.rows_valid
+    load.run.last_keys[step["table"]] = start + load.run.rows_valid
 
 
 def _natural_keys(step: Mapping[str, Any]) -> list[str]:
@@ -313,6 +317,7 @@ def gold_job(
     execution_date: date,
     silver_run_id: str | None = None,
     batch_id: int | None = None,
+    stream_id: str | None = None,
     use_watermark: bool = True,
     lateness: timedelta = timedelta(0),
     as_of: datetime | None = None,
@@ -325,7 +330,7 @@ def gold_job(
     """
     process = config.get("process_type", "?")
     mark = config.get("watermark") or {}
-    with lake.ledger.run(GOLD, process, execution_date, batch_id) as run:
+    with lake.ledger.run(GOLD, process, execution_date, batch_id, stream_id) as run:
         watermark = None
         if use_watermark and mark.get("apply_filter"):
             seed = mark.get("seed")

@@ -104,11 +104,9 @@ def read_appended(
     )
 
 
-def snapshot_run(lake: Lake, process: str) -> str | None:
-    """The last committed run that wrote a new snapshot of active versions."""
-    runs = lake.ledger.successes(GOLD, process).where(
-        F.col("rows_inserted") + F.col("rows_updated") > 0
-    )
+def snapshot_run(lake: Lake, process: str, table: str) -> str | None:
+    """The last committed run that wrote a new snapshot of the table's active versions."""
+    runs = lake.ledger.successes(GOLD, process).where(F.array_contains("snapshots", table))
     row = runs.orderBy(F.desc("finished_at"), F.desc("run_id")).first()
     return row["run_id"] if row else None
 
@@ -117,15 +115,13 @@ def read_active(
     lake: Lake, table: str, process: str, schema: T.StructType, active: str = "is_active"
 ) -> DataFrame:
     """The active versions: one run's snapshot, found by partition values alone."""
-    run_id = snapshot_run(lake, process)
+    run_id = snapshot_run(lake, process, table)
     if run_id is None:
         return lake.spark.createDataFrame([], as_nullable(schema))
     path = f"{lake.table(table)}/run_id={run_id}"
-    return (
-        read_if_present(lake.spark, path, as_nullable(schema))
-        .where(F.col(active))
-        .select(*schema.names)
-    )
+    # The ledger names this folder: if it is gone, that is an error and not an empty table.
+    rows = lake.spark.read.schema(as_nullable(schema)).parquet(path)
+    return rows.where(F.col(active)).select(*schema.names)
 
 
 def read_versions(

@@ -59,6 +59,7 @@ def silver_job(
     allow_empty: bool = False,
     raw: DataFrame | None = None,
     batch_id: int | None = None,
+    stream_id: str | None = None,
 ) -> Run:
     """Load one day of a source.
 
@@ -67,7 +68,7 @@ def silver_job(
     are on record, and the run's valid rows stay unpublished.
     """
     source = contract.source_name
-    with lake.ledger.run(SILVER, source, execution_date, batch_id) as run:
+    with lake.ledger.run(SILVER, source, execution_date, batch_id, stream_id) as run:
         if raw is None:
             raw = read_source(spark, contract, day_folder(lake.bronze(source), execution_date))
         judged = judged_rows(raw, contract, execution_date, as_of, null_policy)

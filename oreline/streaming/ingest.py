@@ -6,6 +6,7 @@ check and a copy step would otherwise do.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 from typing import Any
@@ -88,7 +89,8 @@ def stream_silver(
     """Run the Silver job on each micro-batch; a batch that was committed is skipped."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if not lake.ledger.batch_done(SILVER, contract.source_name, batch_id):
+        stream = stream_identity(spark, checkpoint)
+        if lake.ledger.batch_run(SILVER, contract.source_name, batch_id, stream) is None:
             silver_job(
                 spark,
                 lake,
@@ -97,6 +99,7 @@ def stream_silver(
                 as_of=as_of,
                 raw=batch,
                 batch_id=batch_id,
+                stream_id=stream,
             )
 
     return _start(stream_source(spark, contract, incoming, files_per_batch), checkpoint, load)
@@ -133,11 +136,17 @@ def stream_daily(
             raw=batch,
             batch_id=batch_id,
             use_watermark=False,
+            stream_id=stream_identity(spark, checkpoint),
         )
 
     return _start(stream_source(spark, contract, incoming, files_per_batch), checkpoint, load)
 
 
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint; batch numbers count from 0 in each new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def _day_of(date_of: Callable[[int], date] | None, batch_id: int) -> date:
     return date_of(batch_id) if date_of else utc_now().date()
 

@@ -202,8 +202,9 @@ def simulated_ledger(source: DataFrame) -> DataFrame:
         ),
         SCHEMA,
         {
-            "batch_id": None, "watermark_start": None, "rows_valid": 0, "rows_rejected": 0,
-            "rows_indeterminate": 0, "rows_inserted": 0, "rows_updated": 0, "last_key": 0,
+            "stream_id": None, "batch_id": None, "watermark_start": None, "rows_valid": 0, "rows_rejected": 0,
+            "rows_indeterminate": 0, "rows_inserted": 0, "rows_updated": 0, "last_keys": None,
+            "snapshots": None,
         },
     )
 

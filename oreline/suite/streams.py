@@ -62,6 +62,27 @@ def _incremental(spark, sf_dir):
     return facts_of(streamed_lake(spark, sf_dir))
 
 
+@query("stream_new_checkpoint", FACT_SQL)
+def _new_checkpoint(spark, sf_dir):
+    """Each delivery by a stream of its own: batches of one number are not taken for the same."""
+    lake = fresh_lake(spark)
+    for day, raw in zip((FIRST_DAY, SECOND_DAY), deliveries(spark, sf_dir)):
+        incoming, checkpoint = scratch_path(spark, "incoming"), scratch_path(spark, "checkpoint")
+        raw.write.option("header", True).csv(incoming)
+        stream_daily(
+            spark,
+            lake,
+            CONTRACT,
+            DIMENSIONS,
+            FACTS,
+            incoming,
+            checkpoint,
+            as_of=AS_OF,
+            date_of=lambda batch_id, day=day: day,
+        ).awaitTermination()
+    return facts_of(lake)
+
+
 @query("stream_customers", DELIVERED_SQL + "SELECT * FROM versions")
 def _customers(spark, sf_dir):
     return customer_versions(streamed_lake(spark, sf_dir))

@@ -103,10 +103,10 @@ def test_rerunning_a_day_adds_nothing(spark, lake):
     lines = [line("1", "a"), line("2", "b")]
     day(spark, lake, lines, DAY)
     before = facts(lake)
-    snapshot = snapshot_run(lake, "dim_customer")
+    snapshot = snapshot_run(lake, "dim_customer", "dim_customer")
     day(spark, lake, lines, DAY)
     assert facts(lake) == before
-    assert snapshot_run(lake, "dim_customer") == snapshot  # nothing changed, nothing rewritten
+    assert snapshot_run(lake, "dim_customer", "dim_customer") == snapshot  # nothing changed, nothing rewritten
 
 
 def test_days_one_by_one_equal_one_batch(spark, lake):
@@ -230,6 +230,31 @@ def test_stream_takes_each_file_once(spark, lake):
     assert [f[0] for f in facts(lake)] == ["a", "b"]
 
 
+def test_a_new_checkpoint_loads_its_own_batches(spark, lake):
+    for account in ("a", "b"):
+        incoming, checkpoint = scratch_path(spark, "in"), scratch_path(spark, "cp")
+        raw(spark, [line("1", account)]).write.option("header", True).csv(incoming)
+        for _ in range(2):
+            stream_daily(spark, lake, CONTRACT, DIMENSIONS, FACTS, incoming, checkpoint, as_of=AS_OF,
+                         date_of=lambda batch: DAY).awaitTermination()
+    assert [f[0] for f in facts(lake)] == ["a", "b"]
+
+
+def test_two_load_steps_keep_their_own_keys_and_snapshots(spark, lake):
+    config = copy.deepcopy(CUSTOMER_PROCESS)
+    config["target"]["load"].append(
+        {"step": "insert_new", "table": "customer_days", "key": ["id_type", "id_number", "valid_from"],
+         "surrogate": "sk_day"}
+    )
+    both = [line("1", "a"), line("2", "b")]
+    for when, lines in ((DAY, both), (NEXT, both), (date(2024, 1, 3), [*both, line("3", "c")])):
+        daily_load(spark, lake, CONTRACT, [config], [], when, as_of=AS_OF, raw=raw(spark, lines))
+    versions = rows(customer_versions(lake).select("sk_customer", "id_number", "is_active"))
+    assert versions == [(1, 1, True), (2, 2, True), (3, 3, True)]
+    days = spark.read.parquet(lake.table("customer_days")).select("sk_day")
+    assert rows(days) == [(i,) for i in range(1, 8)]
+
+
 def test_stream_silver_one_file_per_batch(spark, lake):
     incoming, checkpoint = scratch_path(spark, "in"), scratch_path(spark, "cp")
     for i in range(2):
