@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreline.llm.words import Words, mix, run_hashes, words
+from oreline.operators.joins import lookup_join
 from oreline.session import materialize
 
 SEED = np.uint64(0x5851F42D4C957F2D)
@@ -192,11 +193,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= percent * union, decided on the full sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"), F.col("shingles").alias("sb"))
-    # Sizes and sketches rule out most pairs that are too far apart, before full sets travel.
+    # Sizes and sketches rule out most pairs that are too far apart, before full sets travel, and
+    # sets of documents in no pair stay where they are.
     near = ("na", "pa", "nb", "pb")
     sized = (
         pairs.join(left.drop("sa"), "a")
-        .join(right.drop("sb"), "b")
+        .join(right.drop("sb").join(pairs.select("b"), "b", "left_semi"), "b")
         .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
         .select("a", "b", *near)
     )
@@ -232,7 +234,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     return (
         sifted.join(left.drop("na", "pa"), "a")
-        .join(right.drop("nb", "pb"), "b")
+        .join(right.drop("nb", "pb").join(sifted.select("b"), "b", "left_semi"), "b")
         .select("a", "b", "sa", "sb")
         .mapInArrow(compare, "a bigint, b bigint")
     )
@@ -328,13 +330,22 @@ def near_duplicates(
     sketched = materialize(sketch(docs, k, bands, rows, lower), "sketches")
     own = sketched.where("doc_id is not null and n_shingles > 0")
     reps = materialize(own.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "sets")
-    # The representative's own row brings the bands; copies do not come along.
-    members = (
-        own.join(reps.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
-        .select("doc_id", F.posexplode("bands").alias("band", "value"))
+    # The representative's own row brings the bands; copies do not come along.  Bands mix salts of
+    # their own, so a value names its band, too.
+    members = own.join(
+        reps.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi"
+    ).select("doc_id", F.explode("bands").alias("value"))
+    # Most values belong to one document: three numbers a value are all that travels to find the others.
+    met = materialize(
+        members.groupBy("value")
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        .where("low < high")
+        .select("value", "low"),
+        "met",
     )
-    ends = members.groupBy("band", "value").agg(
-        F.min("doc_id").alias("low"),
+    meeting = materialize(lookup_join(members, met, ["value"], "doc_id"), "meeting")
+    company = meeting.groupBy("value").agg(
+        F.min("low").alias("low"),
         F.max("doc_id").alias("high"),
         F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("doc_id")).alias("x1"),
@@ -342,13 +353,12 @@ def near_duplicates(
     )
     # Documents that meet in many bands meet in the same company: one bucket of each is enough.
     shared = materialize(
-        ends.where("low < high")
-        .groupBy("low", "high", "n", "x1", "x2")
-        .agg(F.min(F.struct("band", "value")).alias("bucket"))
-        .select("bucket.band", "bucket.value", "low", "n"),
+        company.groupBy("low", "high", "n", "x1", "x2")
+        .agg(F.min("value").alias("value"))
+        .select("value", "n"),
         "buckets",
     )
-    crowded = materialize(members.join(shared, ["band", "value"]), "members")
+    crowded = materialize(lookup_join(meeting, shared, ["value"], "doc_id"), "members")
     wanted = crowded.select("doc_id").distinct()
     sets = materialize(
         full_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), k, lower),
@@ -407,23 +417,23 @@ def _unconnected(crowded: DataFrame, found: DataFrame, sets: DataFrame, percent:
     A bucket's members are dealt into blocks and every two blocks meet in one task, which holds 2 * BLOCK members at most.
     """
     placed = materialize(
-        _rooted(crowded.where("n > 2").select("band", "value", "doc_id"), found, "doc_id")
+        _rooted(crowded.where("n > 2").select("value", "doc_id"), found, "doc_id")
         .withColumnRenamed("rdoc_id", "root"),
         "placed",
     )
-    sizes = placed.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
+    sizes = placed.groupBy("value", "root").agg(F.count("*").alias("n"))
     mixed = (
-        sizes.groupBy("band", "value")
+        sizes.groupBy("value")
         .agg(F.count("*").alias("c"), F.sum("n").alias("members"))
         .where("c > 1")
-        .select("band", "value", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+        .select("value", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     )
     dealt = (
-        placed.join(materialize(mixed, "mixed"), ["band", "value"])
+        placed.join(materialize(mixed, "mixed"), ["value"])
         .withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "root"
+            "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "root"
         )
     )
     sketched = dealt.join(sets.select("doc_id", "n", "parity"), "doc_id")
@@ -459,5 +469,5 @@ def _unconnected(crowded: DataFrame, found: DataFrame, sets: DataFrame, percent:
         )
 
     return (
-        sketched.groupBy("band", "value", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
+        sketched.groupBy("value", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
     )
