@@ -359,9 +359,10 @@ def near_duplicates(
         "buckets",
     )
     crowded = materialize(lookup_join(meeting, shared, ["value"], "doc_id"), "members")
-    wanted = crowded.select("doc_id").distinct()
+    # Texts stay where they are while the ids that meet others are few enough to be sent to them.
+    wanted = materialize(crowded.select("doc_id").distinct(), "wanted")
     sets = materialize(
-        full_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), k, lower),
+        full_sets(lookup_join(docs.select("doc_id", "text"), wanted, ["doc_id"], "doc_id"), k, lower),
         "shingles",
     )
     # First one pair per document, with the smallest it meets; then the smallest of its other buckets.
