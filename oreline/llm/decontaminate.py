@@ -5,8 +5,8 @@
 2. A window reaches the similarity only if enough of its shingles are shingles of items of its size; bitmaps
    of fixed size, filled by all items, count them and can only err towards keeping a window.
 3. Windows and items get a 64-bit SimHash over their words.  The fingerprint is cut into
-   ``radius + 1`` blocks: two within ``radius`` bits agree on at least one, so a join on (size, block, value) finds
-   all of them.
+   ``radius // 3 + 1`` blocks: two within ``radius`` bits differ by at most ``FLIPS`` bits in at least one.  Items give
+   all values so near to each of their blocks, so a join on (size, block, value) finds all of them.
 4. Candidates within the radius are verified by the weighted similarity of their shingles: the sum of the
    lesser counts over the sum of the larger.
 """
@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from oreline.session import materialize
 
 #: Bits of the bitmap of shingles, as a power of two: 2 MB.
 BITMAP = 24
+#: Bits by which the nearest of ``radius // 3 + 1`` blocks may differ: ``radius // blocks`` is 2 at most.
+FLIPS = 2
 SCHEMA = "id bigint, start bigint, n_words bigint, print bigint, shingles array<bigint>"
 
 
@@ -168,19 +171,34 @@ def window_prints(docs: DataFrame, maps, k: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(make, SCHEMA)
 
 
-def blocks(print_: Column, radius: int) -> Column:
-    """The ``radius + 1`` blocks of a fingerprint."""
-    edges = np.linspace(0, 64, radius + 2).astype(int).tolist()
-    return F.array(
-        *[
-            F.shiftrightunsigned(F.shiftleft(print_, 64 - high), 64 - high + low)
-            for low, high in zip(edges[:-1], edges[1:])
-        ]
-    )
+def block_edges(radius: int) -> list[tuple[int, int]]:
+    edges = np.linspace(0, 64, radius // 3 + 2).astype(int).tolist()
+    return list(zip(edges[:-1], edges[1:]))
+
+
+def blocks(print_: Column, radius: int) -> list[Column]:
+    """The blocks of a fingerprint."""
+    return [
+        F.shiftrightunsigned(F.shiftleft(print_, 64 - high), 64 - high + low)
+        for low, high in block_edges(radius)
+    ]
+
+
+def near_blocks(print_: Column, radius: int) -> list[Column]:
+    """For each block of a fingerprint, the array of values within ``FLIPS`` bits."""
+
+    def near(value: Column, width: int) -> Column:
+        flips = [sum(1 << b for b in c) for n in range(FLIPS + 1) for c in combinations(range(width), n)]
+        return F.transform(
+            F.array(*[F.lit(f).cast("long") for f in flips]), lambda f: f.bitwiseXOR(value)
+        )
+
+    widths = [high - low for low, high in block_edges(radius)]
+    return [near(*pair) for pair in zip(blocks(print_, radius), widths)]
 
 
 def find_passages(
-    docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, radius: int = 11
+    docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, radius: int = 23
 ) -> DataFrame:
     """(doc_id, item_id, start, n_words, distance, similarity): the best window of each pair.
 
@@ -199,14 +217,14 @@ def find_passages(
         "start",
         "n_words",
         F.col("print").alias("dp"),
-        F.posexplode(blocks(F.col("print"), radius)).alias("block", "value"),
+        F.posexplode(F.array(*blocks(F.col("print"), radius))).alias("block", "value"),
     )
     theirs = prints.select(
         F.col("id").alias("item_id"),
         "n_words",
         F.col("print").alias("ip"),
-        F.posexplode(blocks(F.col("print"), radius)).alias("block", "value"),
-    )
+        F.posexplode(F.array(*near_blocks(F.col("print"), radius))).alias("block", "values"),
+    ).select("item_id", "n_words", "ip", "block", F.explode("values").alias("value"))
     near = (
         mine.join(theirs, ["n_words", "block", "value"])
         .withColumn("distance", F.bit_count(F.col("dp").bitwiseXOR(F.col("ip"))))
