@@ -1,7 +1,7 @@
 """Finds passages of benchmark items in documents: SimHash of item-sized windows.
 
 1. Items and documents are words: lower case, letters and digits only.  A window has as many words as
-   an item.
+   an item; a document with fewer is one window as a whole, for each size whose items it can be similar to.
 2. A window reaches the similarity only if enough of its shingles are shingles of items of its size; bitmaps
    of fixed size, filled by all items, count them and can only err towards keeping a window.
 3. Windows and items get a 64-bit SimHash over their words.  The fingerprint is cut into
@@ -29,7 +29,8 @@ from oreline.session import materialize
 BITMAP = 24
 #: Bits by which the nearest of ``radius // 3 + 1`` blocks may differ: ``radius // blocks`` is 2 at most.
 FLIPS = 2
-SCHEMA = "id bigint, start bigint, n_words bigint, print bigint, shingles array<bigint>"
+#: ``size`` is the words of the items to compare with, ``n_words`` those of the window or item itself.
+SCHEMA = "id bigint, start bigint, size bigint, n_words bigint, print bigint, shingles array<bigint>"
 
 
 def lowered(texts: pa.Array) -> pa.Array:
@@ -59,9 +60,10 @@ def item_prints(items: DataFrame, k: int) -> DataFrame:
                 for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
                     if b - a >= k:
                         shingles = run_hashes(group.hash, np.arange(a, b - k + 1), k)
-                        print_ = simhash(group.hash, np.array([a]), b - a).view(np.int64)[0]
+                        n = int(b - a)
+                        print_ = simhash(group.hash, np.array([a]), n).view(np.int64)[0]
                         rows.append(
-                            (ids[group.first_row + i], 0, int(b - a), int(print_), shingles.view(np.int64).tolist())
+                            (ids[group.first_row + i], 0, n, n, int(print_), shingles.view(np.int64).tolist())
                         )
                 yield _batch(rows)
 
@@ -69,8 +71,8 @@ def item_prints(items: DataFrame, k: int) -> DataFrame:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-    names = ("id", "start", "n_words", "print", "shingles")
+    kinds = (*[pa.int64()] * 5, pa.list_(pa.int64()))
+    names = ("id", "start", "size", "n_words", "print", "shingles")
     return pa.RecordBatch.from_arrays(
         [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(kinds)], names=names
     )
@@ -116,9 +118,9 @@ def _has(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bitmap[slots >> 5] >> (slots & 31).astype(np.uint32)) & np.uint32(1) == 1
 
 
-def needed(n: int, percent: int) -> int:
-    """The least shingles two sequences of ``n`` must share: inter >= percent% of (2 n - inter)."""
-    return -(-2 * n * percent // (100 + percent))
+def needed(m: int, n: int, percent: int) -> int:
+    """The least shingles sequences of ``m`` and ``n`` must share: inter >= percent% of (m + n - inter)."""
+    return -(-(m + n) * percent // (100 + percent))
 
 
 def window_prints(docs: DataFrame, maps, k: int, percent: int) -> DataFrame:
@@ -127,7 +129,8 @@ def window_prints(docs: DataFrame, maps, k: int, percent: int) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         any_size, by_size, sizes = shared.value
-        least = min((needed(n - k + 1, percent) for n in sizes), default=0)
+        # no shorter sequence is similar to a size's items than one all of whose shingles are theirs
+        least = min((-(-(n - k + 1) * percent // 100) for n in sizes), default=0)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist() if sizes else []
             for group in words(lowered(batch.column("text")), SYMBOLS) if sizes else ():
@@ -145,9 +148,10 @@ def window_prints(docs: DataFrame, maps, k: int, percent: int) -> DataFrame:
                     own = hit[c : c + n]
                     first = np.searchsorted(at, a)  # this document's first shingle
                     for size in sizes:
-                        m = size - k + 1
-                        need = needed(m, percent)
-                        if size > b - a or n < need:
+                        length = min(size, b - a)
+                        m = length - k + 1
+                        need = needed(m, size - k + 1, percent)
+                        if m < need or n < need:
                             continue
                         sure = own[_has(by_size, _slots(h[own], size))] - first
                         if len(sure) < need:
@@ -158,10 +162,10 @@ def window_prints(docs: DataFrame, maps, k: int, percent: int) -> DataFrame:
                         starts = np.flatnonzero(mark[m:] - mark[:-m] >= need)
                         if not len(starts):
                             continue
-                        prints = simhash(group.hash, starts + a, size).view(np.int64).tolist()
+                        prints = simhash(group.hash, starts + a, length).view(np.int64).tolist()
                         for s, p in zip(starts.tolist(), prints):
                             got = h[first + s : first + s + m].view(np.int64).tolist()
-                            rows.append((ids[group.first_row + i], s, size, p, got))
+                            rows.append((ids[group.first_row + i], s, size, length, p, got))
                             if len(rows) >= 2000:
                                 yield _batch(rows)
                                 rows = []
@@ -204,7 +208,8 @@ def find_passages(
 
     ``docs``: doc_id, text; ``items``: item_id, text; other columns are ignored.  A window qualifies if it is
     within ``radius`` bits and its similarity is ``percent`` or more; ties go to the first in the text.  Positions count
-    words.  Items with fewer than ``k`` words, and rows without an id or text, take no part.  Rows that
+    words, and ``n_words`` is the window's own: a document with fewer words than the item is compared as a whole.
+    Items with fewer than ``k`` words, and rows without an id or text, take no part.  Rows that
     share a doc_id are searched one by one and reported together.
     """
     prints = materialize(item_prints(items, k), "items")
@@ -215,21 +220,22 @@ def find_passages(
     mine = windows.select(
         F.col("id").alias("doc_id"),
         "start",
+        "size",
         "n_words",
         F.col("print").alias("dp"),
         F.posexplode(F.array(*blocks(F.col("print"), radius))).alias("block", "value"),
     )
     theirs = prints.select(
         F.col("id").alias("item_id"),
-        "n_words",
+        "size",
         F.col("print").alias("ip"),
         F.posexplode(F.array(*near_blocks(F.col("print"), radius))).alias("block", "values"),
-    ).select("item_id", "n_words", "ip", "block", F.explode("values").alias("value"))
+    ).select("item_id", "size", "ip", "block", F.explode("values").alias("value"))
     near = (
-        mine.join(theirs, ["n_words", "block", "value"])
+        mine.join(theirs, ["size", "block", "value"])
         .withColumn("distance", F.bit_count(F.col("dp").bitwiseXOR(F.col("ip"))))
         .where(F.col("distance") <= radius)
-        .select("doc_id", "start", "n_words", "dp", "item_id", "distance")
+        .select("doc_id", "start", "size", "n_words", "dp", "item_id", "distance")
         .distinct()
     )
 
@@ -249,11 +255,16 @@ def find_passages(
             )
 
     own = windows.select(
-        F.col("id").alias("doc_id"), "start", "n_words", F.col("print").alias("dp"), F.col("shingles").alias("x")
+        F.col("id").alias("doc_id"),
+        "start",
+        "size",
+        "n_words",
+        F.col("print").alias("dp"),
+        F.col("shingles").alias("x"),
     )
     exact = (
-        near.join(own, ["doc_id", "start", "n_words", "dp"])
-        .join(prints.select(F.col("id").alias("item_id"), F.col("shingles").alias("y"), "n_words"), ["item_id", "n_words"])
+        near.join(own, ["doc_id", "start", "size", "n_words", "dp"])
+        .join(prints.select(F.col("id").alias("item_id"), F.col("shingles").alias("y"), "size"), ["item_id", "size"])
         .select("doc_id", "item_id", "start", "n_words", "distance", "x", "y")
         .mapInArrow(
             measure,

@@ -65,3 +65,23 @@ def test_near_blocks_meet_all_within_the_radius(spark):
             meets = met if meets is None else meets | met
         within = decontaminate.F.bit_count(frame.a.bitwiseXOR(frame.b)) <= radius
         assert frame.where(within).count() and not frame.where(within & ~meets).count()
+
+
+def test_documents_shorter_than_the_item(spark):
+    """An item less a few words, standing as a document of its own."""
+    rng = random.Random(13)
+    items, docs, expected = [], [], {}
+    for i, n in enumerate((49, 16, 16, 100, 40, 7, 5, 22) * 6):
+        item = prose(rng, n)
+        cut = rng.randint(1, max(1, n // 8))
+        at = rng.choice((0, n - cut, n // 2))
+        copy = item[:at] + item[at + cut :]
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join(copy)))
+        a, b = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (copy, item))
+        if a and 100 * len(a & b) >= 80 * len(a | b):
+            expected[i, i] = (len(copy), len(a & b) / len(a | b))
+    assert expected[0, 0] and len(expected) > 10 and not brute.passages(docs, items)
+    assert found(spark, docs, items) == expected
+    long, short = " ".join(prose(rng, 1000)), " ".join(prose(rng, 4))
+    assert not found(spark, [(1, short), (2, None), (3, "")], [(1, long), (2, short)])
