@@ -5,6 +5,8 @@ that splitting by the same pattern leaves alternate, so their running lengths ar
 the spans.  Candidate strings for the entropy test are maximal runs of a
 character class; a window slides over each, and the counts of the window's characters are kept
 up by one addition and one subtraction a step, with the sum of c * log2(c) beside them.
+What tells that a string is no secret is asked of the whole string, or of its parts between separators, never
+searched for anywhere in it: a long secret holds any short pattern by accident.
 """
 
 from __future__ import annotations
@@ -43,19 +45,28 @@ class EntropyClass:
     needs: tuple[str, ...]
 
 
+#: A path (``data-``, ``//`` or ``/x/y/``) is a candidate only if a part of it is no word: words are lower case or
+#: CamelCase, or upper case, with up to four digits at the end.
+NO_PATH = (
+    r"^(?!data[-_/]|.*//|.*/[^/]{1,12}/[^/]{1,12}/)"
+    r"|(?<![^-_/=])(?=[^-_/=])(?!(?:[a-z]*(?:[A-Z][a-z]+){0,8}|[A-Z]+)[0-9]{0,4}(?:[-_/=]|$))"
+)
+
 CLASSES = (
     EntropyClass("high_hex", r"[0-9A-F]{32,}", 32, 3.0, ("[0-9]", "[A-F]")),
     EntropyClass(
-        "high_base64", r"[A-Za-z0-9+/_=-]{24,}", 24, 3.9, ("[0-9]", "[A-Z]", "[a-z]")
+        "high_base64", r"[A-Za-z0-9+/_=-]{24,}", 24, 3.9, ("[0-9]", "[A-Z]", "[a-z]", NO_PATH)
     ),
 )
 
-#: Candidates that match one of these are no secrets.
+#: Words of made-up values.  A candidate with one is judged by what stays when the word and up to 16
+#: letters or digits on either side of it are taken out.
+PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|dummy|redacted"
+
+#: Candidates that match one of these as a whole are no secrets.
 ALLOW = (
-    r"(?i)example|sample|placeholder|changeme|dummy|redacted",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^(?:[A-Za-z]+[-_/])+[A-Za-z]+$",
-    r"^data[-_/]|//|/[^/]{1,12}/[^/]{1,12}/",
 )
 
 FOUND = "struct<at: int, match: string>"
@@ -145,11 +156,12 @@ def find_secrets(
     docs: DataFrame,
     classes: tuple[EntropyClass, ...] = CLASSES,
     allow: tuple[str, ...] = ALLOW,
+    placeholder: str = PLACEHOLDER,
 ) -> DataFrame:
     """``docs`` with ``spans``, an array of (start, kind_no, kind, end), in that order.
 
     Kinds are those of the patterns, then those of the entropy ``classes``.  Positions are code points, the end exclusive.  ``allow``
-    suppresses entropy candidates only, never a pattern's match.  A null text is empty; rows may
+    and ``placeholder`` suppress entropy candidates only, never a pattern's match.  A null text is empty; rows may
     repeat, and are judged one by one.
     """
     kinds = [(k, p, g, n) for k, p, g, n in PATTERNS]
@@ -167,8 +179,7 @@ def find_secrets(
         )
 
     def entropic(number: int, c: EntropyClass) -> Column:
-        def judged(m: Column) -> Column:
-            match = m["match"]
+        def fitting(match: Column) -> Column:
             fits = F.lit(True)
             for pattern in c.needs:
                 fits = fits & match.rlike(pattern)
@@ -176,8 +187,16 @@ def find_secrets(
                 fits = fits & ~match.rlike(pattern)
             return fits
 
-        def measured(m: Column) -> Column:
-            chars = F.split(m["match"], "")
+        def judged(m: Column) -> Column:
+            around = "(?i)[A-Za-z0-9]{0,16}(?:" + placeholder.removeprefix("(?i)") + ")[A-Za-z0-9]{0,16}"
+            parts = F.regexp_extract_all(
+                F.regexp_replace(m["match"], around, " "), F.lit(c.pattern), F.lit(0)
+            )
+            left = F.exists(parts, lambda p: fitting(p) & (slid(p)["low"] >= 0))
+            return fitting(m["match"]) & (~m["match"].rlike(placeholder) | left)
+
+        def slid(match: Column) -> Column:
+            chars = F.split(match, "")
             # one-element arrays bind what is used many times, so that it is computed once
             bound = F.transform(
                 F.array(F.struct(chars.alias("c"), F.array_distinct(chars).alias("a"))),
@@ -188,8 +207,11 @@ def find_secrets(
                     F.size(b["a"]).alias("n"),
                 ),
             )
-            slid = F.transform(bound, lambda b: _slide(b["codes"], b["n"], c.window, c.bits))
-            return F.struct(m["at"].alias("at"), F.get(slid, F.lit(0)).alias("hot"))
+            hot = F.transform(bound, lambda b: _slide(b["codes"], b["n"], c.window, c.bits))
+            return F.get(hot, F.lit(0))
+
+        def measured(m: Column) -> Column:
+            return F.struct(m["at"].alias("at"), slid(m["match"]).alias("hot"))
 
         found = F.transform(F.filter(F.col(f"_{c.kind}"), judged), measured)
         return F.transform(
