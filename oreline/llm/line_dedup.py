@@ -29,8 +29,8 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -
     more hold that key, and the document is not the one with the largest doc_id of these, which keeps
     all its lines.  Adds ``n_lines``, ``n_dropped`` and ``kept_text``; columns of ``docs`` stay as they are.
 
-    A null text counts as one empty line, and ``kept_text`` is then empty.  Each row is a
-    document; rows that share a doc_id share their fate, and a row without a doc_id keeps all its lines
+    A null text counts as one empty line, and ``kept_text`` is then empty.  Rows
+    that share a doc_id count as one document and share their fate, and a row without a doc_id keeps all its lines
     and is not counted.
     """
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
@@ -46,7 +46,9 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -
     frequent = materialize(
         docs.where("doc_id is not null")
         .select("doc_id", F.explode(keys).alias("key"))
-        .groupBy("key.h1", "key.h2")
+        .select("doc_id", "key.h1", "key.h2")
+        .distinct()  # rows may share a doc_id
+        .groupBy("h1", "h2")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
         .select("h1", "h2", "keeper"),
