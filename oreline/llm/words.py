@@ -14,16 +14,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 GROUP_BYTES = 2 << 20
-SEED = 20240229
-
 #: ``[\x20\x09-\x0D]``
 BLANKS = tuple(range(0x09, 0x0E)) + (0x20,)
 #: ASCII other than letters and digits
 SYMBOLS = tuple(b for b in range(128) if not chr(b).isalnum())
 
-_BASE = np.uint64(0x9E3779B97F4A7C55)
-_SALTS = np.random.default_rng(SEED).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_powers: list[np.ndarray] = []
+#: Blocks of 8 bytes of a word that are read whole; what is longer is read entry by entry.
+WHOLE = 6
+#: Entries of overlapping spans handled at once.
+BLOCK = 1 << 20
+
+_LENGTH = np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -36,27 +37,49 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of an odd base modulo 2**64, and their inverses."""
-    if not _powers or len(_powers[0]) < n:
-        n = max(n, GROUP_BYTES + 1)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for base in (_BASE, inverse):
-            p = np.full(n, base, dtype=np.uint64)
-            p[0] = 1
-            np.multiply.accumulate(p, out=p)
-            _powers.append(p)
-        del _powers[:-2]
-    return _powers[0], _powers[1]
+_PLACES = mix(np.arange(1, WHOLE + 1, dtype=np.uint64) << np.uint64(32))
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of ``values[start:end]`` for each span; equal spans, equal hashes."""
-    up, down = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """A hash of ``values[start:end]`` for each span; equal spans, equal hashes.
+
+    It is a sum over the entries, each spread together with its place.  (A polynomial modulo 2**64 would
+    be cheaper, but whole families of spans collide under it, whatever the base.)
+    """
+    size = ends - starts
+    bounds = np.concatenate(([0], np.cumsum(size)))
+    total = np.zeros(len(starts), dtype=np.uint64)
+    for low in range(0, int(bounds[-1]), BLOCK):
+        high = min(low + BLOCK, int(bounds[-1]))
+        first = np.searchsorted(bounds, low, side="right") - 1
+        last = np.searchsorted(bounds, high, side="left")
+        count = np.minimum(bounds[first + 1 : last + 1], high) - np.maximum(bounds[first:last], low)
+        place = np.arange(low, high) - np.repeat(bounds[first:last], count)
+        entry = values[np.repeat(starts[first:last], count) + place].astype(np.uint64)
+        spread = mix(entry ^ mix(place.astype(np.uint64)))
+        upto = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(spread)))
+        at = np.cumsum(count)
+        total[first:last] += upto[at] - upto[at - count]
+    return mix(total + size.astype(np.uint64) * _LENGTH)
+
+
+def text_hashes(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of bytes or code points; a sum over blocks of 8 bytes and their places."""
+    per = 8 // code.itemsize
+    blocks = np.lib.stride_tricks.sliding_window_view(np.append(code, np.zeros(per, code.dtype)), per)
+    size = ends - starts
+    total = size.astype(np.uint64) * _LENGTH
+    which = np.flatnonzero(size > 0)
+    for i in range(WHOLE):
+        at, left = starts[which] + i * per, size[which] - i * per
+        block = np.ascontiguousarray(blocks[at]).view(np.uint64).ravel()
+        unused = (np.maximum(per - left, 0) * (64 // per)).astype(np.uint64)
+        total[which] += mix((block << unused) ^ _PLACES[i])
+        which = which[left > per]
+        if not len(which):
+            return mix(total)
+    total[which] += span_hashes(code, starts[which] + WHOLE * per, ends[which])
+    return mix(total)
 
 
 @dataclass
@@ -119,9 +142,8 @@ def words(
     """The words between ``separators``; ``lower`` folds A-Z for the hashes."""
     apart = np.zeros(256, dtype=bool)
     apart[list(separators)] = True
-    salts = _SALTS.copy()
-    if lower:
-        salts[65:91] = salts[97:123]
+    fold = np.arange(256, dtype=np.uint8)
+    fold[65:91] = fold[97:123]
     raw, offsets = utf8(texts)
     for first, last in row_groups(offsets):
         low = offsets[first]
@@ -138,6 +160,7 @@ def words(
         ends[cut - 1] = True
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         row = np.searchsorted(edges, start, side="right") - 1
+        folded = fold[data] if lower else data
         yield Words(
-            first, last - first, row, start, end, span_hashes(salts[data], start, end), data
+            first, last - first, row, start, end, text_hashes(folded, start, end), data
         )
