@@ -200,3 +200,29 @@ def passages(docs, items, k=5, percent=80):
                 if similar * 100 >= percent:
                     out[doc, item] = max(similar, out.get((doc, item), 0))
     return out
+
+
+def periodic_runs(word, least=24):
+    """(start, length, period), by comparing the words with themselves at every lag."""
+    found = {}
+    for lag in range(1, len(word) // 3 + 1):
+        i = 0
+        while i + lag < len(word):
+            j = i
+            while j + lag < len(word) and word[j] == word[j + lag]:
+                j += 1
+            if j + lag - i >= max(least, 3 * lag) and j > i:
+                found.setdefault((i, j + lag - i), lag)
+            i = j + 1
+    return sorted(((s, size, lag) for (s, size), lag in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def strongest(runs):
+    from fractions import Fraction
+
+    return min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+
+
+def without_repeats(word, runs):
+    gone = {i for s, size, lag in runs for i in range(s + lag, s + size)}
+    return [w for i, w in enumerate(word) if i not in gone]
