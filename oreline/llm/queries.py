@@ -19,6 +19,7 @@ from oreline.llm import (
     line_dedup,
     near_dedup,
     packing,
+    phrases,
     runs,
     secret_scan,
     substring,
@@ -160,6 +161,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def with_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, text): every tenth document by the checksum of its doc_id repeats a part of itself to its end."""
 
@@ -238,6 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_secrets,
         op10_url_filter,
+        op11_collocations,
         op12_periodic_runs,
         op13_chat_format,
     )
@@ -247,5 +253,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.SQL,
     "op10_url_filter": urls.SQL,
+    "op11_collocations": phrases.SQL,
     "op13_chat_format": chat.SQL,
 }

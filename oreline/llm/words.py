@@ -137,15 +137,18 @@ def row_groups(offsets: np.ndarray, size: int = GROUP_BYTES) -> Iterator[tuple[i
 
 
 def words(
-    texts: pa.Array, separators: tuple[int, ...] = BLANKS, lower: bool = False
+    texts: pa.Array,
+    separators: tuple[int, ...] = BLANKS,
+    lower: bool = False,
+    size: int = GROUP_BYTES,
 ) -> Iterator[Words]:
-    """The words between ``separators``; ``lower`` folds A-Z for the hashes."""
+    """The words between ``separators``, in groups of about ``size`` bytes; ``lower`` folds A-Z for the hashes."""
     apart = np.zeros(256, dtype=bool)
     apart[list(separators)] = True
     fold = np.arange(256, dtype=np.uint8)
     fold[65:91] = fold[97:123]
     raw, offsets = utf8(texts)
-    for first, last in row_groups(offsets):
+    for first, last in row_groups(offsets, size):
         low = offsets[first]
         data = raw[low : offsets[last]]
         edges = offsets[first : last + 1] - low

@@ -226,3 +226,35 @@ def strongest(runs):
 def without_repeats(word, runs):
     gone = {i for s, size, lag in runs for i in range(s + lag, s + size)}
     return [w for i, w in enumerate(word) if i not in gone]
+
+
+def collocations(rows, least=30, longest=4, covered=80, top=2000):
+    """``rows``: (lang, text).  Counts every phrase as a tuple of words."""
+    totals, counts = defaultdict(int), defaultdict(lambda: defaultdict(int))
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", ascii_lower(text or "")):
+            word = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(word)
+            for m in range(1, longest + 1):
+                for i in range(len(word) - m + 1):
+                    counts[lang][tuple(word[i : i + m])] += 1
+    out = []
+    for lang, found in counts.items():
+        often = {p: a for p, a in found.items() if len(p) > 1 and a >= least}
+        held = defaultdict(int)
+        for p, a in often.items():
+            for m in range(2, len(p)):
+                for i in range(len(p) - m + 1):
+                    held[p[i : i + m]] = max(held[p[i : i + m]], a)
+        best = []
+        for p, a in often.items():
+            if 100 * held[p] >= covered * a:
+                continue
+            score, _, l, r = min(
+                (2_000_000 * a // (found[p[:k]] + found[p[k:]]), k, found[p[:k]], found[p[k:]]) for k in range(1, len(p))
+            )
+            best.append((-score, -a, " ".join(p).encode(), l, r))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(best)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, totals[lang], -score))
+    return sorted(out)
