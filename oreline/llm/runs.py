@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from oreline.llm.words import mix, words
+from oreline.llm.words import kept_text, mix, words
 
 #: The least length of a run, in words and in periods.
 LEAST, PERIODS = 24, 3
@@ -222,25 +222,19 @@ def collapse_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group in words(batch.column("text")):
-                bounds, raw = group.bounds(), group.data.tobytes()
-                counts, lists, best, gone, texts = [], [], [], [], []
-                for i, found in enumerate(find_runs(group.row, group.hash, group.n_rows, least)):
-                    a, b = int(bounds[i]), int(bounds[i + 1])
-                    drop = found.dropped(b - a)
-                    start, end = group.start[a:b][~drop].tolist(), group.end[a:b][~drop].tolist()
-                    counts.append(b - a)
-                    lists.append([dict(zip(("start", "length", "period"), r)) for r in found.runs])
-                    best.append(found.strongest())
-                    gone.append(int(drop.sum()))
-                    texts.append(b" ".join([raw[s:e] for s, e in zip(start, end)]).decode())
+                bounds = group.bounds()
+                found = find_runs(group.row, group.hash, group.n_rows, least)
+                drop = np.concatenate([f.dropped(n) for f, n in zip(found, np.diff(bounds).tolist())])
+                gone = np.bincount(group.row[drop], minlength=group.n_rows)
+                listed = [[dict(zip(("start", "length", "period"), r)) for r in f.runs] for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(group.first_row, group.n_rows),
-                        pa.array(counts, type=pa.int64()),
-                        pa.array(lists, type=pa.list_(RUN)),
-                        pa.array(best, type=RUN),
-                        pa.array(gone, type=pa.int64()),
-                        pa.array(texts, type=pa.string()),
+                        pa.array(np.diff(bounds)),
+                        pa.array(listed, type=pa.list_(RUN)),
+                        pa.array([f.strongest() for f in found], type=RUN),
+                        pa.array(gone),
+                        kept_text(group, ~drop),
                     ],
                     names=["doc_id", "n_words", "runs", "strongest", "n_dropped", "collapsed_text"],
                 )

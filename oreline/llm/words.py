@@ -106,6 +106,23 @@ class Words:
         return np.flatnonzero(self.row[:n] == self.row[k - 1 :])
 
 
+def kept_text(group: Words, keep: np.ndarray) -> pa.Array:
+    """The words of each row that ``keep`` marks, joined by one space."""
+    start, long = group.start[keep], (group.end - group.start)[keep] + 1
+    edge = np.cumsum(long)
+    source = np.arange(edge[-1] if len(edge) else 0) + np.repeat(start - (edge - long), long)
+    data = np.append(group.data, np.uint8(0x20))[source]
+    data[edge - 1] = 0x20
+    row = group.row[keep]
+    last = np.flatnonzero(np.append(row[1:] != row[:-1], True)) if len(row) else edge
+    data = np.delete(data, edge[last] - 1)
+    upto = np.concatenate(([0], edge))[np.searchsorted(row, np.arange(group.n_rows + 1))]
+    upto -= np.searchsorted(row[last], np.arange(group.n_rows + 1))
+    return pa.LargeStringArray.from_buffers(
+        group.n_rows, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data)
+    ).cast(pa.string())
+
+
 def run_hashes(hashes: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     """A hash of the ``k`` entries from each position, depending on their order."""
     h = hashes[at]

@@ -208,6 +208,48 @@ def test_substring(docs, empty):
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_substring_of_rows_that_share_an_id(spark, docs):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (2, "a " + long), (2, "x y"), (2, "a " + long), (2, None), (None, long), (3, "x y z"), (3, long[:200])]
+    odd = spark.createDataFrame([(*r, 7, "p", 1) for r in rows], "doc_id int, text string, part int, parts string, start int")
+    got = [(r.doc_id, r.n_words, r.n_removed, [tuple(s) for s in r.spans]) for r in substring.remove_repeats(odd).collect()]
+    assert sorted(got, key=repr) == sorted([
+        (1, 60, 0, []), (2, 61, 60, [(1, 61)]), (2, 2, 0, []), (2, 61, 60, [(1, 61)]), (2, 0, 0, []), (None, 60, 0, []),
+        (3, 3, 0, []), (3, len(long[:200].split()), len(long[:200].split()) - 1, [(0, len(long[:200].split()) - 1)]),
+    ], key=repr)
+
+
+def thue_morse(n):
+    word = [0]
+    while len(word) < n:
+        word += [1 - x for x in word]
+    return word[:n]
+
+
+@pytest.mark.parametrize("n", [256, 1024, 4096])
+def test_texts_whose_polynomial_hashes_agree(spark, docs, encoder, tmp_path, n):
+    """A Thue-Morse word and its complement, as letters and as words."""
+    word = thue_morse(n)
+    texts = ["".join("ab"[x] for x in word), "".join("ba"[x] for x in word)]
+    texts += [" ".join(("up", "down")[x] for x in word), " ".join(("down", "up")[x] for x in word)]
+    pairs = list(enumerate(texts))
+    odd = spark.createDataFrame(pairs, "doc_id bigint, text string").coalesce(1)
+    token_store.write_store(odd, str(tmp_path / "store"), PATH, end_id=2)
+    store = token_store.read_store(spark, str(tmp_path / "store"))
+    read = token_store.read_documents(store, lambda ids: (zlib.crc32(ids.tobytes()),), {"c": "bigint"})
+    assert tuples(read, "doc_id", "start", "n_tokens", "c") == brute.token_store(pairs, encoder.tokenizer)
+    packed = {}
+    for row in packing.pack(odd, PATH, capacity=64).collect():
+        for p in row.pieces:
+            packed.setdefault(p.doc_id, []).append((p.start, row.ids[p.offset : p.offset + p.length]))
+    for d, t in pairs:
+        assert [i for _, ids in sorted(packed[d]) for i in ids] == encoder.whole(t).tolist() + [0]
+    near = near_dedup.near_duplicates(odd, k=2)
+    assert tuples(near, "doc_id", "n_shingles", "component_id", "kept") == brute.near_dedup(pairs, 2)
+    got = substring.remove_repeats(odd)
+    assert tuples(got, "doc_id", "n_words", "n_removed", "kept_text") == brute.substring(pairs)
+
+
 def test_passages(spark, docs, empty):
     long = next(t for _, t in PAIRS if t and 80 < len(t.split()) < 130)
     items = [(1, " ".join(long.split()[10:60]).upper() + "!!"), (2, None), (3, "one"), (None, long), (4, long)]
