@@ -33,7 +33,7 @@ ENDS = (*range(0x0A, 0x0E), *map(ord, ".,;:!?"))
 BLANKS = (0x20, 0x09)
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Cells along one side of a tile, and pairs per cell from which a tile is counted densely.
 TILE, DENSE = 256, 1 / 8
 #: Rows in a batch that goes back to Spark.
@@ -64,7 +64,7 @@ def chunks(texts: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
                     code, distinct = pd.factorize(group.hash)
                     first = np.empty(len(distinct), dtype=np.int64)
                     first[code[::-1]] = np.arange(len(code))[::-1]
-                    piece = np.cumsum(ending[group.data])[group.start]
+                    piece = np.cumsum(ending[group.data], dtype=np.int32)[group.start]
                     new = (group.row[1:] != group.row[:-1]) | (piece[1:] != piece[:-1])
                     at = np.arange(len(code)) + np.concatenate(([0], np.cumsum(new)))
                     ids = np.full(at[-1] + 1, -1, dtype=np.int32)
