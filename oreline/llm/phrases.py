@@ -7,6 +7,8 @@
 3. Tiles.  Pairs of neighbouring ids are counted per chunk: ids fall into tiles of ``TILE`` x ``TILE`` cells.  Frequent words have small ids, so
    few tiles hold most pairs; those are counted by a dense ``bincount`` over their cells.  The pairs of all other tiles are
    sorted and counted as (row, column, count).
+   Counts travel as blocks, one per chunk and shard of a hash of the pair, and are merged per shard; there are as
+   many shards as bound a shard's size, and a pair has at most one entry per chunk, so none can grow hot.
 4. Recursion.  Pairs that are frequent over all chunks are ranked in turn and take the place of the words: two neighbouring, overlapping
    pairs are a phrase of three words, two such phrases one of four.  A phrase can only be frequent if both parts are.
 5. Scores.  A phrase's row carries the counts of all its beginnings and ends, so each cut is judged exactly.
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreline.llm.words import words
+from oreline.llm.words import mix, tidied, words
 from oreline.operators.joins import lookup_join
 from oreline.operators.keys import dense_keys
 from oreline.session import materialize
@@ -36,8 +38,8 @@ BLANKS = (0x20, 0x09)
 CHUNK_BYTES = 4 << 20
 #: Cells along one side of a tile, and pairs per cell from which a tile is counted densely.
 TILE, DENSE = 256, 1 / 8
-#: Rows in a batch that goes back to Spark.
-ROWS = 1 << 17
+#: Words for each shard of the pairs' hashes.
+SHARD_WORDS = 2_000_000
 
 
 def chunks(texts: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
@@ -90,7 +92,9 @@ def chunks(texts: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(many, names=names)
                     chunk += 1
 
-    return texts.mapInArrow(make, "chunk bigint, lang string, ids binary, code int, word string, n bigint")
+    return texts.mapInArrow(
+        tidied(make), "chunk bigint, lang string, ids binary, code int, word string, n bigint"
+    )
 
 
 def _apart(df: DataFrame) -> DataFrame:
@@ -141,36 +145,111 @@ def tile_counts(left: np.ndarray, right: np.ndarray, n: int) -> tuple[np.ndarray
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def _block(*columns: np.ndarray) -> bytes:
+    return np.stack(columns).astype(np.int64).tobytes()
+
+
+def _columns(blocks: pa.ChunkedArray, n: int) -> list[np.ndarray]:
+    """The columns of blocks, put together."""
+    parts = [np.frombuffer(b, dtype=np.int64).reshape(n, -1) for b in blocks.to_pylist()]
+    return list(np.concatenate(parts, axis=1)) if parts else [np.empty(0, dtype=np.int64)] * n
+
+
+def _order(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The order by left, then right; by one key where both fit into it."""
+    side = int(right.max(initial=0)) + 1
+    if int(left.max(initial=0)) < 2**62 // side:
+        return np.argsort(left * side + right, kind="stable")
+    return np.lexsort((right, left))
+
+
 def _neighbours(ids: np.ndarray) -> np.ndarray:
     """Positions whose entry and the next are both ids."""
     return np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
 
 
-def pair_counts(stream: DataFrame) -> DataFrame:
-    """(chunk, lang, left, right, n): how often neighbouring ids meet in each chunk of (chunk, lang, ids)."""
+def pair_counts(stream: DataFrame, shards: int) -> DataFrame:
+    """(chunk, lang, shard, block): blocks of (left, right, n), how often neighbouring ids meet in each chunk."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, lang, raw in zip(*(batch.column(c).to_pylist() for c in ("chunk", "lang", "ids"))):
-                ids = np.frombuffer(raw, dtype=np.int64)
+            ids_of = batch.column("ids")
+            for i, (chunk, lang) in enumerate(zip(batch.column("chunk").to_pylist(), batch.column("lang").to_pylist())):
+                ids = np.frombuffer(ids_of[i].as_buffer(), dtype=np.int64)
                 at = _neighbours(ids)
                 # A chunk's own ids, closed up; their order by frequency stays.
                 own, local = np.unique(ids, return_inverse=True)
                 left, right, n = tile_counts(local[at], local[at + 1], len(own))
-                for a in range(0, len(n), ROWS):
-                    part = slice(a, a + ROWS)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(n[part]), chunk)),
-                            pa.array([lang]).take(pa.array(np.zeros(len(n[part]), dtype=np.int32))),
-                            pa.array(own[left[part]]),
-                            pa.array(own[right[part]]),
-                            pa.array(n[part]),
-                        ],
-                        names=["chunk", "lang", "left", "right", "n"],
-                    )
+                left, right = own[left], own[right]
+                shard = (mix(mix(left.view(np.uint64)) ^ right.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                numbers, begin = np.unique(shard[order], return_index=True)
+                ends = np.append(begin[1:], len(order))
+                blocks = [_block(left[o], right[o], n[o]) for o in (order[a:b] for a, b in zip(begin, ends))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([chunk] * len(numbers), type=pa.int64()),
+                        pa.array([lang] * len(numbers), type=pa.string()),
+                        pa.array(numbers),
+                        pa.array(blocks, type=pa.binary()),
+                    ],
+                    names=["chunk", "lang", "shard", "block"],
+                )
+
+    return stream.mapInArrow(tidied(make), "chunk bigint, lang string, shard bigint, block binary")
+
+
+def frequent_pairs(counted: DataFrame, least: int) -> DataFrame:
+    """(lang, shard, left, right, a): the pairs that all chunks together hold at least ``least`` times."""
+
+    def merge(key: tuple, blocks: pa.Table) -> pa.Table:
+        left, right, n = _columns(blocks.column("block"), 3)
+        order = _order(left, right)
+        left, right, n = left[order], right[order], n[order]
+        first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
+        total = np.add.reduceat(n, first)
+        often = total >= least
+        kept = first[often]
+        return pa.table(
+            {
+                "lang": pa.array([key[0].as_py()] * len(kept), type=pa.string()),
+                "shard": pa.array([key[1].as_py()] * len(kept), type=pa.int64()),
+                "left": left[kept],
+                "right": right[kept],
+                "a": total[often],
+            }
+        )
+
+    return counted.groupBy("lang", "shard").applyInArrow(
+        merge, "lang string, shard bigint, left bigint, right bigint, a bigint"
+    )
 
-    return stream.mapInArrow(make, "chunk bigint, lang string, left bigint, right bigint, n bigint")
+
+def pairs_of_chunks(counted: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(chunk, block): blocks of (left, right, id), the frequent ``pairs`` that each chunk holds."""
+
+    def match(blocks: pa.Table, known: pa.Table) -> pa.Table:
+        found: tuple[list[int], list[bytes]] = ([], [])
+        if len(known):
+            left, right, id_ = (known.column(c).to_numpy() for c in ("left", "right", "id"))
+            names = np.array([left, right]).T.copy().view([("l", np.int64), ("r", np.int64)]).ravel()
+            order = np.argsort(names, order=("l", "r"))
+            names, id_ = names[order], id_[order]
+            for chunk, block in zip(blocks.column("chunk").to_pylist(), blocks.column("block").to_pylist()):
+                l, r, _ = np.frombuffer(block, dtype=np.int64).reshape(3, -1)
+                asked = np.array([l, r]).T.copy().view(names.dtype).ravel()
+                place = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+                hit = names[place] == asked
+                if hit.any():
+                    found[0].append(chunk)
+                    found[1].append(_block(l[hit], r[hit], id_[place[hit]]))
+        return pa.table({"chunk": pa.array(found[0], type=pa.int64()), "block": pa.array(found[1], type=pa.binary())})
+
+    return (
+        counted.groupBy("lang", "shard")
+        .cogroup(_apart(pairs).groupBy("lang", "shard"))
+        .applyInArrow(match, "chunk bigint, block binary")
+    )
 
 
 def _squeezed(ids: np.ndarray) -> np.ndarray:
@@ -221,15 +300,15 @@ def with_ids(stream: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def with_pairs(stream: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Streams whose ids are those of the pair that starts at each place; ``dictionary``: (chunk, left, right, id)."""
+    """Streams whose ids are those of the pair that starts at each place; ``dictionary``: (chunk, block)."""
 
     def make(raw: bytes, known: pa.Table) -> np.ndarray:
         ids = np.frombuffer(raw, dtype=np.int64)
         own, local = np.unique(ids, return_inverse=True)
-        left, right = (np.searchsorted(own, known.column(c).to_numpy()) for c in ("left", "right"))
-        key = left * np.int64(len(own)) + right
+        left, right, id_ = _columns(known.column("block"), 3)
+        key = np.searchsorted(own, left) * np.int64(len(own)) + np.searchsorted(own, right)
         order = np.argsort(key)
-        key, id_ = key[order], known.column("id").to_numpy()[order]
+        key, id_ = key[order], id_[order]
         at = _neighbours(ids)
         asked = local[at] * np.int64(len(own)) + local[at + 1]
         place = np.minimum(np.searchsorted(key, asked), len(key) - 1)
@@ -294,7 +373,8 @@ def collocations(
     cut = materialize(chunks(texts, chunk_bytes), "phrase-chunks")
     counted = cut.where("word is not null").select("chunk", "lang", "code", "word", "n")
     totals = materialize(counted.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    frequent = ranked(_frequent(counted, ["word"], least), ["word"])
+    often = counted.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    frequent = ranked(materialize(often, "phrase-frequent"), ["word"])
     local = _look(counted.drop("n"), frequent.drop("a"), ["lang", "word"], "chunk")
     stream = with_ids(cut.where("ids is not null").select("chunk", "lang", "ids"), local.select("chunk", "code", "id"))
     level = frequent.select(
@@ -305,10 +385,13 @@ def collocations(
         F.array("a").alias("begins"),
         F.array("a").alias("ends"),
     )
+    words_in_all = totals.agg(F.sum("n").alias("n")).first()["n"] or 0
+    shards = 1 + words_in_all // SHARD_WORDS
     judged: list[DataFrame] = []
     for m in range(2, longest + 1):
-        counted = materialize(pair_counts(stream), "phrase-pairs")
-        pairs = ranked(_frequent(counted, ["left", "right"], least), ["left", "right"])
+        counted = materialize(pair_counts(stream, shards), "phrase-pairs")
+        found = materialize(frequent_pairs(counted, least), "phrase-frequent")
+        pairs = ranked(found, ["left", "right"])
         if judged:
             judged[-1] = _uncovered(judged[-1], pairs, covered)
         begins = level.select("lang", F.col("id").alias("left"), F.col("phrase").alias("_phrase"), F.col("begins").alias("_begins"))
@@ -327,24 +410,17 @@ def collocations(
         )
         judged.append(_judged(level, m))
         if m < longest:
-            local = _look(counted.drop("n"), pairs.drop("a"), ["lang", "left", "right"], "chunk")
-            stream = with_pairs(stream, local.select("chunk", "left", "right", "id"))
-    found = judged[0].drop("id")
+            stream = with_pairs(stream, pairs_of_chunks(counted, pairs))
+    phrases = judged[0].drop("id")
     for more in judged[1:]:
-        found = found.unionByName(more.drop("id"))
+        phrases = phrases.unionByName(more.drop("id"))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     return (
-        _look(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top), totals, ["lang"], "rank")
+        _look(phrases.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top), totals, ["lang"], "rank")
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
     )
 
 
-def _frequent(counted: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """(lang, keys, a) of what occurs at least ``least`` times."""
-    found = counted.groupBy("lang", *keys).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    return materialize(found, "phrase-frequent")
-
-
 SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
