@@ -1,34 +1,56 @@
-"""Run ledger: an append-only event table that also decides what is published.
+"""Run ledger: a log of numbered events that also decides what is published.
 
-A run appends a RUNNING event and later one terminal event.  Job output lies in
-folders named by run; readers take only runs whose SUCCESS event exists.  One
-small append thus publishes a load together with its watermark, and a run that
-dies in between leaves nothing that anybody reads.
+A run appends a RUNNING event and later one terminal event.  Events are files with consecutive version numbers, each
+created only if absent, so two writers never take the same number.  A SUCCESS event holds all that a load
+publishes: its watermark, its highest surrogate keys, and the data files that it adds to tables or takes out of them.
+
+* Concurrency is optimistic.  A load works on the log as of some version.  If, when it commits, a newer event has
+  changed a table that it changes too, it has lost: :class:`ConcurrentLoad`, and nothing of it is ever read.
+* Every ``CHECKPOINT`` versions the whole log is written as one Parquet file.  Readers take the newest
+  complete one and the events behind it; a marker file, created last, switches to it at once.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreline.functions.literals import instant
-from oreline.sources.readers import read_if_present
+from oreline.sources.metadata import MetadataFolder
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 WATERMARK_SEED = datetime(2000, 1, 1)
 
+#: Versions from one checkpoint to the next.
+CHECKPOINT = 32
+
 _TEXT, _COUNT, _TIME = T.StringType(), T.LongType(), T.TimestampNTZType()
+DATA_FILE = T.StructType(
+    [
+        T.StructField(name, kind, True)
+        for name, kind in (
+            ("table", _TEXT),
+            ("part", _TEXT),
+            ("path", _TEXT),
+            ("rows", _COUNT),
+            ("low", _TEXT),
+            ("high", _TEXT),
+        )
+    ]
+)
 SCHEMA = T.StructType(
     [
         T.StructField(name, kind, True)
         for name, kind in (
+            ("version", _COUNT),
             ("run_id", _TEXT),
             ("seq", T.IntegerType()),
             ("job_name", _TEXT),
@@ -48,7 +70,8 @@ SCHEMA = T.StructType(
             ("rows_inserted", _COUNT),
             ("rows_updated", _COUNT),
             ("last_keys", T.MapType(_TEXT, _COUNT)),
-            ("snapshots", T.ArrayType(_TEXT)),
+            ("added", T.ArrayType(DATA_FILE)),
+            ("removed", T.ArrayType(DATA_FILE)),
             ("status", _TEXT),
             ("error_msg", _TEXT),
         )
@@ -60,21 +83,34 @@ class WatermarkMissing(LookupError):
     """No load has set a watermark for the source, and no seed was given."""
 
 
-def _literal(value: object) -> Column:
-    if isinstance(value, dict):
-        keys, values = (F.lit(list(part)) for part in (value, value.values()))
-        return F.map_from_arrays(keys.cast("array<string>"), values.cast("array<bigint>"))
-    return instant(value) if isinstance(value, datetime) else F.lit(value)
+class ConcurrentLoad(RuntimeError):
+    """Another load changed a table since this one read it; nothing of this one was published."""
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+@dataclass(frozen=True)
+class DataFile:
+    """A committed file: ``path`` below its table's folder, ``part`` names its role there.
+
+    ``low`` and ``high`` bound the values of the column that the table is laid out by, as text that sorts like them.
+    """
+
+    table: str
+    part: str
+    path: str
+    rows: int
+    low: str | None = None
+    high: str | None = None
+
+
 @dataclass
 class Run:
     """One run.  ``batch_id`` counts within the stream ``stream_id``; ``last_keys`` holds the highest surrogate key by
-    table, ``snapshots`` the versioned tables whose active rows this run wrote anew."""
+    table, ``added`` and ``removed`` the files by which it changes tables.  ``read_version`` is the version of the log it works
+    on, and ``changes`` all tables that it may change, even if it turns out to add nothing."""
 
     run_id: str
     job_name: str
@@ -95,30 +131,142 @@ class Run:
     rows_inserted: int = 0
     rows_updated: int = 0
     last_keys: dict[str, int] = field(default_factory=dict)
-    snapshots: list[str] = field(default_factory=list)
+    added: list[DataFile] = field(default_factory=list)
+    removed: list[DataFile] = field(default_factory=list)
     status: str = RUNNING
     error_msg: str | None = None
+    read_version: int = 0
+    changes: set[str] = field(default_factory=set)
+
+    def as_json(self, version: int) -> str:
+        values = asdict(self)
+        del values["read_version"], values["changes"]
+
+        def text(value: object) -> str:
+            return value.isoformat(sep="T") if isinstance(value, datetime) else str(value)
+
+        return json.dumps({"version": version, **values}, default=text)
+
+
+def _name(version: int) -> str:
+    return f"{version:020d}"
 
 
 class Ledger:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, checkpoint: int = CHECKPOINT):
         self.spark = spark
         self.path = path
+        self.every = checkpoint
+        self._log = MetadataFolder(spark, f"{path}/log")
+        self._marks = MetadataFolder(spark, f"{path}/checkpoints")
+
+    # --- reading -----------------------------------------------------------------------------------------
+
+    def _listing(self) -> tuple[int, list[int]]:
+        """The newest complete checkpoint's version (0: none) and the versions behind it."""
+        marks = [int(n.removesuffix(".json")) for n in self._marks.names() if n.endswith(".json")]
+        mark = max(marks, default=0)
+        log = (int(n.removesuffix(".json")) for n in self._log.names())
+        return mark, [v for v in log if v > mark]
+
+    def version(self) -> int:
+        mark, tail = self._listing()
+        return max(tail, default=mark)
+
+    def _events_of(self, mark: int, tail: list[int]) -> DataFrame:
+        frames = []
+        if mark:
+            frames.append(self.spark.read.schema(SCHEMA).parquet(f"{self.path}/checkpoints/{_name(mark)}"))
+        if tail:
+            files = [f"{self.path}/log/{_name(v)}.json" for v in tail]
+            # A damaged event is an error, not a row of nulls.
+            frames.append(self.spark.read.schema(SCHEMA).option("mode", "FAILFAST").json(files))
+        if not frames:
+            return self.spark.createDataFrame([], SCHEMA)
+        return frames[0].unionByName(frames[1]) if len(frames) > 1 else frames[0]
 
     def events(self) -> DataFrame:
-        return read_if_present(self.spark, self.path, SCHEMA).select(*SCHEMA.names)
-
-    def append(self, run: Run) -> None:
-        """Each event has a folder of its own, so that runs may write side by side."""
-        values = asdict(run)
-        event = self.spark.range(1, numPartitions=1).select(
-            *[
-                _literal(values[f.name]).cast(f.dataType).alias(f.name)
-                for f in SCHEMA.fields
-                if f.name not in ("run_id", "seq")
-            ]
-        )
-        event.write.parquet(f"{self.path}/run_id={run.run_id}/seq={run.seq}")
+        """All events: one checkpoint file and the few event files behind it."""
+        return self._events_of(*self._listing())
+
+    def view(self) -> LedgerView:
+        """The log as it is now, under its version."""
+        mark, tail = self._listing()
+        return LedgerView(max(tail, default=mark), self._events_of(mark, tail))
+
+    # --- writing -----------------------------------------------------------------------------------------
+
+    def append(self, run: Run) -> int:
+        """Add an event behind all others; returns its version."""
+        while True:
+            version = self.version() + 1
+            if self._log.create(f"{_name(version)}.json", run.as_json(version)):
+                self._compact_at(version)
+                return version
+
+    def commit(self, run: Run) -> int:
+        """Add a SUCCESS event, unless a newer one has changed a table that this run changes."""
+        checked = run.read_version
+        while True:
+            newest = self.version()
+            for version in range(checked + 1, newest + 1):
+                self._refuse_conflict(run, version)
+            checked = newest
+            if self._log.create(f"{_name(newest + 1)}.json", run.as_json(newest + 1)):
+                self._compact_at(newest + 1)
+                return newest + 1
+
+    def _refuse_conflict(self, run: Run, version: int) -> None:
+        name = f"{_name(version)}.json"
+        if name not in self._log.names():
+            raise ConcurrentLoad(f"event {version} has expired while {run.run_id} was at work")
+        event = json.loads(self._log.read(name))
+        if event["status"] != SUCCESS:
+            return
+        changed = {f["table"] for f in event["added"] + event["removed"]} | set(event["last_keys"])
+        both = sorted(changed & (run.changes | set(run.last_keys)))
+        if both:
+            raise ConcurrentLoad(
+                f"{event['run_id']} has changed {', '.join(both)} since version {run.read_version}"
+            )
+
+    def _compact_at(self, version: int) -> None:
+        if version % self.every == 0:
+            self.compact(version)
+
+    def compact(self, version: int | None = None) -> None:
+        """Write the log up to a version (by default the newest) as one file, and switch readers to it."""
+        mark, tail = self._listing()
+        version = version or max(tail, default=mark)
+        if version <= mark:
+            return
+        events = self._events_of(mark, [v for v in tail if v <= version])
+        self._write_checkpoint(events, version)
+
+    def _write_checkpoint(self, events: DataFrame, version: int) -> None:
+        # What an earlier attempt left behind has no marker, so nobody reads it.
+        _folded(events).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/checkpoints/{_name(version)}")
+        self._marks.create(f"{_name(version)}.json", json.dumps({"version": version}))
+
+    def restore(self, events: DataFrame) -> None:
+        """Start an empty ledger from events of another one, such as an older format's; columns it lacks are null."""
+        if self.version():
+            raise ValueError("only an empty ledger can be restored")
+        kept = events.drop("version").withColumn("version", F.lit(1).cast("bigint"))
+        missing = [f for f in SCHEMA.fields if f.name not in kept.columns]
+        whole = kept.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+        self._write_checkpoint(whole.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMA.fields]), 1)
+
+    def expire(self) -> None:
+        """Remove event files and checkpoints older than the newest checkpoint but one."""
+        marks = sorted(int(n.removesuffix(".json")) for n in self._marks.names() if n.endswith(".json"))
+        for version in marks[:-2]:
+            self._marks.remove(f"{_name(version)}.json")
+            self._marks.remove(_name(version))
+        if len(marks) > 1:
+            for name in self._log.names():
+                if int(name.removesuffix(".json")) <= marks[-2]:
+                    self._log.remove(name)
 
     @contextmanager
     def run(
@@ -139,26 +287,25 @@ class Ledger:
             batch_id=batch_id,
             started_at=utc_now(),
         )
-        self.append(run)
+        run.read_version = self.append(run)
         try:
             yield run
+            run.finished_at = utc_now()
+            self.commit(replace(run, seq=1, status=SUCCESS))
         except Exception as error:
             run.error_msg = str(error)
-            self.append(replace(run, seq=1, finished_at=utc_now(), status=FAILED))
+            failed = replace(run, seq=1, finished_at=utc_now(), status=FAILED, last_keys={}, added=[], removed=[])
+            self.append(failed)
             raise
-        run.finished_at = utc_now()
         run.status = SUCCESS
-        self.append(replace(run, seq=1))
+
+    # --- questions ---------------------------------------------------------------------------------------
 
     def state(self) -> DataFrame:
         return ledger_state(self.events())
 
     def successes(self, job_name: str, source_name: str) -> DataFrame:
-        return self.events().where(
-            (F.col("status") == SUCCESS)
-            & (F.col("job_name") == job_name)
-            & (F.col("source_name") == source_name)
-        )
+        return self.events().where(committed(job_name, source_name))
 
     def last_success(
         self, job_name: str, source_name: str, execution_date: date | None = None
@@ -167,7 +314,7 @@ class Ledger:
         runs = self.successes(job_name, source_name)
         if execution_date is not None:
             runs = runs.where(F.col("execution_date") == F.lit(execution_date))
-        return runs.orderBy(F.desc("finished_at"), F.desc("run_id")).first()
+        return runs.orderBy(F.desc("version"), F.desc("finished_at"), F.desc("run_id")).first()
 
     def batch_run(
         self, job_name: str, source_name: str, batch_id: int, stream_id: str | None
@@ -181,18 +328,86 @@ class Ledger:
         self, source_name: str, seed: datetime | None = WATERMARK_SEED
     ) -> datetime:
         """The source's high-water mark, to the microsecond."""
-        found = (
-            watermark_state(self.events())
-            .where(F.col("watermark_source") == source_name)
-            .first()
-        )
+        found = self.view().ask(mark=newest_mark(source_name))["mark"]
         if found is not None:
-            return found["last_processed_ts"]
+            return found
         if seed is None:
             raise WatermarkMissing(f"no watermark for source {source_name!r}")
         return seed
 
 
+@dataclass(frozen=True)
+class LedgerView:
+    """The log up to one version."""
+
+    version: int
+    events: DataFrame
+
+    def ask(self, **answers: Column) -> Row:
+        """Several aggregates of the events in one pass over them."""
+        return self.events.agg(*[c.alias(n) for n, c in answers.items()]).first()
+
+    def files(self, table: str) -> list[DataFile]:
+        """The table's files: all that were added and not taken out again.
+
+        The list is as long as a listing of the table's folders would be, and comes from the log alone; what was taken out
+        before the last checkpoint is no longer in it.
+        """
+
+        def mine(column: str) -> Column:
+            return F.coalesce(F.filter(column, lambda f: f["table"] == table), F.array())
+
+        changes = self.events.where(F.col("status") == SUCCESS).select(mine("added").alias("new"), mine("removed").alias("old"))
+        rows = changes.where((F.size("new") > 0) | (F.size("old") > 0)).collect()
+        gone = {f["path"] for r in rows for f in r["old"]}
+        live = (DataFile(**f.asDict()) for r in rows for f in r["new"] if f["path"] not in gone)
+        return sorted(live, key=lambda f: f.path)
+
+
+def _folded(events: DataFrame) -> DataFrame:
+    """Events without the files that later ones took out, so that a long history of rewrites stays short."""
+    gone = events.select(F.explode("removed").alias("f")).select("f.table", "f.path")
+    added = events.select("run_id", "seq", F.explode("added").alias("file"))
+    live = added.join(gone, (F.col("file.table") == gone["table"]) & (F.col("file.path") == gone["path"]), "left_anti")
+    kept = live.groupBy("run_id", "seq").agg(F.collect_list("file").alias("added"))
+    none = F.array().cast(T.ArrayType(DATA_FILE))
+    return (
+        events.drop("added", "removed")
+        .join(kept, ["run_id", "seq"], "left")
+        .withColumns({"added": F.coalesce("added", none), "removed": none})
+        .select(*SCHEMA.names)
+    )
+
+
+def committed(job_name: str, source_name: str) -> Column:
+    return (
+        (F.col("status") == SUCCESS)
+        & (F.col("job_name") == job_name)
+        & (F.col("source_name") == source_name)
+    )
+
+
+def newest_mark(source_name: str) -> Column:
+    """The high-water mark of a source, as an aggregate of events."""
+    mine = (F.col("status") == SUCCESS) & (F.col("watermark_source") == source_name)
+    return F.max(F.when(mine, F.col("watermark_end")))
+
+
+def newest_run(job_name: str, source_name: str, execution_date: date, *columns: str) -> Column:
+    """Columns of the newest committed run for a date, as an aggregate of events."""
+    mine = committed(job_name, source_name) & (F.col("execution_date") == F.lit(execution_date))
+    order = F.when(mine, F.struct("version", "finished_at", "run_id"))
+    return F.max_by(F.struct(*columns), order)
+
+
+def last_keys(tables: Iterable[str]) -> dict[str, Column]:
+    """The highest surrogate key that committed runs gave out in each table, as aggregates of events."""
+    done = F.col("status") == SUCCESS
+    return {
+        t: F.coalesce(F.max(F.when(done, F.try_element_at("last_keys", F.lit(t)))), F.lit(0)) for t in tables
+    }
+
+
 def ledger_state(events: DataFrame) -> DataFrame:
     """The current row of each run: its latest event."""
     rest = [c for c in events.columns if c not in ("run_id", "seq")]

@@ -33,10 +33,11 @@ def daily_load(
     allow_empty: bool = False,
     lateness: timedelta = timedelta(0),
     options: Mapping[str, Any] | None = None,
+    retries: int = 0,
 ) -> list[str]:
     """Load one day and return the run ids; the first failure stops all behind it.
 
-    ``null_policy`` and ``allow_empty`` go to the Silver job, ``lateness`` to the facts, ``options`` to all Gold jobs.
+    ``null_policy`` and ``allow_empty`` go to the Silver job, ``lateness`` to the facts, ``options`` and ``retries`` to all Gold jobs.
 
     The dimensions are independent jobs and share the cluster; facts wait for all
     of them, as they need the surrogate keys.
@@ -73,6 +74,7 @@ def daily_load(
             lateness=late,
             options=options,
             as_of=as_of,
+            retries=retries,
         ).run_id
 
     with ThreadPoolExecutor(max_workers=parallel_dimensions) as pool:

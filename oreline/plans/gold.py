@@ -13,7 +13,7 @@ optional custom handler, and the load steps of its target::
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
 from typing import Any
@@ -25,7 +25,18 @@ from pyspark.sql import types as T
 from oreline.contract import Contract
 from oreline.functions.dates import date_key
 from oreline.functions.literals import instant
-from oreline.ledger import WATERMARK_SEED, Run, utc_now
+from oreline.ledger import (
+    WATERMARK_SEED,
+    ConcurrentLoad,
+    DataFile,
+    LedgerView,
+    Run,
+    committed,
+    last_keys,
+    newest_mark,
+    newest_run,
+    utc_now,
+)
 from oreline.operators.dimensions import (
     Scd2,
     insert_if_new,
@@ -50,13 +61,19 @@ from oreline.operators.transforms import (
     check_transforms,
 )
 from oreline.plans.lake import (
+    ACTIVE,
+    CLOSED,
     GOLD,
+    SILVER,
     Lake,
-    committed_rows,
+    NotLoaded,
+    active_part,
     read_active,
     read_appended,
+    read_files,
     read_silver,
     read_versions,
+    written_files,
 )
 from oreline.session import materialize
 from oreline.sources import writers  # noqa: F401  (registers the csv_report handler)
@@ -72,7 +89,7 @@ class StaleBatch(RuntimeError):
 
 @dataclass
 class Load:
-    """What a load step gets: the staged set and the run to account for."""
+    """What a load step gets: the staged set, the run to account for, and the ledger as the run found it."""
 
     spark: SparkSession
     lake: Lake
@@ -81,12 +98,16 @@ class Load:
     staged: DataFrame
     lateness: timedelta
     watermark: datetime | None
+    view: LedgerView
+    #: The highest surrogate key by table, and the newest date, that committed runs left.
+    keys: Mapping[str, int]
+    newest_date: date | None
 
-    def last_key(self, table: str) -> int:
-        """The highest surrogate key that committed runs gave out in ``table``."""
-        runs = self.lake.ledger.successes(GOLD, self.process)
-        given = F.try_element_at("last_keys", F.lit(table))
-        return runs.agg(F.coalesce(F.max(given), F.lit(0))).first()[0]
+    def publish(self, table: str, schema: T.StructType, **how: Any) -> list[DataFile]:
+        """Account for what the run has written to a table; it counts once the run is committed."""
+        files = written_files(self.lake, table, self.run.run_id, schema, **how)
+        self.run.added += files
+        return files
 
 
 LoadStep = Callable[[Load, Mapping[str, Any]], None]
@@ -126,44 +147,76 @@ def scd2_schema(staged: T.StructType, spec: Scd2) -> T.StructType:
 
 @load_step("insert_new", "table", "key")
 def _insert_new(load: Load, step: Mapping[str, Any]) -> None:
+    table = step["table"]
     schema = insert_schema(load.staged.schema, step)
-    existing = read_appended(load.lake, step["table"], load.process, schema)
-    start = load.last_key(step["table"])
+    existing = read_appended(load.lake, table, schema, load.view)
+    start = load.keys[table]
     fresh = insert_if_new(existing, load.staged, step["key"], step.get("surrogate"), start)
-    path = f"{load.lake.table(step['table'])}/run_id={load.run.run_id}"
+    path = f"{load.lake.table(table)}/run_id={load.run.run_id}"
     fresh.select(*schema.names).write.parquet(path)
-    inserted = load.spark.read.schema(schema).parquet(path).count()
+    inserted = sum(f.rows for f in load.publish(table, schema))
     load.run.rows_inserted += inserted
     if step.get("surrogate"):
-        load.run.last_keys[step["table"]] = start + inserted
+        load.run.last_keys[table] = start + inserted
+
+
+#: Buckets of a versioned table, where its step does not say.
+BUCKETS = 16
 
 
 @load_step("scd2", "table", "keys", "attributes")
 def _scd2(load: Load, step: Mapping[str, Any]) -> None:
-    spec = scd2_spec(step)
-    newest = load.lake.ledger.successes(GOLD, load.process).agg(F.max("execution_date"))
-    newest_date = newest.first()[0]
-    if newest_date is not None and load.run.execution_date < newest_date:
-        raise StaleBatch(
-            f"{step['table']} holds {newest_date}; {load.run.execution_date} needs a rebuild"
-        )
+    """Merge into the buckets that changes fall into; the files of all others stay as they are."""
+    spec, table = scd2_spec(step), step["table"]
+    buckets = int(step.get("buckets", BUCKETS))
+    if load.newest_date is not None and load.run.execution_date < load.newest_date:
+        raise StaleBatch(f"{table} holds {load.newest_date}; {load.run.execution_date} needs a rebuild")
     schema = scd2_schema(load.staged.schema, spec)
-    active = read_active(load.lake, step["table"], load.process, schema, spec.active)
-    changes = materialize(scd2_changes(active, load.staged, spec), "scd2-changes")
-    changed = changes.count()
-    start = load.last_key(step["table"])
-    load.run.last_keys[step["table"]] = start
+    bucket = F.pmod(F.xxhash64(*spec.keys), F.lit(buckets)).cast("int")
+    active: dict[str, list[DataFile]] = {}
+    for f in load.view.files(table):
+        if f.part.startswith(ACTIVE):
+            active.setdefault(f.part, []).append(f)
+    others = {p for p in active if p.split(":")[1] != str(buckets)}
+    if others:
+        raise ConfigError(f"{table} has {others.pop().split(':')[1]} buckets, the step asks for {buckets}")
+
+    def files_of(numbers: Sequence[int]) -> list[DataFile]:
+        return [f for n in numbers for f in active.get(active_part(buckets, n), [])]
+
+    def hit(rows: DataFrame) -> dict[int, int]:
+        """Rows by bucket: as many as there are buckets."""
+        counts = rows.groupBy(bucket.alias("bucket")).count().collect()
+        return {r["bucket"]: r["count"] for r in counts}
+
+    current = read_files(load.lake, table, files_of(sorted(hit(load.staged))), schema)
+    changes = materialize(scd2_changes(current, load.staged, spec), "scd2-changes")
+    changed = hit(changes)
+    start = load.keys[table]
+    load.run.last_keys[table] = start
     if not changed:
-        return  # the previous snapshot stays the current one
-    after = scd2_sweep(active, changes, spec).unionByName(scd2_inserts(changes, spec, start))
-    path = f"{load.lake.table(step['table'])}/run_id={load.run.run_id}"
-    # A snapshot of the active versions and, beside it, only what this run closed.
-    after.write.partitionBy(spec.active).parquet(path)
-    counts = committed_rows(load.lake, path, spec.active)
-    load.run.rows_inserted += changed
-    load.run.rows_updated += counts.get("false", 0)
-    load.run.last_keys[step["table"]] = start + changed
-    load.run.snapshots.append(step["table"])
+        return  # all files stay
+    replaced = files_of(sorted(changed))
+    touched = read_files(load.lake, table, replaced, schema)
+    after = scd2_sweep(touched, changes, spec).unionByName(scd2_inserts(changes, spec, start))
+    path = f"{load.lake.table(table)}/run_id={load.run.run_id}"
+    # A bucket is one file or, where adaptive execution finds it large, several.
+    (
+        after.withColumn("_bucket", bucket)
+        .hint("rebalance", spec.active, "_bucket")
+        .write.partitionBy(spec.active, "_bucket")
+        .parquet(path)
+    )
+
+    def part(path: str) -> str:
+        values = dict(p.partition("=")[::2] for p in path.split("/")[:-1])
+        return active_part(buckets, int(values["_bucket"])) if values[spec.active] == "true" else CLOSED
+
+    added = load.publish(table, schema, part=part)
+    load.run.removed += replaced
+    load.run.rows_inserted += sum(changed.values())
+    load.run.rows_updated += sum(f.rows for f in added if f.part == CLOSED)
+    load.run.last_keys[table] = start + sum(changed.values())
 
 
 def fact_schema(step: Mapping[str, Any], staged: T.StructType) -> T.StructType:
@@ -181,7 +234,7 @@ def fact_schema(step: Mapping[str, Any], staged: T.StructType) -> T.StructType:
 @load_step("fact", "table", "surrogate", "date_key", "event_time", "lookups", "measures")
 def _fact(load: Load, step: Mapping[str, Any]) -> None:
     moment, surrogate = step["event_time"], step["surrogate"]
-    start = load.last_key(step["table"])
+    start = load.keys[step["table"]]
     # Keys follow the staged files, so a repeated load gives the same keys.
     facts = keys_by_position(load.staged, surrogate, start)
     schema = fact_schema(step, load.staged.schema)
@@ -189,7 +242,7 @@ def _fact(load: Load, step: Mapping[str, Any]) -> None:
     if load.watermark and step.get("key"):
         since = instant(load.watermark - load.lateness)
         loaded = (
-            read_appended(load.lake, step["table"], load.process, schema)
+            read_appended(load.lake, step["table"], schema, load.view, above=str(load.watermark - load.lateness))
             .where(F.col("month_key") >= F.year(since) * 100 + F.month(since))
             .where(F.col(moment) > since)
         )
@@ -216,9 +269,11 @@ def _fact(load: Load, step: Mapping[str, Any]) -> None:
         .write.partitionBy("resolved", "month_key")
         .parquet(path)
     )
-    counts = committed_rows(load.lake, path, "resolved")
-    load.run.rows_inserted += counts.get("true", 0)
-    load.run.rows_rejected += counts.get("false", 0)
+    stored = T.StructType(schema.fields + [T.StructField(n, load.staged.schema[n].dataType, True) for n in traced])
+    files = load.publish(step["table"], stored, key=moment)
+    orphans = sum(f.rows for f in files if "/resolved=false/" in f.path)
+    load.run.rows_inserted += sum(f.rows for f in files) - orphans
+    load.run.rows_rejected += orphans
     load.run.last_keys[step["table"]] = start + load.run.rows_valid
 
 
@@ -239,9 +294,7 @@ def _resolve(
     if not lookup.get("versioned"):
         fields = [T.StructField(lookup["surrogate"], T.LongType(), True)]
         fields += [T.StructField(k, types[k], True) for k in lookup["keys"]]
-        dimension = read_appended(
-            load.lake, lookup["table"], lookup["process"], T.StructType(fields)
-        )
+        dimension = read_appended(load.lake, lookup["table"], T.StructType(fields), load.view)
         return lookup_key(
             facts, dimension, lookup["keys"], lookup["surrogate"], spread, "left", **sizing
         )
@@ -254,11 +307,9 @@ def _resolve(
         + [T.StructField(spec.active, T.BooleanType(), True)]
     )
     if lookup.get("as_of"):
-        versions = read_versions(
-            load.lake, lookup["table"], lookup["process"], schema, spec.active
-        )
+        versions = read_versions(load.lake, lookup["table"], schema, load.view)
         return lookup_as_of(facts, versions, spec, moment, spread, "left", **sizing)
-    active = read_active(load.lake, lookup["table"], lookup["process"], schema, spec.active)
+    active = read_active(load.lake, lookup["table"], schema, load.view)
     return lookup_active(facts, active, spec, spread, "left", **sizing)
 
 
@@ -266,7 +317,7 @@ def read_fact(lake: Lake, config: Mapping[str, Any], staged: T.StructType) -> Da
     """The committed fact rows."""
     step = config["target"]["load"][-1]
     schema = fact_schema(step, staged)
-    rows = read_appended(lake, step["table"], config["process_type"], schema)
+    rows = read_appended(lake, step["table"], schema)
     return rows.where(F.col("resolved")).drop("resolved")
 
 
@@ -279,9 +330,7 @@ def read_orphans(lake: Lake, config: Mapping[str, Any], staged: T.StructType) ->
         for n in _natural_keys(step)
         if n not in schema.names
     ]
-    rows = read_appended(
-        lake, step["table"], config["process_type"], T.StructType(schema.fields + traced)
-    )
+    rows = read_appended(lake, step["table"], T.StructType(schema.fields + traced))
     return rows.where(~F.col("resolved")).drop("resolved")
 
 
@@ -304,7 +353,7 @@ def check_config(config: Mapping[str, Any], ctx: TransformContext) -> None:
         if missing:
             raise ConfigError(f"load step {step['step']!r} lacks {missing}")
         for lookup in step.get("lookups", []):
-            missing = [r for r in ("process", "table", "surrogate") if r not in lookup]
+            missing = [r for r in ("table", "surrogate") if r not in lookup]
             if missing:
                 raise ConfigError(f"lookup {lookup!r} lacks {missing}")
 
@@ -322,47 +371,92 @@ def gold_job(
     lateness: timedelta = timedelta(0),
     as_of: datetime | None = None,
     options: Mapping[str, Any] | None = None,
+    retries: int = 0,
 ) -> Run:
     """Run one Gold process for one day.
 
-    The staged set is written once; row counts, the new watermark and the load all
-    read it back.  The ledger's SUCCESS event publishes rows and watermark together.
+    The staged set is written once, below the run's own folder; row counts, the new watermark and the load all
+    read it back.  The ledger is read once; its SUCCESS event publishes rows, keys and watermark together.  A run that
+    loses to a concurrent one is repeated ``retries`` times, from the ledger as it then is.
     """
+    while True:
+        try:
+            return _gold_run(
+                spark, lake, config, contract, execution_date, silver_run_id, batch_id, stream_id, use_watermark,
+                lateness, as_of, options,
+            )
+        except ConcurrentLoad:
+            if retries <= 0:
+                raise
+            retries -= 1
+
+
+def _gold_run(
+    spark: SparkSession,
+    lake: Lake,
+    config: Mapping[str, Any],
+    contract: Contract,
+    execution_date: date,
+    silver_run_id: str | None,
+    batch_id: int | None,
+    stream_id: str | None,
+    use_watermark: bool,
+    lateness: timedelta,
+    as_of: datetime | None,
+    options: Mapping[str, Any] | None,
+) -> Run:
     process = config.get("process_type", "?")
     mark = config.get("watermark") or {}
     with lake.ledger.run(GOLD, process, execution_date, batch_id, stream_id) as run:
+        steps = config.get("target", {}).get("load", [])
+        tables = sorted({s["table"] for s in steps if "table" in s})
+        view = lake.ledger.view()
+        run.read_version = view.version
+        run.changes = set(tables)
+        source = contract.source_name
+        if silver_run_id is None:
+            silver = newest_run(SILVER, source, execution_date, "run_id", "rows_valid")
+        else:
+            given = F.when((F.col("run_id") == silver_run_id) & (F.col("seq") > 0), F.struct("run_id", "rows_valid"))
+            silver = F.max(given)
+        known = view.ask(
+            silver=silver,
+            watermark=newest_mark(mark.get("source_name", "")),
+            newest_date=F.max(F.when(committed(GOLD, process), F.col("execution_date"))),
+            **{f"key_{i}": c for i, c in enumerate(last_keys(tables).values())},
+        )
         watermark = None
         if use_watermark and mark.get("apply_filter"):
             seed = mark.get("seed")
-            watermark = lake.ledger.watermark(
-                mark["source_name"], datetime.fromisoformat(seed) if seed else WATERMARK_SEED
-            )
+            watermark = known["watermark"] or (datetime.fromisoformat(seed) if seed else WATERMARK_SEED)
         ctx = TransformContext(
             execution_dt=datetime.combine(execution_date, time()),
             watermark=watermark - lateness if watermark else None,
             options=options or {},
         )
         check_config(config, ctx)
-        steps = config["target"].get("load", [])
         if lateness and any(s["step"] == "fact" and not s.get("key") for s in steps):
             raise ConfigError("lateness needs the fact step's 'key', or rows would load twice")
         run.watermark_start = watermark
+        if known["silver"] is None:
+            raise NotLoaded(f"no committed Silver run of {source!r} for {execution_date}")
+        run.rows_read = known["silver"]["rows_valid"]
 
-        rows = read_silver(lake, contract, execution_date, silver_run_id)
-        run.rows_read = rows.count()
+        rows = read_silver(lake, contract, execution_date, known["silver"]["run_id"])
         staged = apply_transforms(rows, config.get("transformations", []), ctx)
         if config.get("custom_handler"):
             staged = apply_handler(config["custom_handler"], staged, config, ctx)
 
-        path = lake.gold(config["target"]["gold_path"], execution_date)
-        staged.write.mode("overwrite").parquet(path)
+        path = lake.gold(config["target"]["gold_path"], execution_date, run.run_id)
+        staged.write.parquet(path)
         staged = spark.read.schema(staged.schema).parquet(path)
         newest = F.max(mark["timestamp_column"]) if mark.get("update_after_load") else F.lit(None)
         written = staged.agg(F.count("*").alias("n"), newest.alias("newest")).first()
         run.rows_valid = written["n"]
 
-        load = Load(spark, lake, run, process, staged, lateness, watermark)
-        for step in config["target"].get("load", []):
+        keys = {t: known[f"key_{i}"] for i, t in enumerate(tables)}
+        load = Load(spark, lake, run, process, staged, lateness, watermark, view, keys, known["newest_date"])
+        for step in steps:
             _load_steps[step["step"]][0](load, step)
 
         if written["newest"] is not None:
@@ -371,3 +465,12 @@ def gold_job(
             run.watermark_source = mark["source_name"]
             run.watermark_end = max(newest, watermark) if watermark else newest
     return run
+
+
+def read_staged(lake: Lake, config: Mapping[str, Any], execution_date: date, schema: T.StructType) -> DataFrame:
+    """The set that the newest committed run of a process staged for a date."""
+    run = lake.ledger.last_success(GOLD, config["process_type"], execution_date)
+    if run is None:
+        raise NotLoaded(f"no committed run of {config['process_type']!r} for {execution_date}")
+    path = lake.gold(config["target"]["gold_path"], execution_date, run["run_id"])
+    return lake.spark.read.schema(schema).parquet(path)

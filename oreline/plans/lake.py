@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreline.contract import Contract
-from oreline.ledger import SUCCESS, Ledger
+from oreline.ledger import SUCCESS, DataFile, Ledger, LedgerView
 from oreline.operators.quality import REJECTED, VALID
 from oreline.session import as_nullable
 from oreline.sources.readers import read_if_present
@@ -24,8 +25,8 @@ class NotLoaded(LookupError):
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders of one lake.  Everything below a ``run_id=`` folder belongs to one run
-    and is read only once the ledger holds that run's SUCCESS."""
+    """Folders of one lake.  Everything below a ``run_id=`` folder belongs to one run.  Tables are read by the files
+    that the ledger's SUCCESS events name, so folders of other runs are not even listed."""
 
     spark: SparkSession
     root: str
@@ -36,8 +37,8 @@ class Lake:
     def silver(self, source: str) -> str:
         return f"{self.root}/silver/{source}"
 
-    def gold(self, gold_path: str, execution_date: date) -> str:
-        return f"{self.root}/gold/{gold_path}/exec={execution_date:%Y-%m-%d}"
+    def gold(self, gold_path: str, execution_date: date, run_id: str) -> str:
+        return f"{self.root}/gold/{gold_path}/exec={execution_date:%Y-%m-%d}/run_id={run_id}"
 
     def table(self, name: str) -> str:
         return f"{self.root}/warehouse/{name}"
@@ -61,11 +62,15 @@ def read_outcome(lake: Lake, contract: Contract, run_id: str, outcome: str) -> D
     it is missing when no row had the outcome.
     """
     path = f"{lake.silver(contract.source_name)}/run_id={run_id}/outcome={outcome}"
-    extra = "year string, month string, day string, _reasons array<string>, _raw struct<{}>"
+    dated = ", ".join(f"`{k}` string" for k in contract.partition_keys)
     raw = ", ".join(f"`{c.name}`: string" for c in contract.columns)
-    fields = T.StructType.fromDDL(extra.format(raw)).fields
+    fields = T.StructType.fromDDL(f"{dated}, _reasons array<string>, _raw struct<{raw}>").fields
     empty = T.StructType(as_nullable(contract.schema).fields + fields)
-    return read_if_present(lake.spark, path, empty, infer=True)
+    found = read_if_present(lake.spark, path, empty, infer=True).schema
+    # Partition values are text, whatever they look like.
+    kinds = [T.StringType() if f.name in contract.partition_keys else f.dataType for f in found]
+    typed = T.StructType([T.StructField(f.name, k, True) for f, k in zip(found, kinds)])
+    return read_if_present(lake.spark, path, typed)
 
 
 def read_silver(
@@ -86,50 +91,72 @@ def read_rejects(lake: Lake, contract: Contract, run_id: str) -> DataFrame:
     return rejected.select("_raw.*", F.col("_reasons").alias("reasons"))
 
 
+#: Roles of a table's files: appended rows, closed versions, and active ones by bucket.
+ROWS, CLOSED, ACTIVE = "rows", "closed", "active"
+
+
+def read_files(lake: Lake, table: str, files: list[DataFile], schema: T.StructType) -> DataFrame:
+    """Rows of some files of a table; a file that the ledger names and that is gone is an error."""
+    if not files:
+        return lake.spark.createDataFrame([], as_nullable(schema))
+    root = lake.table(table)
+    reader = lake.spark.read.schema(as_nullable(schema)).option("basePath", root)
+    return reader.parquet(*[f"{root}/{f.path}" for f in files]).select(*schema.names)
+
+
+def written_files(
+    lake: Lake, table: str, run_id: str, schema: T.StructType, part=lambda path: ROWS, key: str | None = None
+) -> list[DataFile]:
+    """The files that a run has written to a table, with row counts and the bounds of ``key``.
+
+    Read back from the files, not from the job that wrote them, so retried tasks do not count twice.
+    """
+    root = f"{lake.table(table)}/run_id={run_id}"
+    bound = (F.col(key) if key else F.lit(None)).cast("string")
+    found = (
+        lake.spark.read.schema(as_nullable(schema))
+        .parquet(root)
+        .groupBy("_metadata.file_path")
+        .agg(F.count("*").alias("rows"), F.min(bound).alias("low"), F.max(bound).alias("high"))
+        .collect()
+    )
+    inside = f"/run_id={run_id}/"
+    files = []
+    for row in found:
+        path = f"run_id={run_id}/" + unquote(row["file_path"]).partition(inside)[2]
+        files.append(DataFile(table, part(path), path, row["rows"], row["low"], row["high"]))
+    return sorted(files, key=lambda f: f.path)
+
+
 def read_appended(
-    lake: Lake, table: str, process: str, schema: T.StructType
+    lake: Lake, table: str, schema: T.StructType, view: LedgerView | None = None, above: str | None = None
 ) -> DataFrame:
     """A table that runs append to: the rows of all committed runs.
 
-    ``run_id`` is a partition column, so the semi-join prunes folders.
+    ``above`` leaves out files whose key has no value above it.
     """
-    stored = T.StructType(
-        as_nullable(schema).fields + [T.StructField("run_id", T.StringType(), True)]
-    )
-    committed = lake.ledger.successes(GOLD, process).select("run_id")
-    return (
-        read_if_present(lake.spark, lake.table(table), stored)
-        .join(committed, "run_id", "left_semi")
-        .select(*schema.names)
-    )
+    files = (view or lake.ledger.view()).files(table)
+    wanted = [f for f in files if f.part == ROWS and (above is None or f.high is None or f.high > above)]
+    return read_files(lake, table, wanted, schema)
 
 
-def snapshot_run(lake: Lake, process: str, table: str) -> str | None:
-    """The last committed run that wrote a new snapshot of the table's active versions."""
-    runs = lake.ledger.successes(GOLD, process).where(F.array_contains("snapshots", table))
-    row = runs.orderBy(F.desc("finished_at"), F.desc("run_id")).first()
-    return row["run_id"] if row else None
+def active_part(buckets: int, bucket: int) -> str:
+    return f"{ACTIVE}:{buckets}:{bucket}"
 
 
 def read_active(
-    lake: Lake, table: str, process: str, schema: T.StructType, active: str = "is_active"
+    lake: Lake, table: str, schema: T.StructType, view: LedgerView | None = None
 ) -> DataFrame:
-    """The active versions: one run's snapshot, found by partition values alone."""
-    run_id = snapshot_run(lake, process, table)
-    if run_id is None:
-        return lake.spark.createDataFrame([], as_nullable(schema))
-    path = f"{lake.table(table)}/run_id={run_id}"
-    # The ledger names this folder: if it is gone, that is an error and not an empty table.
-    rows = lake.spark.read.schema(as_nullable(schema)).parquet(path)
-    return rows.where(F.col(active)).select(*schema.names)
+    """The active versions of a versioned table."""
+    files = (view or lake.ledger.view()).files(table)
+    return read_files(lake, table, [f for f in files if f.part.startswith(ACTIVE)], schema)
 
 
 def read_versions(
-    lake: Lake, table: str, process: str, schema: T.StructType, active: str = "is_active"
+    lake: Lake, table: str, schema: T.StructType, view: LedgerView | None = None
 ) -> DataFrame:
-    """All versions: the active snapshot and every committed closure."""
-    closed = read_appended(lake, table, process, schema).where(~F.col(active))
-    return read_active(lake, table, process, schema, active).unionByName(closed)
+    """All versions: the active ones and every committed closure."""
+    return read_files(lake, table, (view or lake.ledger.view()).files(table), schema)
 
 
 def committed_rows(lake: Lake, path: str, column: str) -> dict[str, int]:
@@ -144,7 +171,7 @@ def committed_rows(lake: Lake, path: str, column: str) -> dict[str, int]:
 
 
 __all__ = [
-    "GOLD", "SILVER", "SUCCESS", "Lake", "NotLoaded", "committed_rows", "read_active",
-    "read_appended", "read_outcome", "read_rejects", "read_silver", "read_versions",
-    "silver_run", "snapshot_run",
+    "ACTIVE", "CLOSED", "GOLD", "ROWS", "SILVER", "SUCCESS", "Lake", "NotLoaded", "active_part", "committed_rows",
+    "read_active", "read_appended", "read_files", "read_outcome", "read_rejects", "read_silver", "read_versions",
+    "silver_run", "written_files",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreline.operators.dimensions import date_dimension
+from oreline.operators.transforms import handler
 from oreline.plans.daily import daily_load
 from oreline.plans.gold import gold_job, insert_schema, read_fact, scd2_schema
 from oreline.plans.lake import (
@@ -27,6 +28,7 @@ from oreline.suite.model import (
     CUSTOMER,
     CUSTOMER_ATTRIBUTES,
     CUSTOMER_KEYS,
+    CUSTOMER_PROCESS,
     DATE_PROCESS,
     DIMENSIONS,
     FACT_PROCESS,
@@ -65,10 +67,7 @@ def _loaded_silver(spark: SparkSession, sf_dir: str):
 )
 def _silver(spark, sf_dir):
     lake, _ = _loaded_silver(spark, sf_dir)
-    rows = read_silver(lake, CONTRACT, FIRST_DAY)
-    dated = {c: F.lpad(F.col(c).cast("string"), n, "0") for c, n in
-             (("year", 4), ("month", 2), ("day", 2))}
-    return rows.withColumns(dated)
+    return read_silver(lake, CONTRACT, FIRST_DAY)
 
 
 @query(
@@ -103,7 +102,7 @@ def _gold(spark, sf_dir):
     lake, _ = _loaded_silver(spark, sf_dir)
     gold_job(spark, lake, DATE_PROCESS, CONTRACT, FIRST_DAY)
     schema = date_dimension(read_silver(lake, CONTRACT, FIRST_DAY), "event_ts").schema
-    return read_appended(lake, "dim_date", "dim_date", insert_schema(schema, {}))
+    return read_appended(lake, "dim_date", insert_schema(schema, {}))
 
 
 # Two deliveries.  In the second one every fifth customer has moved.
@@ -179,7 +178,7 @@ def customer_versions(lake: Lake) -> DataFrame:
     types |= {"birth_date": T.DateType(), "row_hash": T.StringType()}
     types |= {"valid_from": T.TimestampNTZType()}
     staged = T.StructType([T.StructField(c, types[c], True) for c in CUSTOMER.staged_columns])
-    versions = read_versions(lake, "dim_customer", "dim_customer", scd2_schema(staged, CUSTOMER))
+    versions = read_versions(lake, "dim_customer", scd2_schema(staged, CUSTOMER))
     return versions.select(
         "sk_customer", *CUSTOMER_KEYS, *CUSTOMER_ATTRIBUTES, "valid_from", "valid_to", "is_active"
     )
@@ -193,3 +192,70 @@ def _daily_facts(spark, sf_dir):
 @query("daily_load_customers", DELIVERED_SQL + "SELECT * FROM versions")
 def _daily_customers(spark, sf_dir):
     return customer_versions(loaded_lake(spark, sf_dir))
+
+
+LIST_PROCESS = {
+    "process_type": "customer_list",
+    "source": {"source_name": "transactions"},
+    "transformations": [{"type": "select", "columns": [*CUSTOMER_KEYS]}],
+    "target": {
+        "gold_path": "stg_customer_list",
+        "load": [{"step": "insert_new", "table": "customer_list", "key": [*CUSTOMER_KEYS], "surrogate": "sk_customer"}],
+    },
+}
+
+
+@query(
+    "concurrent_keys",
+    DELIVERED_SQL
+    + """
+, quick AS (SELECT DISTINCT id_type, id_number FROM loaded WHERE batch = TIMESTAMP '2024-01-02')
+, slow AS (SELECT id_type, id_number FROM loaded WHERE batch = TIMESTAMP '2024-01-01' EXCEPT SELECT * FROM quick)
+SELECT row_number() OVER (ORDER BY late, id_type, id_number) AS sk_customer, id_type, id_number
+FROM (SELECT 0 AS late, * FROM quick UNION ALL SELECT 1 AS late, * FROM slow)
+""",
+)
+def _concurrent_keys(spark, sf_dir):
+    """The first day's load is overtaken by the second day's, loses, and is repeated."""
+    lake = fresh_lake(spark)
+    for day, raw in zip((FIRST_DAY, SECOND_DAY), deliveries(spark, sf_dir)):
+        silver_job(spark, lake, CONTRACT, day, as_of=AS_OF, raw=raw)
+    overtaken = []
+
+    @handler("overtaken_once")
+    def overtake(staged: DataFrame, config, ctx) -> DataFrame:
+        if not overtaken:
+            overtaken.append(gold_job(spark, lake, LIST_PROCESS, CONTRACT, SECOND_DAY))
+        return staged
+
+    gold_job(spark, lake, {**LIST_PROCESS, "custom_handler": "overtaken_once"}, CONTRACT, FIRST_DAY, retries=1)
+    keys = T.StructType([CONTRACT.schema[k] for k in CUSTOMER_KEYS])
+    return read_appended(lake, "customer_list", insert_schema(keys, {"surrogate": "sk_customer"}))
+
+
+THIRD_DAY = date(2024, 1, 3)
+
+
+@query(
+    "scd2_touched_buckets",
+    DELIVERED_SQL.replace(
+        "), opened AS (",
+        """
+  UNION ALL
+  SELECT DISTINCT id_type, id_number, full_name, 'LAST TOWN', CAST(birth_date AS date), risk_flag, risk_amount,
+         overdue_days, TIMESTAMP '2024-01-03'
+  FROM loaded WHERE batch = TIMESTAMP '2024-01-02' AND id_number % 7 = 0
+), opened AS (""",
+    )
+    + "SELECT * FROM versions",
+)
+def _touched_buckets(spark, sf_dir):
+    """Three days into one versioned table; each day rewrites the buckets of the customers that changed."""
+    lake = fresh_lake(spark)
+    first, second = deliveries(spark, sf_dir)
+    number = next(h for h, c in CONTRACT.column_renames.items() if c == "id_number")
+    third = second.where(F.col(number).cast("bigint") % 7 == 0).withColumn("city", F.lit("LAST TOWN"))
+    for day, raw in zip((FIRST_DAY, SECOND_DAY, THIRD_DAY), (first, second, third)):
+        silver_job(spark, lake, CONTRACT, day, as_of=AS_OF, raw=raw, allow_empty=True)
+        gold_job(spark, lake, CUSTOMER_PROCESS, CONTRACT, day)
+    return customer_versions(lake)

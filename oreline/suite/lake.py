@@ -12,6 +12,7 @@ from oreline.ledger import (
     RUNNING,
     SCHEMA,
     SUCCESS,
+    Ledger,
     ledger_state,
     run_status,
     seeded_watermarks,
@@ -204,7 +205,7 @@ def simulated_ledger(source: DataFrame) -> DataFrame:
         {
             "stream_id": None, "batch_id": None, "watermark_start": None, "rows_valid": 0, "rows_rejected": 0,
             "rows_indeterminate": 0, "rows_inserted": 0, "rows_updated": 0, "last_keys": None,
-            "snapshots": None,
+            "added": None, "removed": None, "version": None,
         },
     )
 
@@ -226,6 +227,17 @@ WITH ledger AS (
 STATE_COLUMNS = ["run_id", "source_name", "started_at", "rows_read", "status", "error_msg"]
 
 
+@query("ledger_compacted", LEDGER_SQL + "SELECT * FROM state")
+def _ledger_compacted(spark, sf_dir):
+    """The same events as a log with checkpoints, read back behind some more runs of another job."""
+    ledger = Ledger(spark, scratch_path(spark, "ledger"), checkpoint=8)
+    ledger.restore(simulated_ledger(events(spark, sf_dir)))
+    for number in range(5):
+        with ledger.run("later", f"source-{number}"):
+            pass
+    return ledger.state().where(F.col("job_name") == "gold").select(*STATE_COLUMNS)
+
+
 @query("ledger_state", LEDGER_SQL + "SELECT * FROM state")
 def _ledger_state(spark, sf_dir):
     return ledger_state(simulated_ledger(events(spark, sf_dir))).select(*STATE_COLUMNS)

@@ -162,10 +162,10 @@ FACT_PROCESS = {
                 "key": ["account_no", "event_ts"],
                 "measures": FACT_MEASURES,
                 "lookups": [
-                    {"table": "dim_customer", "process": "dim_customer",
+                    {"table": "dim_customer",
                      "keys": [*CUSTOMER_KEYS], "surrogate": "sk_customer",
                      "versioned": True},
-                    {"table": "dim_product", "process": "dim_product",
+                    {"table": "dim_product",
                      "keys": ["product_type"], "surrogate": "sk_product"},
                 ],
             },

@@ -6,12 +6,20 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import plan, rows
+from pyspark.sql import types as T
 
-from oreline.ledger import FAILED
+from oreline.ledger import FAILED, ConcurrentLoad
 from oreline.operators.quality import QualityGateError
 from oreline.plans.daily import daily_load
-from oreline.plans.gold import ConfigError, StaleBatch, gold_job, read_fact, read_orphans
-from oreline.plans.lake import Lake, NotLoaded, read_rejects, read_silver, snapshot_run
+from oreline.plans.gold import (
+    ConfigError,
+    StaleBatch,
+    gold_job,
+    insert_schema,
+    read_fact,
+    read_orphans,
+)
+from oreline.plans.lake import Lake, NotLoaded, read_appended, read_rejects, read_silver
 from oreline.plans.silver import silver_job
 from oreline.session import scratch_path
 from oreline.sources.writers import land_raw
@@ -103,10 +111,10 @@ def test_rerunning_a_day_adds_nothing(spark, lake):
     lines = [line("1", "a"), line("2", "b")]
     day(spark, lake, lines, DAY)
     before = facts(lake)
-    snapshot = snapshot_run(lake, "dim_customer", "dim_customer")
+    files = lake.ledger.view().files("dim_customer")
     day(spark, lake, lines, DAY)
     assert facts(lake) == before
-    assert snapshot_run(lake, "dim_customer", "dim_customer") == snapshot  # nothing changed, nothing rewritten
+    assert lake.ledger.view().files("dim_customer") == files  # nothing changed, nothing rewritten
 
 
 def test_days_one_by_one_equal_one_batch(spark, lake):
@@ -296,5 +304,98 @@ def test_fact_reads_prune_runs_and_months(spark, lake):
     day(spark, lake, [line("1", "a")], DAY)
     month = read_fact(lake, FACT_PROCESS, CONTRACT.schema).where("month_key = 199805").select("amount")
     scan = next(x for x in plan(month).splitlines() if "FileScan parquet [amount" in x)
-    assert "month_key" in scan and "dynamicpruning" in scan and "resolved" in scan
+    assert "PartitionFilters: [" in scan and "month_key" in scan.split("PartitionFilters")[1] and "resolved" in scan
     assert "ReadSchema: struct<amount:decimal(18,2)>" in scan
+
+
+def test_reads_plan_only_committed_files(spark, lake):
+    day(spark, lake, [line("1", "a")], DAY)
+    stray = f"{lake.table('fact_transactions')}/run_id=run-dead/resolved=true/month_key=199805"
+    spark.read.parquet(f"{lake.table('fact_transactions')}").drop("run_id", "resolved", "month_key").write.parquet(stray)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows_ = read_fact(lake, FACT_PROCESS, CONTRACT.schema)
+        assert "Exchange" not in plan(rows_) and "Join" not in plan(rows_)
+        assert rows_.inputFiles() and not [f for f in rows_.inputFiles() if "run-dead" in f]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    manifest = lake.ledger.view().files("fact_transactions")
+    assert [(f.rows, f.low, f.high) for f in manifest] == [(1, "1998-05-01 10:00:00", "1998-05-01 10:00:00")]
+
+
+def interleaved(other):
+    """A handler that lets another load run between the read and the commit of its own, once."""
+    from oreline.operators.transforms import handler
+
+    state = {"left": 1}
+
+    @handler("interleave")
+    def run(df, config, ctx):
+        if state["left"]:
+            state["left"] = 0
+            other()
+        return df
+
+
+@pytest.mark.parametrize("retries", [0, 1])
+def test_concurrent_loads_of_a_process(spark, lake, retries):
+    from oreline.suite.model import PRODUCT_PROCESS
+
+    for when, products in ((DAY, "AB"), (NEXT, "BC")):
+        silver_job(spark, lake, CONTRACT, when, as_of=AS_OF, raw=raw(spark, [line("1", p, product=p) for p in products]))
+    interleaved(lambda: gold_job(spark, lake, PRODUCT_PROCESS, CONTRACT, NEXT))
+    slow = {**copy.deepcopy(PRODUCT_PROCESS), "custom_handler": "interleave"}
+    keys = {"B": 1, "C": 2}
+    if retries:
+        gold_job(spark, lake, slow, CONTRACT, DAY, retries=retries)
+        keys["A"] = 3
+    else:
+        with pytest.raises(ConcurrentLoad, match="dim_product"):
+            gold_job(spark, lake, slow, CONTRACT, DAY)
+    schema = insert_schema(T.StructType([CONTRACT.schema["product_type"]]), {"surrogate": "sk_product"})
+    assert {r.product_type: r.sk_product for r in read_appended(lake, "dim_product", schema).collect()} == keys
+    lost = lake.ledger.state().where("status = 'FAILED'").collect()
+    assert len(lost) == 1 and "has changed dim_product" in lost[0]["error_msg"] and not lost[0]["added"]
+
+
+def test_a_changed_key_rewrites_its_bucket_only(spark, lake):
+    people = [line(str(i), f"a{i}") for i in range(200)]
+    day(spark, lake, people, DAY)
+    before = {f.path: f for f in lake.ledger.view().files("dim_customer")}
+    assert len({f.part for f in before.values()}) == 16 and sum(f.rows for f in before.values()) == 200
+    day(spark, lake, [line("7", "b", city="NEW"), line("8", "c")], NEXT)
+    after = {f.path: f for f in lake.ledger.view().files("dim_customer")}
+    gone, new = before.keys() - after.keys(), after.keys() - before.keys()
+    assert {before[p].part for p in gone} == {after[p].part for p in new if after[p].part != "closed"}
+    assert len(gone) == 1 and [after[p].rows for p in new if after[p].part == "closed"] == [1]
+    versions = customer_versions(lake)
+    assert (versions.count(), versions.where("is_active").count()) == (201, 200)
+    config = copy.deepcopy(CUSTOMER_PROCESS)
+    config["target"]["load"][0]["buckets"] = 4
+    with pytest.raises(ConfigError, match="16 buckets"):
+        gold_job(spark, lake, config, CONTRACT, NEXT)
+
+
+def test_a_gold_job_needs_few_spark_jobs(spark, lake):
+    from oreline.suite.model import DATE_PROCESS
+
+    silver_job(spark, lake, CONTRACT, DAY, as_of=AS_OF, raw=raw(spark, [line("1", "a")]))
+    for config, most in ((DATE_PROCESS, 20), (CUSTOMER_PROCESS, 30)):
+        group = f"count-{config['process_type']}"
+        spark.sparkContext.setJobGroup(group, group)
+        gold_job(spark, lake, config, CONTRACT, DAY)
+        spark.sparkContext.setJobGroup("", "")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < most
+
+
+def test_staged_sets_of_reruns_lie_side_by_side(spark, lake):
+    from oreline.plans.gold import read_staged
+    from oreline.suite.model import PRODUCT_PROCESS
+
+    schema = T.StructType([CONTRACT.schema["product_type"]])
+    for product in "AB":
+        day(spark, lake, [line("1", product, product=product)], DAY, use_watermark=False)
+        assert rows(read_staged(lake, PRODUCT_PROCESS, DAY, schema)) == [(product,)]
+    with pytest.raises(NotLoaded):
+        read_staged(lake, PRODUCT_PROCESS, NEXT, schema)

@@ -8,7 +8,17 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreline.ledger import FAILED, RUNNING, SUCCESS, Ledger, WatermarkMissing
+from oreline.ledger import (
+    FAILED,
+    RUNNING,
+    SUCCESS,
+    ConcurrentLoad,
+    DataFile,
+    Ledger,
+    WatermarkMissing,
+    last_keys,
+)
+from oreline.sources.metadata import MetadataFolder
 from oreline.session import materialize, scratch_path, shared_folder
 from oreline.sources.readers import (
     arrival_audit,
@@ -141,6 +151,83 @@ def test_watermark_keeps_microseconds_and_counts_only_commits(spark, folder):
     assert ledger.watermark("s") == moment
 
 
+def test_two_writers_never_take_one_version(spark, folder):
+    log = MetadataFolder(spark, f"{folder}/log")
+    assert log.names() == []
+    assert log.create("1.json", "é") and not log.create("1.json", "other")
+    assert log.read("1.json") == "é" and log.names() == ["1.json"]
+    taken = []
+    threads = [threading.Thread(target=lambda i=i: taken.append(log.create("2.json", str(i)))) for i in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(taken) == [False] * 7 + [True]
+
+
+def test_a_thousand_runs_are_read_from_one_checkpoint_and_a_short_tail(spark, folder):
+    ledger = Ledger(spark, f"{folder}/ledger")
+    days = spark.range(1000).select(
+        F.format_string("run-%04d", "id").alias("run_id"), F.lit(1).alias("seq"), F.lit("j").alias("job_name"),
+        F.lit("s").alias("source_name"), F.lit(SUCCESS).alias("status"), F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,int(id))").alias("watermark_end"),
+        F.lit("s").alias("watermark_source"), F.expr("map('t', id)").alias("last_keys"),
+    )
+    ledger.restore(days)
+    with pytest.raises(ValueError, match="empty ledger"):
+        ledger.restore(days)
+    for _ in range(40):
+        with ledger.run("j", "s") as run:
+            run.added = [DataFile("t", "rows", f"{run.run_id}/f", 1)]
+    names = {f.rsplit("/", 1)[1] for f in ledger.events().inputFiles()}
+    assert len([n for n in names if n.endswith(".parquet")]) == 1 and len(names) <= 33
+    assert ledger.state().count() == 1040 and ledger.version() == 81
+    view = ledger.view()
+    assert view.ask(**last_keys(["t", "u"])).asDict() == {"t": 999, "u": 0}
+    assert ledger.watermark("s") == datetime(2026, 9, 26) and len(view.files("t")) == 40
+    ledger.compact()
+    assert [n.endswith(".parquet") for n in ledger.events().inputFiles()] == [True]
+    ledger.expire()
+    assert ledger.state().count() == 1040
+    with ledger.run("j", "s") as run:
+        pass
+    assert ledger.state().count() == 1041 and ledger.last_success("j", "s")["run_id"] == run.run_id
+
+
+def test_half_written_checkpoints_are_ignored(spark, folder):
+    ledger = Ledger(spark, f"{folder}/ledger", checkpoint=4)
+    with ledger.run("j", "s"):
+        pass
+    spark.range(1).write.parquet(f"{folder}/ledger/checkpoints/{4:020d}")
+    assert ledger.state().count() == 1
+    with ledger.run("j", "s"):
+        pass  # writes the checkpoint in its place
+    assert ledger.state().count() == 2 and len(ledger.events().inputFiles()) == 1
+
+
+def test_a_run_that_lost_publishes_nothing(spark, folder):
+    ledger = Ledger(spark, f"{folder}/ledger")
+
+    def change(run, path):
+        run.changes = {"t"}
+        run.added, run.last_keys = [DataFile("t", "rows", path, 1)], {"t": 1}
+
+    with pytest.raises(ConcurrentLoad, match="has changed t since version 1"):
+        with ledger.run("j", "s") as slow:
+            with ledger.run("j", "other") as quick:
+                change(quick, "quick")
+            with ledger.run("j", "s"):
+                pass  # changes nothing: no conflict
+            change(slow, "slow")
+    assert [f.path for f in ledger.view().files("t")] == ["quick"]
+    with ledger.run("j", "s") as run:
+        run.removed = ledger.view().files("t")
+        run.added = [DataFile("t", "rows", "newer", 2), DataFile("u", "rows", "quick", 3)]
+    for _ in range(2):
+        assert [f.path for f in ledger.view().files("t")] == ["newer"] and ledger.view().files("u")[0].rows == 3
+        ledger.compact()
+    assert ledger.events().selectExpr("sum(size(added))", "sum(size(removed))").first()[:] == (2, 0)
+
+
 def test_runs_may_write_the_ledger_side_by_side(spark, folder):
     ledger = Ledger(spark, f"{folder}/ledger")
 
