@@ -39,7 +39,7 @@ CHUNK_BYTES = 4 << 20
 #: Cells along one side of a tile, and pairs per cell from which a tile is counted densely.
 TILE, DENSE = 256, 1 / 8
 #: Words for each shard of the pairs' hashes.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 
 
 def chunks(texts: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
@@ -145,14 +145,41 @@ def tile_counts(left: np.ndarray, right: np.ndarray, n: int) -> tuple[np.ndarray
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+_KINDS = tuple(np.dtype(t) for t in ("u1", "<u2", "<u4", "<i8"))
+
+
 def _block(*columns: np.ndarray) -> bytes:
-    return np.stack(columns).astype(np.int64).tobytes()
+    """Columns of counts or ids as bytes, each in the smallest type that holds it."""
+    parts = [np.int64(len(columns[0])).tobytes()]
+    for column in columns:
+        most = int(column.max(initial=0))
+        kind = next(i for i, k in enumerate(_KINDS) if most <= np.iinfo(k).max)
+        parts += [bytes([kind]), column.astype(_KINDS[kind]).tobytes()]
+    return b"".join(parts)
+
+
+def _unblock(block: bytes) -> list[np.ndarray]:
+    n = int(np.frombuffer(block, dtype=np.int64, count=1)[0])
+    at, columns = 8, []
+    while at < len(block):
+        kind = _KINDS[block[at]]
+        columns.append(np.frombuffer(block, dtype=kind, count=n, offset=at + 1).astype(np.int64))
+        at += 1 + n * kind.itemsize
+    return columns
+
 
+def _columns(blocks: pa.ChunkedArray) -> list[np.ndarray]:
+    """The columns of some blocks, put together."""
+    return [np.concatenate(x) for x in zip(*map(_unblock, blocks.to_pylist()))]
 
-def _columns(blocks: pa.ChunkedArray, n: int) -> list[np.ndarray]:
-    """The columns of blocks, put together."""
-    parts = [np.frombuffer(b, dtype=np.int64).reshape(n, -1) for b in blocks.to_pylist()]
-    return list(np.concatenate(parts, axis=1)) if parts else [np.empty(0, dtype=np.int64)] * n
+
+def _stream(ids: np.ndarray) -> bytes:
+    """Ids with breaks (-1) as bytes."""
+    return _block(ids + 1)
+
+
+def _ids(stream: bytes) -> np.ndarray:
+    return _unblock(stream)[0] - 1
 
 
 def _order(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -175,7 +202,7 @@ def pair_counts(stream: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             ids_of = batch.column("ids")
             for i, (chunk, lang) in enumerate(zip(batch.column("chunk").to_pylist(), batch.column("lang").to_pylist())):
-                ids = np.frombuffer(ids_of[i].as_buffer(), dtype=np.int64)
+                ids = _ids(ids_of[i].as_py())
                 at = _neighbours(ids)
                 # A chunk's own ids, closed up; their order by frequency stays.
                 own, local = np.unique(ids, return_inverse=True)
@@ -199,56 +226,50 @@ def pair_counts(stream: DataFrame, shards: int) -> DataFrame:
     return stream.mapInArrow(tidied(make), "chunk bigint, lang string, shard bigint, block binary")
 
 
-def frequent_pairs(counted: DataFrame, least: int) -> DataFrame:
-    """(lang, shard, left, right, a): the pairs that all chunks together hold at least ``least`` times."""
+def frequent_pairs(counted: DataFrame, least: int, shards: int) -> DataFrame:
+    """The pairs that all chunks together hold at least ``least`` times, and which chunk holds which.
+
+    Rows with (lang, left, right, a, id) are the pairs; rows with (chunk, block) hold blocks of (left, right, id).  Ids rank the pairs by
+    falling count: those of one shard are ``shards`` apart, so the shards' most frequent pairs have the smallest ids.
+    """
+    names = ["lang", "left", "right", "a", "id", "chunk", "block"]
+    kinds = [pa.string(), *[pa.int64()] * 5, pa.binary()]
 
     def merge(key: tuple, blocks: pa.Table) -> pa.Table:
-        left, right, n = _columns(blocks.column("block"), 3)
+        held = [_unblock(b) for b in blocks.column("block").to_pylist()]
+        left, right, n = (np.concatenate(x) for x in zip(*held))
         order = _order(left, right)
-        left, right, n = left[order], right[order], n[order]
-        first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
-        total = np.add.reduceat(n, first)
-        often = total >= least
-        kept = first[often]
-        return pa.table(
-            {
-                "lang": pa.array([key[0].as_py()] * len(kept), type=pa.string()),
-                "shard": pa.array([key[1].as_py()] * len(kept), type=pa.int64()),
-                "left": left[kept],
-                "right": right[kept],
-                "a": total[often],
-            }
-        )
+        left, right = left[order], right[order]
+        new = np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1]))
+        first = np.flatnonzero(new)
+        total = np.add.reduceat(n[order], first)
+        often = np.flatnonzero(total >= least)
+        rank = np.full(len(first), -1, dtype=np.int64)
+        rank[often[np.lexsort((often, -total[often]))]] = np.arange(len(often)) * shards + key[1].as_py()
+        # the id of every entry, back in the order of the blocks
+        ids = np.empty(len(order), dtype=np.int64)
+        ids[order] = rank[np.cumsum(new) - 1]
+        edge, chunks_, found = 0, [], []
+        for chunk, (l, r, _) in zip(blocks.column("chunk").to_pylist(), held):
+            own = ids[edge : edge + len(l)]
+            edge += len(l)
+            hit = own >= 0
+            if hit.any():
+                chunks_.append(chunk)
+                found.append(_block(l[hit], r[hit], own[hit]))
+        p, c = len(often), len(found)
+        columns = [
+            [key[0].as_py()] * p + [None] * c,
+            *[[*x[first][often].tolist(), *[None] * c] for x in (left, right)],
+            [*total[often].tolist(), *[None] * c],
+            [*rank[often].tolist(), *[None] * c],
+            [None] * p + chunks_,
+            [None] * p + found,
+        ]
+        return pa.table([pa.array(x, type=k) for x, k in zip(columns, kinds)], names=names)
 
     return counted.groupBy("lang", "shard").applyInArrow(
-        merge, "lang string, shard bigint, left bigint, right bigint, a bigint"
-    )
-
-
-def pairs_of_chunks(counted: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(chunk, block): blocks of (left, right, id), the frequent ``pairs`` that each chunk holds."""
-
-    def match(blocks: pa.Table, known: pa.Table) -> pa.Table:
-        found: tuple[list[int], list[bytes]] = ([], [])
-        if len(known):
-            left, right, id_ = (known.column(c).to_numpy() for c in ("left", "right", "id"))
-            names = np.array([left, right]).T.copy().view([("l", np.int64), ("r", np.int64)]).ravel()
-            order = np.argsort(names, order=("l", "r"))
-            names, id_ = names[order], id_[order]
-            for chunk, block in zip(blocks.column("chunk").to_pylist(), blocks.column("block").to_pylist()):
-                l, r, _ = np.frombuffer(block, dtype=np.int64).reshape(3, -1)
-                asked = np.array([l, r]).T.copy().view(names.dtype).ravel()
-                place = np.minimum(np.searchsorted(names, asked), len(names) - 1)
-                hit = names[place] == asked
-                if hit.any():
-                    found[0].append(chunk)
-                    found[1].append(_block(l[hit], r[hit], id_[place[hit]]))
-        return pa.table({"chunk": pa.array(found[0], type=pa.int64()), "block": pa.array(found[1], type=pa.binary())})
-
-    return (
-        counted.groupBy("lang", "shard")
-        .cogroup(_apart(pairs).groupBy("lang", "shard"))
-        .applyInArrow(match, "chunk bigint, block binary")
+        merge, "lang string, left bigint, right bigint, a bigint, id bigint, chunk bigint, block binary"
     )
 
 
@@ -272,7 +293,7 @@ def _recoded(stream: DataFrame, dictionary: DataFrame, make) -> DataFrame:
         for chunk, lang, raw in zip(*(left.column(c).to_pylist() for c in ("chunk", "lang", "ids"))):
             ids = _squeezed(make(raw, right)) if len(right) else np.empty(0, dtype=np.int64)
             if len(ids):
-                rows.append((chunk, lang, ids.astype(np.int64).tobytes()))
+                rows.append((chunk, lang, _stream(ids)))
         columns = list(zip(*rows)) or [[], [], []]
         return pa.table(
             [pa.array(c, type=k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.binary()))],
@@ -303,9 +324,9 @@ def with_pairs(stream: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Streams whose ids are those of the pair that starts at each place; ``dictionary``: (chunk, block)."""
 
     def make(raw: bytes, known: pa.Table) -> np.ndarray:
-        ids = np.frombuffer(raw, dtype=np.int64)
+        ids = _ids(raw)
         own, local = np.unique(ids, return_inverse=True)
-        left, right, id_ = _columns(known.column("block"), 3)
+        left, right, id_ = _columns(known.column("block"))
         key = np.searchsorted(own, left) * np.int64(len(own)) + np.searchsorted(own, right)
         order = np.argsort(key)
         key, id_ = key[order], id_[order]
@@ -389,9 +410,8 @@ def collocations(
     shards = 1 + words_in_all // SHARD_WORDS
     judged: list[DataFrame] = []
     for m in range(2, longest + 1):
-        counted = materialize(pair_counts(stream, shards), "phrase-pairs")
-        found = materialize(frequent_pairs(counted, least), "phrase-frequent")
-        pairs = ranked(found, ["left", "right"])
+        met = materialize(frequent_pairs(pair_counts(stream, shards), least, shards), "phrase-pairs")
+        pairs = met.where("block is null").select("lang", "left", "right", "a", "id")
         if judged:
             judged[-1] = _uncovered(judged[-1], pairs, covered)
         begins = level.select("lang", F.col("id").alias("left"), F.col("phrase").alias("_phrase"), F.col("begins").alias("_begins"))
@@ -410,7 +430,7 @@ def collocations(
         )
         judged.append(_judged(level, m))
         if m < longest:
-            stream = with_pairs(stream, pairs_of_chunks(counted, pairs))
+            stream = with_pairs(stream, met.where("block is not null").select("chunk", "block"))
     phrases = judged[0].drop("id")
     for more in judged[1:]:
         phrases = phrases.unionByName(more.drop("id"))
