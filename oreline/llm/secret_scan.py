@@ -66,46 +66,74 @@ PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|dummy|redacted"
 #: Candidates that match one of these as a whole are no secrets.
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^(?:[A-Za-z]+[-_/])+[A-Za-z]+$",
+    # Words joined by single signs.  No pattern here repeats a group without a small bound: java.util.regex recurses on
+    # those, and a long candidate would end the JVM.
+    r"^(?=[A-Za-z])(?!.*[-_/]{2})[A-Za-z_/-]*[-_/][A-Za-z]+$",
 )
 
 FOUND = "struct<at: int, match: string>"
 
 
+#: Matches whose places are added up at once; the blocks' own places are added up after.
+BLOCK = 256
+
+
+def _running(items: Column, size, all_type: str, entry) -> Column:
+    """(end, all): the sum of ``size(x)`` over ``items``, and ``entry(x, sum before x)`` of each, if not null."""
+    return F.aggregate(
+        items,
+        F.struct(F.lit(0).alias("end"), F.expr(f"cast(array() as array<{all_type}>)").alias("all")),
+        lambda state, x: F.struct(
+            (state["end"] + size(x)).alias("end"),
+            F.when(entry(x, state["end"]).isNull(), state["all"])
+            .otherwise(F.concat(state["all"], F.array(entry(x, state["end"]))))
+            .alias("all"),
+        ),
+    )
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Array of (at, match): leftmost matches that do not overlap, in code points.
 
-    A text without one is settled by a search alone.
+    A text without one is settled by a search alone.  Running sums copy what they have so far, so they run over
+    blocks of matches, then over blocks.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("match"))
-    placed = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("end"), F.expr(f"cast(array() as array<{FOUND}>)").alias("all")),
-        lambda state, p: F.struct(
-            (
-                state["end"]
-                + F.char_length(p["gap"])
-                + F.coalesce(F.char_length(p["match"]), F.lit(0))
-            ).alias("end"),
-            F.when(p["match"].isNull(), state["all"])
-            .otherwise(
-                F.concat(
-                    state["all"],
-                    F.array(
-                        F.struct(
-                            (state["end"] + F.char_length(p["gap"])).alias("at"),
-                            p["match"].alias("match"),
-                        )
-                    ),
-                )
+    pairs = F.transform(
+        F.arrays_zip(gaps.alias("gap"), found.alias("match")),
+        lambda p: F.struct(F.char_length(p["gap"]).alias("before"), p["match"].alias("match")),
+    )
+
+    def placed(p: Column, end: Column) -> Column:
+        return F.when(
+            p["match"].isNotNull(), F.struct((end + p["before"]).alias("at"), p["match"].alias("match"))
+        )
+
+    def length(p: Column) -> Column:
+        return p["before"] + F.coalesce(F.char_length(p["match"]), F.lit(0))
+
+    def joined(blocks: Column) -> Column:
+        starts = _running(blocks, lambda b: b["end"], "int", lambda b, end: end)["all"]
+        return F.flatten(
+            F.zip_with(
+                blocks,
+                starts,
+                lambda b, start: F.transform(
+                    b["all"], lambda m: F.struct((m["at"] + start).alias("at"), m["match"].alias("match"))
+                ),
             )
-            .alias("all"),
+        )
+
+    # one-element arrays bind what is used more than once, so that it is computed once
+    blocks = F.transform(
+        F.array(pairs),
+        lambda all_: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")),
+            lambda i: _running(F.slice(all_, i * BLOCK + 1, F.lit(BLOCK)), length, FOUND, placed),
         ),
-        lambda state: state["all"],
     )
-    return F.when(text.rlike(pattern), placed)
+    return F.when(text.rlike(pattern), F.get(F.transform(blocks, joined), F.lit(0)))
 
 
 def _c_log_c(c: Column) -> Column:
@@ -162,12 +190,13 @@ def find_secrets(
 
     Kinds are those of the patterns, then those of the entropy ``classes``.  Positions are code points, the end exclusive.  ``allow``
     and ``placeholder`` suppress entropy candidates only, never a pattern's match.  A null text is empty; rows may
-    repeat, and are judged one by one.
+    repeat, and are judged one by one.  An input column called ``spans`` is replaced.
     """
     kinds = [(k, p, g, n) for k, p, g, n in PATTERNS]
     kinds += [(c.kind, c.pattern, 0, c.window) for c in classes]
     text = F.coalesce("text", F.lit(""))
-    frame = docs.select("*", *[matches(text, p).alias(f"_{k}") for k, p, _, _ in kinds])
+    # The row travels packed, so that no name of it can clash.
+    frame = docs.select(F.struct("*").alias("row"), *[matches(text, p).alias(f"_{k}") for k, p, _, _ in kinds])
 
     def plain(number: int, kind: str, pattern: str, group: int, least: int) -> Column:
         def counted(m: Column) -> Column:
@@ -227,7 +256,8 @@ def find_secrets(
     ] + [
         F.coalesce(entropic(i, c), none) for i, c in enumerate(classes, len(PATTERNS))
     ]
-    return frame.select(*docs.columns, F.array_sort(F.concat(*groups)).alias("spans"))
+    others = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() != "spans"]
+    return frame.select("row", F.array_sort(F.concat(*groups)).alias("spans")).select(*others, "spans")
 
 
 def _span(start: Column, number: Column, kind: str, end: Column) -> Column:

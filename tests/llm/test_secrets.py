@@ -59,3 +59,30 @@ def test_no_secrets(spark):
         "3f2504E0-4f89-41D3-9a0c-0305E82C3301",
     ]
     assert spans(spark, texts) == [[]] * len(texts)
+
+
+def test_long_candidates_and_many_matches(spark):
+    """Neither ends the JVM nor takes time with the square of the matches."""
+    import time
+
+    rng = random.Random(4)
+    texts = [
+        "Ab-" * 4000 + "x9",
+        "Ab-" * 300_000 + "x",
+        "a/" * 500_000,
+        "aB" * 300_000 + "9",
+        "".join(rng.choice(ALPHABET) for _ in range(1 << 20)),
+        "é " + f"AKIA{'Z' * 12} " * 100_000,
+        "0123456789abcdef" * 65_536,
+    ]
+    ship_package(spark)
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id bigint, text string, spans string, _hex string")
+    began = time.time()
+    found = secret_scan.find_secrets(docs.repartition(7))
+    assert found.columns == ["doc_id", "text", "_hex", "spans"]
+    got = {r.doc_id: r.spans for r in found.select("doc_id", "spans").collect()}
+    assert time.time() - began < 120
+    assert [len(got[i]) for i in (0, 1, 2, 3)] == [0, 0, 0, 0]
+    assert [(s.start, s.end) for s in got[4] if s.kind == "high_base64"] == [(0, 1 << 20)]
+    assert [(s.start, s.end) for s in got[5] if s.kind == "access"] == [(2 + 17 * i, 18 + 17 * i) for i in range(100_000)]
+    assert [(s.start, s.end) for s in got[6] if s.kind == "hex"] == [(0, 1 << 20)]
