@@ -1,12 +1,15 @@
 """Finds passages of benchmark items in documents: SimHash of item-sized windows.
 
 1. Items and documents are words: lower case, letters and digits only.  A window has as many words as
-   an item; a document with fewer is one window as a whole, for each size whose items it can be similar to.
+   an item; a document with fewer is one window as a whole, for each size whose items it can be similar to.  Shingles
+   are ``k`` words; an item with fewer words is one shingle as a whole, and so are the windows of its size.
 2. A window reaches the similarity only if enough of its shingles are shingles of items of its size; bitmaps
-   of fixed size, filled by all items, count them and can only err towards keeping a window.
+   sized for the items, and filled by all of them, count them and can only err towards keeping a window.
 3. Windows and items get a 64-bit SimHash over their words.  The fingerprint is cut into
    ``radius // 3 + 1`` blocks: two within ``radius`` bits differ by at most ``FLIPS`` bits in at least one.  Items give
-   all values so near to each of their blocks, so a join on (size, block, value) finds all of them.
+   all values so near to each of their blocks, so a join on (size, block, value) finds all of them.  Blocks alone are
+   too short to tell random pairs apart, so the join is also on a shingle: of two that are similar, the
+   first few shingles in the order of their hashes have one in common.
 4. Candidates within the radius are verified by the weighted similarity of their shingles: the sum of the
    lesser counts over the sum of the larger.
 """
@@ -14,6 +17,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -22,15 +26,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreline.llm.words import SYMBOLS, mix, run_hashes, words
+from oreline.llm.words import SYMBOLS, Words, mix, run_hashes, tidied, words
 from oreline.session import materialize
 
-#: Bits of the bitmap of shingles, as a power of two: 2 MB.
-BITMAP = 24
+#: Bits of a bitmap of shingles, as powers of two: at least, at most (16 MB), and for each shingle.
+LEAST_BITS, MOST_BITS, EACH_BITS = 16, 27, 5
+#: Words between the first and last window whose fingerprints are made at once.
+STRETCH = 1 << 14
 #: Bits by which the nearest of ``radius // 3 + 1`` blocks may differ: ``radius // blocks`` is 2 at most.
 FLIPS = 2
 #: ``size`` is the words of the items to compare with, ``n_words`` those of the window or item itself.
-SCHEMA = "id bigint, start bigint, size bigint, n_words bigint, print bigint, shingles array<bigint>"
+#: ``first`` are the shingles of which similar windows and items share one.
+SCHEMA = (
+    "id bigint, start bigint, size bigint, n_words bigint, print bigint, shingles array<bigint>, first array<bigint>"
+)
 
 
 def lowered(texts: pa.Array) -> pa.Array:
@@ -38,9 +47,14 @@ def lowered(texts: pa.Array) -> pa.Array:
 
 
 def simhash(hashes: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-    """The 64-bit SimHash of ``n`` words from each start: a bit is the majority of its words' bits."""
-    low = starts.min()
-    part = mix(hashes[low : starts.max() + n] ^ np.uint64(0x2545F4914F6CDD1D))
+    """The 64-bit SimHash of ``n`` words from each start, in order: a bit is the majority of its words' bits."""
+    cuts = np.flatnonzero(np.diff((starts - starts[0]) // STRETCH)) + 1
+    return np.concatenate([_simhash(hashes, s, n) for s in np.split(starts, cuts)])
+
+
+def _simhash(hashes: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    low = starts[0]
+    part = mix(hashes[low : starts[-1] + n] ^ np.uint64(0x2545F4914F6CDD1D))
     bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     total = np.zeros((len(part) + 1, 64), dtype=np.int32)
     np.cumsum(bits, axis=0, dtype=np.int32, out=total[1:])
@@ -48,8 +62,21 @@ def simhash(hashes: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(2 * ones > n, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def item_prints(items: DataFrame, k: int) -> DataFrame:
-    """Items (item_id, text) with ``k`` words or more as SCHEMA; shingles with repeats, in order."""
+def leading(shingles: np.ndarray, shared: int) -> list[int]:
+    """Of some shingles those of which another list that shares ``shared`` with them has one among its own leading ones.
+
+    Repeats count as shingles of their own.
+    """
+    order = np.argsort(shingles, kind="stable")
+    h = shingles[order]
+    new = np.append(True, h[1:] != h[:-1])
+    again = np.arange(len(h)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    elements = np.sort(mix(h + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    return elements[: len(h) - shared + 1].view(np.int64).tolist()
+
+
+def item_prints(items: DataFrame, k: int, percent: int) -> DataFrame:
+    """Items (item_id, text) with words as SCHEMA; shingles with repeats, in order."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,12 +85,16 @@ def item_prints(items: DataFrame, k: int) -> DataFrame:
                 bounds = group.bounds()
                 rows = []
                 for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-                    if b - a >= k:
-                        shingles = run_hashes(group.hash, np.arange(a, b - k + 1), k)
+                    if b > a:
                         n = int(b - a)
+                        of = min(k, n)
+                        shingles = run_hashes(group.hash, np.arange(a, b - of + 1), of)
                         print_ = simhash(group.hash, np.array([a]), n).view(np.int64)[0]
+                        # what the shortest window that can be similar has to share
+                        least = -(-len(shingles) * percent // 100)
                         rows.append(
-                            (ids[group.first_row + i], 0, n, n, int(print_), shingles.view(np.int64).tolist())
+                            (ids[group.first_row + i], 0, n, n, int(print_), shingles.view(np.int64).tolist(),
+                             leading(shingles, least))
                         )
                 yield _batch(rows)
 
@@ -71,31 +102,40 @@ def item_prints(items: DataFrame, k: int) -> DataFrame:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (*[pa.int64()] * 5, pa.list_(pa.int64()))
-    names = ("id", "start", "size", "n_words", "print", "shingles")
+    kinds = (*[pa.int64()] * 5, *[pa.list_(pa.int64())] * 2)
+    names = ("id", "start", "size", "n_words", "print", "shingles", "first")
     return pa.RecordBatch.from_arrays(
         [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(kinds)], names=names
     )
 
 
-def _slots(shingles: np.ndarray, size: int = 0) -> np.ndarray:
+def _slots(shingles: np.ndarray, bits: int, size: int = 0) -> np.ndarray:
     """Where a shingle stands in the bitmap, by itself or among items of one size."""
     h = mix(shingles + np.uint64(size * 0x9E3779B97F4A7C15 % (1 << 64)))
-    return (h >> np.uint64(64 - BITMAP)).astype(np.int64)
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def bitmaps(prints: DataFrame) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Shingles of all items, shingles by item size, and the sizes.
+@dataclass
+class Maps:
+    """Bitmaps of the shingles of all items, and by item size; and the sizes."""
+
+    bits: int
+    any_size: np.ndarray
+    by_size: np.ndarray
+    sizes: list[int]
 
-    Words of set bits are combined in Spark; 2**18 of them at most come to the driver for each map,
-    and the sizes are no more than the words of the longest item.
-    """
+
+def bitmaps(prints: DataFrame) -> Maps:
+    """Words of set bits are combined in Spark; 2**22 of them at most come to the driver for each map,
+    and the sizes are no more than the words of the longest item."""
+    shingles = prints.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
+    bits = min(MOST_BITS, max(LEAST_BITS, shingles.bit_length() + EACH_BITS))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n, s in zip(batch.column("n_words").to_pylist(), batch.column("shingles")):
                 h = s.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                at = np.concatenate((_slots(h), _slots(h, n) + (1 << BITMAP)))
+                at = np.concatenate((_slots(h, bits), _slots(h, bits, n) + (1 << bits)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(at >> 5), pa.array(np.int64(1) << (at & 31))], names=["word", "bit"]
                 )
@@ -107,11 +147,11 @@ def bitmaps(prints: DataFrame) -> tuple[np.ndarray, np.ndarray, list[int]]:
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
     )
-    flat = np.zeros(2 << (BITMAP - 5), dtype=np.uint32)
+    flat = np.zeros(2 << (bits - 5), dtype=np.uint32)
     flat[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     half = len(flat) // 2
     sizes = [r[0] for r in prints.select("n_words").distinct().collect()]
-    return flat[:half], flat[half:], sorted(sizes)
+    return Maps(bits, flat[:half], flat[half:], sorted(sizes))
 
 
 def _has(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -123,56 +163,76 @@ def needed(m: int, n: int, percent: int) -> int:
     return -(-(m + n) * percent // (100 + percent))
 
 
-def window_prints(docs: DataFrame, maps, k: int, percent: int) -> DataFrame:
+def window_prints(docs: DataFrame, maps: Maps, k: int, percent: int) -> DataFrame:
     """Windows of ``docs`` (doc_id, text) that may reach the similarity, as SCHEMA."""
-    shared = docs.sparkSession.sparkContext.broadcast(maps)  # 4 MB, and the items' sizes
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        any_size, by_size, sizes = shared.value
+    shared = docs.sparkSession.sparkContext.broadcast(maps)  # 32 MB at most, and the items' sizes
+
+    def whole(group: Words, sizes: list[int], maps: Maps) -> Iterator[tuple]:
+        """Windows that are one shingle: those of items with fewer than ``k`` words."""
+        bounds = group.bounds()
+        for size in sizes:
+            at = group.runs(size)
+            h = run_hashes(group.hash, at, size)
+            hit = _has(maps.by_size, _slots(h, maps.bits, size))
+            if hit.any():
+                at, h = at[hit], h[hit]
+                row = group.row[at]
+                prints = simhash(group.hash, at, size).view(np.int64)
+                for i, s, p, x in zip(row.tolist(), (at - bounds[row]).tolist(), prints.tolist(), h):
+                    yield i, s, size, size, p, [int(x.view(np.int64))], leading(np.array([x]), 1)
+
+    def long(group: Words, sizes: list[int], maps: Maps) -> Iterator[tuple]:
         # no shorter sequence is similar to a size's items than one all of whose shingles are theirs
         least = min((-(-(n - k + 1) * percent // 100) for n in sizes), default=0)
+        at = group.runs(k)
+        h = run_hashes(group.hash, at, k)
+        hit = np.flatnonzero(_has(maps.any_size, _slots(h, maps.bits)))
+        row, n_hits = np.unique(group.row[at[hit]], return_counts=True)
+        bounds = group.bounds()
+        cuts = np.searchsorted(group.row[at[hit]], row)
+        for i, c, n in zip(row.tolist(), cuts, n_hits):
+            if n < least:
+                continue
+            a, b = int(bounds[i]), int(bounds[i + 1])
+            own = hit[c : c + n]
+            first = np.searchsorted(at, a)  # this document's first shingle
+            for size in sizes:
+                length = min(size, b - a)
+                m = length - k + 1
+                need = needed(m, size - k + 1, percent)
+                if m < need or n < need:
+                    continue
+                sure = own[_has(maps.by_size, _slots(h[own], maps.bits, size))] - first
+                if len(sure) < need:
+                    continue
+                mark = np.zeros(b - a - k + 2, dtype=np.int32)
+                mark[sure + 1] = 1
+                np.cumsum(mark, out=mark)
+                starts = np.flatnonzero(mark[m:] - mark[:-m] >= need)
+                if not len(starts):
+                    continue
+                prints = simhash(group.hash, starts + a, length).view(np.int64).tolist()
+                for s, p in zip(starts.tolist(), prints):
+                    got = h[first + s : first + s + m]
+                    yield i, s, size, length, p, got.view(np.int64).tolist(), leading(got, need)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps = shared.value
+        short, rest = [n for n in maps.sizes if n < k], [n for n in maps.sizes if n >= k]
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist() if sizes else []
-            for group in words(lowered(batch.column("text")), SYMBOLS) if sizes else ():
-                at = group.runs(k)
-                h = run_hashes(group.hash, at, k)
-                hit = np.flatnonzero(_has(any_size, _slots(h)))
-                row, n_hits = np.unique(group.row[at[hit]], return_counts=True)
-                bounds = group.bounds()
-                cuts = np.searchsorted(group.row[at[hit]], row)
+            ids = batch.column("doc_id").to_pylist() if maps.sizes else []
+            for group in words(lowered(batch.column("text")), SYMBOLS) if maps.sizes else ():
                 rows = []
-                for i, c, n in zip(row, cuts, n_hits):
-                    if n < least:
-                        continue
-                    a, b = int(bounds[i]), int(bounds[i + 1])
-                    own = hit[c : c + n]
-                    first = np.searchsorted(at, a)  # this document's first shingle
-                    for size in sizes:
-                        length = min(size, b - a)
-                        m = length - k + 1
-                        need = needed(m, size - k + 1, percent)
-                        if m < need or n < need:
-                            continue
-                        sure = own[_has(by_size, _slots(h[own], size))] - first
-                        if len(sure) < need:
-                            continue
-                        mark = np.zeros(b - a - k + 2, dtype=np.int32)
-                        mark[sure + 1] = 1
-                        np.cumsum(mark, out=mark)
-                        starts = np.flatnonzero(mark[m:] - mark[:-m] >= need)
-                        if not len(starts):
-                            continue
-                        prints = simhash(group.hash, starts + a, length).view(np.int64).tolist()
-                        for s, p in zip(starts.tolist(), prints):
-                            got = h[first + s : first + s + m].view(np.int64).tolist()
-                            rows.append((ids[group.first_row + i], s, size, length, p, got))
-                            if len(rows) >= 2000:
-                                yield _batch(rows)
-                                rows = []
+                for found in (whole(group, short, maps), long(group, rest, maps)):
+                    for i, *window in found:
+                        rows.append((ids[group.first_row + i], *window))
+                        if len(rows) >= 2000:
+                            yield _batch(rows)
+                            rows = []
                 if rows:
                     yield _batch(rows)
 
-    return docs.select("doc_id", "text").mapInArrow(make, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(tidied(make), SCHEMA)
 
 
 def block_edges(radius: int) -> list[tuple[int, int]]:
@@ -209,10 +269,10 @@ def find_passages(
     ``docs``: doc_id, text; ``items``: item_id, text; other columns are ignored.  A window qualifies if it is
     within ``radius`` bits and its similarity is ``percent`` or more; ties go to the first in the text.  Positions count
     words, and ``n_words`` is the window's own: a document with fewer words than the item is compared as a whole.
-    Items with fewer than ``k`` words, and rows without an id or text, take no part.  Rows that
-    share a doc_id are searched one by one and reported together.
+    Items with fewer than ``k`` words match where their words stand in a row.  Items and rows without an id or without words
+    take no part.  Rows that share a doc_id are searched one by one and reported together.
     """
-    prints = materialize(item_prints(items, k), "items")
+    prints = materialize(item_prints(items, k, percent), "items")
     maps = bitmaps(prints)
     windows = materialize(
         window_prints(docs.where("doc_id is not null"), maps, k, percent), "item-windows"
@@ -223,16 +283,20 @@ def find_passages(
         "size",
         "n_words",
         F.col("print").alias("dp"),
+        "first",
         F.posexplode(F.array(*blocks(F.col("print"), radius))).alias("block", "value"),
-    )
+    ).withColumn("shingle", F.explode("first"))
     theirs = prints.select(
         F.col("id").alias("item_id"),
         "size",
         F.col("print").alias("ip"),
-        F.posexplode(F.array(*near_blocks(F.col("print"), radius))).alias("block", "values"),
-    ).select("item_id", "size", "ip", "block", F.explode("values").alias("value"))
+        F.explode("first").alias("shingle"),
+        F.array(*near_blocks(F.col("print"), radius)).alias("near"),
+    )
+    theirs = theirs.select("item_id", "size", "ip", "shingle", F.posexplode("near").alias("block", "values"))
+    theirs = theirs.withColumn("value", F.explode("values")).drop("values")
     near = (
-        mine.join(theirs, ["size", "block", "value"])
+        mine.join(theirs, ["size", "shingle", "block", "value"])
         .withColumn("distance", F.bit_count(F.col("dp").bitwiseXOR(F.col("ip"))))
         .where(F.col("distance") <= radius)
         .select("doc_id", "start", "size", "n_words", "dp", "item_id", "distance")

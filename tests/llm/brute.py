@@ -182,6 +182,11 @@ def passages(docs, items, k=5, percent=80):
         if len(w) >= k:
             s = [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
             prepared.append((item, len(w), s, set(s)))
+        elif w:
+            for doc, other in docs:
+                v = plain_words(other)
+                if any(v[i : i + len(w)] == w for i in range(len(v) - len(w) + 1)):
+                    out[doc, item] = 1.0
     for doc, text in docs:
         w = plain_words(text)
         own = [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]

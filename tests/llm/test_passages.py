@@ -84,4 +84,35 @@ def test_documents_shorter_than_the_item(spark):
     assert expected[0, 0] and len(expected) > 10 and not brute.passages(docs, items)
     assert found(spark, docs, items) == expected
     long, short = " ".join(prose(rng, 1000)), " ".join(prose(rng, 4))
-    assert not found(spark, [(1, short), (2, None), (3, "")], [(1, long), (2, short)])
+    assert found(spark, [(1, short), (2, None), (3, "")], [(1, long), (2, short)]) == {(1, 2): (4, 1.0)}
+
+
+def test_items_of_few_words(spark):
+    rng = random.Random(14)
+    texts = [prose(rng, 40) for _ in range(6)]
+    items = [(n, " ".join(texts[0][7 : 7 + n]).upper() + "!") for n in range(1, 6)] + [(9, " ?! "), (10, None), (11, texts[1][39])]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(7, " ".join(texts[0][7:10])), (8, " ".join(texts[0][8:12])), (0, "again")]
+    expected = brute.passages(docs, items)
+    assert {p: s for p, (_, s) in found(spark, docs, items).items()} == expected
+    assert {p for p in expected if p[0] == 7} == {(7, 1), (7, 2), (7, 3)} and (1, 11) in expected
+
+
+def test_few_candidates_among_many_items_of_one_size(spark):
+    """With blocks alone, most of these pairs would meet."""
+    rng = random.Random(15)
+    items = [(i, " ".join(prose(rng, 12))) for i in range(3000)]
+    docs = [(i, " ".join(prose(rng, 5) + t.split() + prose(rng, 5))) for i, t in items[::10]]
+    ship_package(spark)
+    got = decontaminate.find_passages(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i) for i, _ in items[::10]]
+
+
+def test_long_documents_need_little_memory():
+    import numpy as np
+
+    hashes = np.arange(3_000_000, dtype=np.uint64)
+    starts = np.arange(0, 2_999_950, 977)
+    whole = decontaminate.simhash(hashes, starts, 50)
+    assert (whole[[0, 1500, -1]] == [decontaminate.simhash(hashes, starts[[i]], 50)[0] for i in (0, 1500, -1)]).all()
