@@ -9,7 +9,7 @@ is shuffled, and a task holds ``open_bins`` sequences, one run and its longest d
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from oreline.llm.tokens import encoder
+from oreline.llm.words import tidied
 
 PIECE = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint>"
 SEQUENCE = f"sequence_id bigint, n_tokens int, ids array<int>, pieces array<{PIECE}>"
@@ -48,12 +49,13 @@ ARROW = pa.schema(
 class Sequence:
     used: int = 0
     pieces: list[tuple] = field(default_factory=list)
-    ids: list[np.ndarray] = field(default_factory=list)
+    #: Of each piece its ids, or what was made of them.
+    kept: list = field(default_factory=list)
 
-    def add(self, doc_id, piece: int, start: int, ids: np.ndarray) -> None:
-        self.pieces.append((doc_id, piece, start, len(ids), self.used))
-        self.ids.append(ids)
-        self.used += len(ids)
+    def add(self, doc_id, piece: int, start: int, length: int, kept) -> None:
+        self.pieces.append((doc_id, piece, start, length, self.used))
+        self.kept.append(kept)
+        self.used += length
 
 
 class OpenBins:
@@ -104,45 +106,74 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return ([(0, head)] if head else []) + [(a, capacity) for a in range(head, n, capacity)]
 
 
-def pack(
-    docs: DataFrame,
-    tokenizer: str,
-    capacity: int = 2048,
-    end_id: int | None = 0,
-    open_bins: int = 1024,
-    lookahead: int = 1000,
-    emit: int = 256,
-) -> DataFrame:
-    """Sequences of at most ``capacity`` ids made of ``docs`` (doc_id, text; others ignored).
+@dataclass(frozen=True)
+class Packing:
+    """How documents are packed; see :func:`pack`."""
 
-    A null text is empty; ``end_id``, if given, closes each document.  Documents
-    longer than a sequence are cut into full pieces after a shorter first one; no other is
-    cut.  A document without any ids gives no piece.  Rows may repeat; an empty table gives no rows.
-    Numbers of sequences are unique, and the same whenever a task is run again.
-    """
+    tokenizer: str
+    capacity: int = 2048
+    end_id: int | None = 0
+    open_bins: int = 1024
+    lookahead: int = 1000
+    emit: int = 256
 
-    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 40
-        bins = OpenBins(capacity, open_bins)
-        tail = np.array([] if end_id is None else [end_id], dtype="<u4")
-        closed: list[Sequence] = []
+    def closed(self, batches: Iterator[pa.RecordBatch], keep: Callable) -> Iterator[list[Sequence]]:
+        """Lists of closed sequences; ``keep(ids)`` says what stays of each piece."""
+        bins = OpenBins(self.capacity, self.open_bins)
+        tail = np.array([] if self.end_id is None else [self.end_id], dtype="<u4")
+        done: list[Sequence] = []
         run: list[tuple] = []
 
         def place() -> None:
-            run.sort(key=lambda p: len(p[-1]), reverse=True)
+            run.sort(key=lambda p: p[3], reverse=True)
             for piece in run:
-                bin = bins.best_fit(len(piece[-1]))
+                bin = bins.best_fit(piece[3])
                 bin.add(*piece)
-                closed.extend(bins.put(bin))
+                done.extend(bins.put(bin))
             run.clear()
 
-        def rows() -> pa.RecordBatch:
-            nonlocal number
+        for batch in batches:
+            keys = batch.column("doc_id").to_pylist()
+            for at, counts, ids in encoder(self.tokenizer).encode(batch.column("text").to_pylist()):
+                end = np.cumsum(counts)
+                for i, (a, b) in enumerate(zip((end - counts).tolist(), end.tolist())):
+                    whole = np.concatenate((ids[a:b], tail))
+                    for piece, (start, n) in enumerate(cut(len(whole), self.capacity)):
+                        run.append((keys[at + i], piece, start, n, keep(whole[start : start + n])))
+                    if len(run) >= self.lookahead:
+                        place()
+                        if len(done) >= self.emit:
+                            yield done
+                            done = []
+        place()
+        for bin in bins.rest():
+            done.append(bin)
+            if len(done) >= self.emit:
+                yield done
+                done = []
+        if done:
+            yield done
+
+
+def pack(docs: DataFrame, tokenizer: str, **how) -> DataFrame:
+    """Sequences of at most ``capacity`` ids made of ``docs`` (doc_id, text; others ignored).
+
+    ``how`` are fields of :class:`Packing`.  A null text is empty; ``end_id``, if given, closes each document.  Documents
+    longer than a sequence are cut into full pieces after a shorter first one; no other is
+    cut.  A document without any ids gives no piece.  Rows may repeat; an empty table gives no rows.
+    Numbers of sequences are unique, and the same whenever a task is run again.
+    """
+    packing = Packing(tokenizer, **how)
+
+    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        names = ("doc_id", "piece", "start", "length", "offset")
+        # copies, so that an open sequence does not hold whole documents
+        for closed in packing.closed(batches, np.ndarray.copy):
             counts = np.array([s.used for s in closed], dtype=np.int32)
-            flat = np.concatenate([i for s in closed for i in s.ids]).astype(np.int32)
+            flat = np.concatenate([i for s in closed for i in s.kept]).astype(np.int32)
             edges = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            names = ("doc_id", "piece", "start", "length", "offset")
-            made = pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(number, number + len(closed), dtype=np.int64)),
                     pa.array(counts),
@@ -155,28 +186,27 @@ def pack(
                 schema=ARROW,
             )
             number += len(closed)
-            closed.clear()
-            return made
 
-        for batch in batches:
-            keys = batch.column("doc_id").to_pylist()
-            for at, counts, ids in encoder(tokenizer).encode(batch.column("text").to_pylist()):
-                end = np.cumsum(counts)
-                for i, (a, b) in enumerate(zip(end - counts, end)):
-                    whole = np.concatenate((ids[a:b], tail))
-                    for piece, (start, n) in enumerate(cut(len(whole), capacity)):
-                        # a copy, so that an open sequence does not hold the whole document
-                        run.append((keys[at + i], piece, start, whole[start : start + n].copy()))
-                    if len(run) >= lookahead:
-                        place()
-                        if len(closed) >= emit:
-                            yield rows()
-        place()
-        for bin in bins.rest():
-            closed.append(bin)
-            if len(closed) >= emit:
-                yield rows()
-        if closed:
-            yield rows()
+    return docs.select("doc_id", "text").mapInArrow(tidied(sequences), SEQUENCE)
+
+
+def pack_digests(docs: DataFrame, tokenizer: str, digest: Callable[[np.ndarray], int], name: str, **how) -> DataFrame:
+    """The same packing as one row per piece, with a whole number made of its ids in place of the ids.
+
+    Returns doc_id, piece, start, length, offset, sequence_id and ``name``; the ids never leave the task.
+    """
+    packing = Packing(tokenizer, **how)
+    names = ["doc_id", "piece", "start", "length", "offset", "sequence_id", name]
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        for closed in packing.closed(batches, digest):
+            rows = [
+                (*piece, number + i, kept) for i, s in enumerate(closed) for piece, kept in zip(s.pieces, s.kept)
+            ]
+            number += len(closed)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(sequences, SEQUENCE)
+    ddl = ", ".join(f"{n} {'int' if n == 'piece' else 'bigint'}" for n in names)
+    return docs.select("doc_id", "text").mapInArrow(tidied(pieces), ddl)

@@ -58,29 +58,7 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
-
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, lists = batch.column("ids"), batch.column("pieces")
-            flat = lists.flatten()
-            per = np.diff(lists.offsets.to_numpy())
-            begin = np.repeat(ids.offsets.to_numpy()[:-1], per) + flat.field("offset").to_numpy()
-            tokens, length = ids.values.to_numpy(), flat.field("length").to_numpy()
-            sums = [crc(tokens[a : a + n]) for a, n in zip(begin, length)]
-            numbers = np.repeat(batch.column("sequence_id").to_numpy(), per)
-            names = ("doc_id", "piece", "start", "length", "offset")
-            yield pa.RecordBatch.from_arrays(
-                [flat.field(n) for n in names]
-                + [pa.array(sums, type=pa.int64()), pa.array(numbers)],
-                names=[*names, "ids_crc32", "sequence_id"],
-            )
-
-    return packed.mapInArrow(
-        pieces,
-        "doc_id bigint, piece int, start bigint, length bigint, offset bigint, "
-        "ids_crc32 bigint, sequence_id bigint",
-    )
+    return packing.pack_digests(table(spark, sf_dir, "documents"), tokenizer_path(), crc, "ids_crc32")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

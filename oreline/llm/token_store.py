@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oreline.llm.tokens import encoder
+from oreline.llm.words import tidied
 from oreline.session import shuffle_partitions
 
 RANK_BITS = 512
@@ -201,7 +202,7 @@ def write_store(
         if doc_ids:
             yield flush()
 
-    ordered.mapInArrow(segments, SEGMENT).write.parquet(path)
+    ordered.mapInArrow(tidied(segments), SEGMENT).write.parquet(path)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:

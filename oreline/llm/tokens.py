@@ -8,6 +8,7 @@ which pattern libraries could differ, or with a special token's string, are enco
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import unicodedata
@@ -16,12 +17,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 
-from oreline.llm.words import mix, span_hashes
+from oreline.llm.words import text_hashes
 
-#: Pieces remembered by a worker.
-MEMO = 600_000
+#: Pieces in each of the two generations that a worker remembers.
+MEMO = 400_000
 #: Code points handled at once.
-GROUP = 1 << 20
+GROUP = 1 << 21
 
 #: The pattern this module cuts by, as ``pre_tokenizer`` ByteLevel has it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -57,11 +58,6 @@ def _classes() -> np.ndarray:
     return table
 
 
-@functools.cache
-def _salts() -> np.ndarray:
-    return mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
-
-
 def piece_starts(code: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Which positions start a piece; ``first`` marks the first position of a text."""
     kind = _classes()[code]
@@ -109,7 +105,9 @@ class Encoder:
             and not cut.get("add_prefix_space")
         )
         self.special = [t["content"] for t in given.get("added_tokens", [])]
-        self.memo: dict[int, bytes] = {}
+        #: Ids by piece.  What is asked for moves to the young generation; the old one is dropped as a whole.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -162,22 +160,12 @@ class Encoder:
         first[edges[:-1][edges[:-1] < edges[1:]]] = True
         start = np.flatnonzero(piece_starts(code, first))
         end = np.append(start[1:], len(code))
-        keys = span_hashes(_salts()[code], start, end)
-        which, distinct = pd.factorize(keys)
+        # Hashes only bring equal pieces of this group together; the memo goes by the pieces themselves.
+        which, distinct = pd.factorize(text_hashes(code.astype(np.uint16), start, end))
         sample = np.empty(len(distinct), dtype=np.int64)
         sample[which[::-1]] = np.arange(len(which))[::-1]  # its first place is written last
-        memo, keys = self.memo, distinct.tolist()
-        missing = [i for i, k in enumerate(keys) if k not in memo]
-        if len(memo) + len(missing) > MEMO:
-            memo.clear()
-            missing = range(len(keys))
-        a, b = start[sample].tolist(), end[sample].tolist()
-        found = self.tokenizer.encode_batch_fast(
-            [joined[a[i] : b[i]] for i in missing], add_special_tokens=False
-        )
-        for i, e in zip(missing, found):
-            memo[keys[i]] = np.array(e.ids, dtype="<u4").tobytes()
-        coded = [memo[k] for k in keys]
+        names = [joined[a:b] for a, b in zip(start[sample].tolist(), end[sample].tolist())]
+        coded = self._coded(names)
         flat = np.frombuffer(b"".join(coded), dtype="<u4")
         n = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
         begin = np.cumsum(n) - n
@@ -188,6 +176,31 @@ class Encoder:
         return np.diff(upto), ids
 
 
+    def _coded(self, names: list[str]) -> list[bytes]:
+        """The ids of distinct pieces."""
+        coded = list(map(self.young.get, names))
+        missing = [i for i, c in enumerate(coded) if c is None]
+        if len(self.young) + len(missing) > MEMO:
+            self.young, self.old = {}, self.young
+        unknown = []
+        for i in missing:
+            coded[i] = known = self.old.get(names[i])
+            if known is None:
+                unknown.append(i)
+            else:
+                self.young[names[i]] = known
+        found = self.tokenizer.encode_batch_fast([names[i] for i in unknown], add_special_tokens=False)
+        if unknown:
+            ids = [e.ids for e in found]
+            flat = np.fromiter(itertools.chain.from_iterable(ids), dtype="<u4").tobytes()
+            at = 0
+            for i, own in zip(unknown, ids):
+                end = at + 4 * len(own)
+                coded[i] = self.young[names[i]] = flat[at:end]
+                at = end
+        return coded
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
