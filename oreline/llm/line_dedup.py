@@ -27,13 +27,15 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -
 
     A line is dropped if its key has ``min_chars`` code points or more, ``min_docs`` documents or
     more hold that key, and the document is not the one with the largest doc_id of these, which keeps
-    all its lines.  Adds ``n_lines``, ``n_dropped`` and ``kept_text``; columns of ``docs`` stay as they are.
+    all its lines.  Adds ``n_lines``, ``n_dropped`` and ``kept_text``, in place of columns of these names; others stay as they are.
 
     A null text counts as one empty line, and ``kept_text`` is then empty.  Rows
-    that share a doc_id count as one document and share their fate, and a row without a doc_id keeps all its lines
+    that share a doc_id count as one document, and each of them loses its own lines; a row without a doc_id keeps all its lines
     and is not counted.
     """
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    # Rows that share a doc_id are told apart by their texts, as positions belong to one text.
+    part = F.xxhash64("text")
     # Distinct keys of each document, so that a line repeated in it counts once.
     keys = F.array_distinct(
         F.transform(
@@ -56,10 +58,11 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -
     )
     placed = (
         docs.where("doc_id is not null")
-        .select("doc_id", F.posexplode(F.transform(lines, line_key)).alias("pos", "k"))
+        .select("doc_id", part.alias("part"), F.posexplode(F.transform(lines, line_key)).alias("pos", "k"))
         .where(F.char_length("k") >= min_chars)
         .select(
             "doc_id",
+            "part",
             "pos",
             F.xxhash64("k").alias("h1"),
             F.xxhash64(F.lit("second"), "k").alias("h2"),
@@ -68,21 +71,26 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -
     dropped = (
         placed.join(frequent, ["h1", "h2"])
         .where(F.col("doc_id") < F.col("keeper"))
-        .groupBy(F.col("doc_id").alias("_doc"))
+        .groupBy(F.col("doc_id").alias("_doc"), F.col("part").alias("_its"))
         .agg(F.collect_set("pos").alias("_dropped"))
     )
-    # Below the join, so that no text is split once per line above it.
-    parts = docs.select("*", lines.alias("_lines"))
-    joined = parts.join(dropped, parts.doc_id == dropped._doc, "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
-    return joined.select(
-        *[parts[c] for c in docs.columns],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("_dropped").isNull(), F.coalesce(parts["text"], F.lit("")))
-        .otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
-        .alias("kept_text"),
+    # Lines are split below the join, so that no text is split once per line above it.  The row travels packed, so that
+    # no name of it can clash.
+    parts = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("_id"), part.alias("_part"), lines.alias("_lines")
     )
+    joined = parts.join(dropped, (F.col("_id") == F.col("_doc")) & (F.col("_part") == F.col("_its")), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
+    new = {
+        "n_lines": F.size("_lines").cast("long"),
+        "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"),
+        "kept_text": F.when(F.col("_dropped").isNull(), F.coalesce(F.col("row")["text"], F.lit(""))).otherwise(
+            F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
+        ),
+    }
+    others = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in new]
+    # In two steps: beside each other, names of the input could stand for those used here.
+    return joined.select("row", *[c.alias(n) for n, c in new.items()]).select(*others, *new)
 
 
 SQL = """

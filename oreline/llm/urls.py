@@ -100,9 +100,10 @@ def judge_urls(
     and path.  Rows may repeat; columns of those four names are replaced.
     """
     spark = pages.sparkSession
-    columns = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    parsed = pages.withColumns(
-        {"_h": host_of(F.col(url)), "_p": path_of(F.col(url))}
+    columns = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    # The row travels packed, so that no name of it can clash.
+    parsed = pages.select(
+        F.struct("*").alias("row"), host_of(F.col(url)).alias("_h"), path_of(F.col(url)).alias("_p")
     )
     stacks = materialize(rule_stacks(rules), "url-stacks")
     # The deepest rule host bounds how many keys a URL needs.  One row.
@@ -171,7 +172,7 @@ def judge_urls(
         (F.col("_h") == F.col("_dh")) & (F.col("_p") == F.col("_dp")),
         "left",
     ).select(
-        *[parsed[c] for c in columns],
+        *[F.col("row")[c].alias(c) for c in columns],
         F.col("_h").alias("host"),
         F.col("_p").alias("path"),
         F.col("_rule").alias("rule"),
