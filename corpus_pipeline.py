@@ -37,12 +37,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    judged = line_dedup.deduplicate_lines(docs)
+    # The row travels packed, so that the operator's new columns cannot clash with any of its names.
+    judged = line_dedup.deduplicate_lines(docs.select("doc_id", "text", F.struct("*").alias("document")))
     changed = F.col("n_dropped") > 0
     new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    old = {c: F.col("document")[c] for c in docs.columns}
     return judged.select(
-        *[F.when(changed, new[c]).otherwise(F.col(c)).alias(c) if c in new else c for c in docs.columns]
-    )
+        F.struct(*[(F.when(changed, new[c]).otherwise(old[c]) if c in new else old[c]).alias(c) for c in docs.columns]).alias("d")
+    ).select("d.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
