@@ -82,6 +82,17 @@ def materialize(
     return spark.read.schema(as_nullable(df.schema)).parquet(path).select(*df.columns)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a materialised frame that nothing will read again, to free the shared folder."""
+    spark = df.sparkSession
+    root = shared_folder(spark)
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if root.split(":", 1)[-1].rstrip("/") not in folder:
+            raise ValueError(f"{folder} is not below the shared folder")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def as_nullable(schema: T.StructType) -> T.StructType:
     """File sources report every column nullable; say so up front."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import threading
 from datetime import date, datetime
 
@@ -19,7 +20,7 @@ from oreline.ledger import (
     last_keys,
 )
 from oreline.sources.metadata import MetadataFolder
-from oreline.session import materialize, scratch_path, shared_folder
+from oreline.session import discard, materialize, scratch_path, shared_folder
 from oreline.sources.readers import (
     arrival_audit,
     landed_files,
@@ -115,7 +116,14 @@ def test_missing_table_reads_as_empty(spark, folder):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    assert materialize(spark.range(3)).count() == 3
+    kept = materialize(spark.range(3))
+    assert kept.count() == 3
+    files = [f.removeprefix("file://") for f in kept.inputFiles()]
+    assert all(map(os.path.exists, files))
+    discard(kept)
+    assert files and not any(map(os.path.exists, files))
+    with pytest.raises(ValueError, match="not below"):
+        discard(spark.read.parquet("/root/testdata/sf0.001/region.parquet"))
 
 
 def test_ledger_success_and_failure(spark, folder):
