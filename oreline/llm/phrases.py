@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from oreline.llm.words import mix, tidied, words
 from oreline.operators.joins import lookup_join
 from oreline.operators.keys import dense_keys
-from oreline.session import materialize
+from oreline.session import discard, materialize
 
 #: Fixed values: ``[.,;:!?\x0A-\x0D]`` end a piece, ``[\x20\x09]`` a word.
 ENDS = (*range(0x0A, 0x0E), *map(ord, ".,;:!?"))
@@ -168,11 +168,6 @@ def _unblock(block: bytes) -> list[np.ndarray]:
     return columns
 
 
-def _columns(blocks: pa.ChunkedArray) -> list[np.ndarray]:
-    """The columns of some blocks, put together."""
-    return [np.concatenate(x) for x in zip(*map(_unblock, blocks.to_pylist()))]
-
-
 def _stream(ids: np.ndarray) -> bytes:
     """Ids with breaks (-1) as bytes."""
     return _block(ids + 1)
@@ -195,6 +190,18 @@ def _neighbours(ids: np.ndarray) -> np.ndarray:
     return np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
 
 
+def _pairs_of(ids: np.ndarray, shards: int) -> tuple[np.ndarray, ...]:
+    """(own, left, right, n, shard) of a chunk, by shard and left; left and right are places in ``own``, the chunk's ids."""
+    at = _neighbours(ids)
+    # A chunk's own ids, closed up; their order by frequency stays.
+    own, local = np.unique(ids, return_inverse=True)
+    left, right, n = tile_counts(local[at], local[at + 1], len(own))
+    mixed = mix(mix(own[left].view(np.uint64)) ^ own[right].view(np.uint64))
+    shard = (mixed % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((right, left, shard))
+    return own, left[order], right[order], n[order], shard[order]
+
+
 def pair_counts(stream: DataFrame, shards: int) -> DataFrame:
     """(chunk, lang, shard, block): blocks of (left, right, n), how often neighbouring ids meet in each chunk."""
 
@@ -202,17 +209,11 @@ def pair_counts(stream: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             ids_of = batch.column("ids")
             for i, (chunk, lang) in enumerate(zip(batch.column("chunk").to_pylist(), batch.column("lang").to_pylist())):
-                ids = _ids(ids_of[i].as_py())
-                at = _neighbours(ids)
-                # A chunk's own ids, closed up; their order by frequency stays.
-                own, local = np.unique(ids, return_inverse=True)
-                left, right, n = tile_counts(local[at], local[at + 1], len(own))
+                own, left, right, n, shard = _pairs_of(_ids(ids_of[i].as_py()), shards)
                 left, right = own[left], own[right]
-                shard = (mix(mix(left.view(np.uint64)) ^ right.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                numbers, begin = np.unique(shard[order], return_index=True)
-                ends = np.append(begin[1:], len(order))
-                blocks = [_block(left[o], right[o], n[o]) for o in (order[a:b] for a, b in zip(begin, ends))]
+                numbers, begin = np.unique(shard, return_index=True)
+                ends = np.append(begin[1:], len(shard))
+                blocks = [_block(left[a:b], right[a:b], n[a:b]) for a, b in zip(begin, ends)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk] * len(numbers), type=pa.int64()),
@@ -227,15 +228,17 @@ def pair_counts(stream: DataFrame, shards: int) -> DataFrame:
 
 
 def frequent_pairs(counted: DataFrame, least: int, shards: int) -> DataFrame:
-    """The pairs that all chunks together hold at least ``least`` times, and which chunk holds which.
+    """The pairs that all chunks together hold at least ``least`` times, and which of its pairs each chunk finds among them.
 
-    Rows with (lang, left, right, a, id) are the pairs; rows with (chunk, block) hold blocks of (left, right, id).  Ids rank the pairs by
-    falling count: those of one shard are ``shards`` apart, so the shards' most frequent pairs have the smallest ids.
+    Rows with (lang, left, right, a, id) are the pairs.  Ids rank them by falling count: those of one shard are ``shards``
+    apart, so the shards' most frequent pairs have the smallest ids.  Rows with (chunk, shard, block) answer a chunk's block: for
+    each of its pairs, in order, 1 more than the rank within the shard, or 0.
     """
-    names = ["lang", "left", "right", "a", "id", "chunk", "block"]
-    kinds = [pa.string(), *[pa.int64()] * 5, pa.binary()]
+    names = ["lang", "left", "right", "a", "id", "chunk", "shard", "block"]
+    kinds = [pa.string(), *[pa.int64()] * 6, pa.binary()]
 
     def merge(key: tuple, blocks: pa.Table) -> pa.Table:
+        shard = key[1].as_py()
         held = [_unblock(b) for b in blocks.column("block").to_pylist()]
         left, right, n = (np.concatenate(x) for x in zip(*held))
         order = _order(left, right)
@@ -245,31 +248,29 @@ def frequent_pairs(counted: DataFrame, least: int, shards: int) -> DataFrame:
         total = np.add.reduceat(n[order], first)
         often = np.flatnonzero(total >= least)
         rank = np.full(len(first), -1, dtype=np.int64)
-        rank[often[np.lexsort((often, -total[often]))]] = np.arange(len(often)) * shards + key[1].as_py()
-        # the id of every entry, back in the order of the blocks
-        ids = np.empty(len(order), dtype=np.int64)
-        ids[order] = rank[np.cumsum(new) - 1]
-        edge, chunks_, found = 0, [], []
-        for chunk, (l, r, _) in zip(blocks.column("chunk").to_pylist(), held):
-            own = ids[edge : edge + len(l)]
-            edge += len(l)
-            hit = own >= 0
-            if hit.any():
-                chunks_.append(chunk)
-                found.append(_block(l[hit], r[hit], own[hit]))
-        p, c = len(often), len(found)
+        rank[often[np.lexsort((often, -total[often]))]] = np.arange(len(often))
+        # the rank of every entry, back in the order of the blocks
+        ranks = np.empty(len(order), dtype=np.int64)
+        ranks[order] = rank[np.cumsum(new) - 1] + 1
+        cuts = np.cumsum([len(h[0]) for h in held])[:-1]
+        answers = [_block(a) if a.any() else None for a in np.split(ranks, cuts)]
+        some = [i for i, a in enumerate(answers) if a is not None]
+        chunk = blocks.column("chunk").to_pylist()
+        p, c = len(often), len(some)
         columns = [
             [key[0].as_py()] * p + [None] * c,
             *[[*x[first][often].tolist(), *[None] * c] for x in (left, right)],
             [*total[often].tolist(), *[None] * c],
-            [*rank[often].tolist(), *[None] * c],
-            [None] * p + chunks_,
-            [None] * p + found,
+            [*(rank[often] * shards + shard).tolist(), *[None] * c],
+            [None] * p + [chunk[i] for i in some],
+            [None] * p + [shard] * c,
+            [None] * p + [answers[i] for i in some],
         ]
         return pa.table([pa.array(x, type=k) for x, k in zip(columns, kinds)], names=names)
 
     return counted.groupBy("lang", "shard").applyInArrow(
-        merge, "lang string, left bigint, right bigint, a bigint, id bigint, chunk bigint, block binary"
+        merge,
+        "lang string, left bigint, right bigint, a bigint, id bigint, chunk bigint, shard bigint, block binary",
     )
 
 
@@ -320,24 +321,27 @@ def with_ids(stream: DataFrame, dictionary: DataFrame) -> DataFrame:
     return _recoded(stream, dictionary, make)
 
 
-def with_pairs(stream: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Streams whose ids are those of the pair that starts at each place; ``dictionary``: (chunk, block)."""
+def with_pairs(stream: DataFrame, answers: DataFrame, shards: int) -> DataFrame:
+    """Streams whose ids are those of the pair that starts at each place; ``answers``: (chunk, shard, block)."""
 
     def make(raw: bytes, known: pa.Table) -> np.ndarray:
         ids = _ids(raw)
-        own, local = np.unique(ids, return_inverse=True)
-        left, right, id_ = _columns(known.column("block"))
-        key = np.searchsorted(own, left) * np.int64(len(own)) + np.searchsorted(own, right)
+        own, left, right, _, shard = _pairs_of(ids, shards)
+        rank = np.zeros(len(shard), dtype=np.int64)
+        for number, block in zip(known.column("shard").to_pylist(), known.column("block").to_pylist()):
+            a, b = np.searchsorted(shard, (number, number + 1))
+            rank[a:b] = _unblock(block)[0]
+        new_ids = np.where(rank > 0, (rank - 1) * shards + shard, -1)
+        key = left * np.int64(len(own)) + right
         order = np.argsort(key)
-        key, id_ = key[order], id_[order]
+        key, new_ids = key[order], new_ids[order]
         at = _neighbours(ids)
-        asked = local[at] * np.int64(len(own)) + local[at + 1]
-        place = np.minimum(np.searchsorted(key, asked), len(key) - 1)
+        local = np.searchsorted(own, ids)
         new = np.full(len(ids), -1, dtype=np.int64)
-        new[at] = np.where(key[place] == asked, id_[place], -1)
+        new[at] = new_ids[np.searchsorted(key, local[at] * np.int64(len(own)) + local[at + 1])]
         return new
 
-    return _recoded(stream, dictionary, make)
+    return _recoded(stream, answers, make)
 
 
 def _exact(column: Column) -> Column:
@@ -406,12 +410,13 @@ def collocations(
         F.array("a").alias("begins"),
         F.array("a").alias("ends"),
     )
+    discard(cut)
     words_in_all = totals.agg(F.sum("n").alias("n")).first()["n"] or 0
     shards = 1 + words_in_all // SHARD_WORDS
     judged: list[DataFrame] = []
     for m in range(2, longest + 1):
         met = materialize(frequent_pairs(pair_counts(stream, shards), least, shards), "phrase-pairs")
-        pairs = met.where("block is null").select("lang", "left", "right", "a", "id")
+        pairs = materialize(met.where("block is null").select("lang", "left", "right", "a", "id"), "phrase-frequent")
         if judged:
             judged[-1] = _uncovered(judged[-1], pairs, covered)
         begins = level.select("lang", F.col("id").alias("left"), F.col("phrase").alias("_phrase"), F.col("begins").alias("_begins"))
@@ -430,7 +435,9 @@ def collocations(
         )
         judged.append(_judged(level, m))
         if m < longest:
-            stream = with_pairs(stream, met.where("block is not null").select("chunk", "block"))
+            before, stream = stream, with_pairs(stream, met.where("block is not null").select("chunk", "shard", "block"), shards)
+            discard(before)
+        discard(met)
     phrases = judged[0].drop("id")
     for more in judged[1:]:
         phrases = phrases.unionByName(more.drop("id"))
