@@ -4,7 +4,7 @@ Fit: centroids are learned by k-means on a bounded sample (``sample`` vectors, t
 their ids), a random rotation is drawn from a seed, and the number of lists to visit is measured on the sample.  Index: every vector goes to its nearest centroid;
 what remains is rotated and kept as one bit per dimension, with scalars that correct the estimate: the residual's norm and
 its product with its own code.  Search: a query visits the lists of its ``probes`` nearest
-centroids.  In a list, inner products are estimated from the codes; the error bound gives a lower and an upper end;
+centroids, and more until they hold as many others as it asks for.  Vectors of each dimension have a model of their own.  In a list, inner products are estimated from the codes; the error bound gives a lower and an upper end;
 vectors whose upper end reaches the k-th best lower end are reranked by their exact cosine.
 
 Lists are dealt in blocks of about ``block`` rows and queries likewise, so a list that holds a third of all vectors
@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from oreline.session import materialize
 
 
+#: Dimensions that a table may mix.
+DIMENSIONS = 100
+
+
 @dataclass
 class Model:
     """Centroids (of unit vectors), the rotation, and how many lists a query visits."""
@@ -147,21 +151,28 @@ def encode(vectors: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def route(queries: DataFrame, model: Model, probes: int) -> DataFrame:
-    """query_id, embedding and each of the ``probes`` lists to visit."""
+def route(queries: DataFrame, model: Model, probes: int, sizes: dict[int, int], k: int) -> DataFrame:
+    """query_id, embedding and each list to visit: the ``probes`` nearest, and more until there are ``k`` others.
+
+    ``sizes`` are the vectors in each list.
+    """
     shared = queries.sparkSession.sparkContext.broadcast(model)
+    held = np.array([sizes.get(i, 0) for i in range(len(model.centroids))])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
-        n = min(probes, len(m.centroids))
         for batch in batches:
             x = unit(matrix(batch.column("embedding")))
-            near = np.argsort(distances(x, m), axis=1, kind="stable")[:, :n]
+            near = np.argsort(distances(x, m), axis=1, kind="stable")
+            # one of them may be the query itself
+            enough = (np.cumsum(held[near], axis=1) <= k).sum(axis=1) + 1
+            visits = np.minimum(np.maximum(probes, enough), len(held))
+            lists = [row[:n].astype(np.int32) for row, n in zip(near, visits)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("query_id"),
                     batch.column("embedding"),
-                    pa.array(list(near.astype(np.int32)), type=pa.list_(pa.int32())),
+                    pa.array(lists, type=pa.list_(pa.int32())),
                 ],
                 names=["query_id", "embedding", "lists"],
             )
@@ -221,27 +232,26 @@ def nearest(
     k: int = 5,
     probes: int | None = None,
     block: int = 4096,
-    query_block: int = 512,
+    query_block: int = 2048,
     certainty: float = 3.0,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` nearest found, ties to the smaller vec_id.
 
     ``vectors`` and ``queries`` have vec_id and embedding; a query is not its own neighbour.  Rows that are
-    not :func:`usable`, or of another dimension than the model's, take no part.  A vec_id
+    not :func:`usable`, or of another dimension than the model's, take no part; see :func:`nearest_of_all`.  A vec_id
     should be unique; repeated ones count as one, with the best score.  ``certainty`` is the width of the
     error bound in standard deviations.
     """
     spark = vectors.sparkSession
     shared = spark.sparkContext.broadcast(model)
     index = materialize(encode(usable(vectors), model), "codes")
-    routed = materialize(
-        route(
-            usable(queries).withColumnRenamed("vec_id", "query_id"), model, probes or model.probes
-        ), "routes"
-    )
-    sizes = (
-        index.groupBy("list").count().select("list", F.ceil(F.col("count") / block).alias("parts"))
-    )
+    # Repeated ids count as one, here as in the result.  One row per list: bounded by the model.
+    counts = index.groupBy("list").agg(F.count("*").alias("n"), F.count_distinct("vec_id").alias("ids"))
+    counts = materialize(counts, "list-sizes")
+    held = {r["list"]: r["ids"] for r in counts.collect()}
+    asking = usable(queries).withColumnRenamed("vec_id", "query_id")
+    routed = materialize(route(asking, model, probes or model.probes, held, k), "routes")
+    sizes = counts.select("list", F.ceil(F.col("n") / block).alias("parts"))
     asked = (
         routed.groupBy("list").count().select("list", F.ceil(F.col("count") / query_block).alias("asks"))
     )
@@ -285,3 +295,23 @@ def nearest(
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def nearest_of_all(
+    vectors: DataFrame, queries: DataFrame, k: int = 5, sample: int = 20_000, **how
+) -> DataFrame:
+    """:func:`nearest` among the vectors of the same dimension, with a model fitted for each dimension.
+
+    ``sample`` bounds the vectors that all models together are fitted on.  Without usable vectors there are no rows.
+    """
+    spark = vectors.sparkSession
+    able = usable(vectors)
+    dims = [r[0] for r in able.select(F.size("embedding").alias("d")).distinct().orderBy("d").limit(DIMENSIONS + 1).collect()]
+    if len(dims) > DIMENSIONS:
+        raise ValueError(f"more than {DIMENSIONS} dimensions")
+    found = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    for dim in dims:
+        own = F.size("embedding") == dim
+        model = fit(able.where(own), sample=max(1, sample // len(dims)))
+        found = found.union(nearest(vectors.where(own), queries.where(own), model, k, **how))
+    return found

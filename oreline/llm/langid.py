@@ -23,6 +23,10 @@ from pyspark.sql import types as T
 from oreline.llm.words import row_groups, utf8
 
 BUCKETS = 1 << 16
+#: Bytes of a text above which its trigrams are counted in slices of as many.
+SLICE = 1 << 19
+#: Languages that a model may have.
+LANGUAGES = 1000
 #: Languages whose counts a task holds at once.
 HELD = 64
 UNKNOWN = "und"
@@ -54,6 +58,19 @@ def trigrams(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.minimum(row, rows - 1), (keys >> np.uint64(48)).astype(np.int64)
 
 
+def long_counts(data: np.ndarray) -> np.ndarray:
+    """How often each bucket occurs among the trigrams of one long row; the same trigrams, in slices."""
+    folded = np.zeros(len(data) + 4, dtype=np.uint8)
+    folded[2:-2] = _FOLD[data]
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    for low in range(0, len(data) + 2, SLICE):
+        part = folded[low : low + SLICE + 2].astype(np.int64)
+        code = part[:-2] << 16 | part[1:-1] << 8 | part[2:]
+        keys = code[code > 0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        counts += np.bincount((keys >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
+    return counts
+
+
 def count_trigrams(docs: DataFrame) -> DataFrame:
     """(lang, bucket, n) over all rows of (lang, text)."""
 
@@ -78,14 +95,17 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
             for first, last in row_groups(offsets):
                 low = offsets[first]
-                row, bucket = trigrams(raw[low : offsets[last]], offsets[first : last + 1] - low)
                 own = langs[first:last]
+                long = last - first == 1 and offsets[last] - low > SLICE
+                if long:
+                    all_counts = long_counts(raw[low : offsets[last]])
+                else:
+                    row, bucket = trigrams(raw[low : offsets[last]], offsets[first : last + 1] - low)
                 for lang in set(own):
                     if lang not in held and len(held) >= HELD:
                         yield from flush()
-                    of = (own == lang)[row]
                     held.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
-                    held[lang] += np.bincount(bucket[of], minlength=BUCKETS)
+                    held[lang] += all_counts if long else np.bincount(bucket[(own == lang)[row]], minlength=BUCKETS)
         yield from flush()
 
     return (
@@ -104,19 +124,20 @@ class Model:
     log_p: np.ndarray
 
     def mixture(
-        self, log_p: np.ndarray, start: list[int], penalty: float, rounds: int = 30
+        self, log_p: np.ndarray, times: np.ndarray, start: list[int], penalty: float, rounds: int = 30
     ) -> tuple[list[int], np.ndarray]:
         """The penalised-likelihood set grown from ``start``, and its proportions.
 
-        ``log_p``: a row per trigram of the document, a column per language.
+        ``log_p``: a row per trigram of the document, found as often as ``times`` says; a column per language.
         """
         p = np.exp(log_p - log_p.max(axis=1, keepdims=True))
         chosen, share = start, np.ones(1)
-        cost = penalty * np.log(len(p) + 1.0)
+        n, times = times.sum(), times[:, None]
+        cost = penalty * np.log(n + 1.0)
         while len(chosen) < len(self.languages):
             now = p[:, chosen] @ share
-            level = np.log(now).sum()
-            slope = (p / now[:, None] - 1.0).sum(axis=0)
+            level = (np.log(now) @ times)[0]
+            slope = ((p / now[:, None] - 1.0) * times).sum(axis=0)
             best = None
             for lang in np.flatnonzero(slope > cost):
                 if lang in chosen:
@@ -125,8 +146,8 @@ class Model:
                 w = np.append(share * 0.8, 0.2)
                 for _ in range(rounds):
                     r = q * w
-                    w = (r / r.sum(axis=1, keepdims=True)).mean(axis=0)
-                gain = np.log(q @ w).sum() - level
+                    w = (r / r.sum(axis=1, keepdims=True) * times).sum(axis=0) / n
+                gain = (np.log(q @ w) @ times)[0] - level
                 if gain > cost and (best is None or gain > best[0]):
                     best = (gain, int(lang), w)
             if best is None:
@@ -139,8 +160,12 @@ def fit(labelled: DataFrame, smoothing: float = 0.5, background: float = 0.1) ->
     """Counts trigrams of every labelled row (lang, text) and smooths them.
 
     ``background`` is the weight of the average over languages, mixed into each so that no
-    single trigram decides.  What comes to the driver is one row of up to 2**16 counts per language.
+    single trigram decides.  What comes to the driver is one row of up to 2**16 counts per language; a table
+    with more than ``LANGUAGES`` of them is refused.
     """
+    languages = labelled.where("lang is not null").select("lang").distinct().limit(LANGUAGES + 1).count()
+    if languages > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     rows = (
         count_trigrams(labelled.where("lang is not null and text is not null"))
         .groupBy("lang")
@@ -181,21 +206,28 @@ def predict(docs: DataFrame, model: Model, penalty: float = 4.0, keys: tuple = (
             raw, offsets = utf8(texts)
             for first, last in row_groups(offsets, 1 << 19) if m.languages else ():
                 low = offsets[first]
-                row, bucket = trigrams(raw[low : offsets[last]], offsets[first : last + 1] - low)
+                if last - first == 1 and offsets[last] - low > SLICE:
+                    # each trigram once, with its count: memory does not grow with the text
+                    counts = long_counts(raw[low : offsets[last]])
+                    bucket = np.flatnonzero(counts)
+                    row, times = np.zeros(len(bucket), dtype=np.int64), counts[bucket].astype(np.float64)
+                else:
+                    row, bucket = trigrams(raw[low : offsets[last]], offsets[first : last + 1] - low)
+                    times = np.ones(len(row))
                 if not len(row):
                     continue
                 log_p = m.log_p[bucket]
                 begin = np.searchsorted(row, np.arange(last - first + 1))
                 total = np.zeros((len(begin), len(m.languages)))
-                np.cumsum(log_p, axis=0, dtype=np.float64, out=(upto := np.empty(log_p.shape)))
+                np.cumsum(log_p * times[:, None], axis=0, out=(upto := np.empty(log_p.shape)))
                 total[begin > 0] = upto[begin[begin > 0] - 1]
                 level = np.diff(total, axis=0)
                 best = level.argmax(axis=1)
                 ratio = np.exp(log_p - log_p[np.arange(len(row)), best[row]][:, None])
-                np.cumsum(ratio, axis=0, dtype=np.float64, out=upto)
+                np.cumsum(ratio * times[:, None], axis=0, out=upto)
                 total[:] = 0
                 total[begin > 0] = upto[begin[begin > 0] - 1]
-                n = np.diff(begin)
+                n = np.bincount(row, times, minlength=last - first)
                 slope = np.diff(total, axis=0) - n[:, None]
                 mixed = (slope > (penalty * np.log(n + 1.0))[:, None]).any(axis=1)
                 odds = np.exp((level - level.max(axis=1, keepdims=True)) / 3.0)
@@ -208,7 +240,7 @@ def predict(docs: DataFrame, model: Model, penalty: float = 4.0, keys: tuple = (
                         out[first + i] = (one, float(alone[i]), [one], [1.0])
                         continue
                     chosen, share = m.mixture(
-                        log_p[begin[i] : begin[i + 1]].astype(np.float64), [int(best[i])], penalty
+                        log_p[begin[i] : begin[i + 1]].astype(np.float64), times[begin[i] : begin[i + 1]], [int(best[i])], penalty
                     )
                     order = np.argsort(-share, kind="stable")
                     names = [m.languages[chosen[j]] for j in order]

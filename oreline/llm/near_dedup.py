@@ -65,8 +65,15 @@ def super_minhash(row: np.ndarray, elements: np.ndarray, n_rows: int, m: int) ->
     while first < n_rows:
         last = int(np.searchsorted(bounds, bounds[first] + CHUNK, side="right")) - 1
         last = min(n_rows, max(first + 1, last))
-        a, b = bounds[first], bounds[last]
-        _signatures(row[a:b] - first, elements[a:b], values[first:last], m)
+        a, b = int(bounds[first]), int(bounds[last])
+        # A set that is larger by itself goes in parts, whose values combine by their least.
+        for low in range(a, b, CHUNK):
+            part = slice(low, b if last - first > 1 else min(low + CHUNK, b))
+            some = np.full((last - first, m), np.inf)
+            _signatures(row[part] - first, elements[part], some, m)
+            np.minimum(values[first:last], some, out=values[first:last])
+            if part.stop == b:
+                break
         first = last
     return values
 

@@ -87,10 +87,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    model = ann.fit(ann.usable(vectors))
-    if model is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), model)
+    return ann.nearest_of_all(vectors, vectors.where("vec_id % 50 = 0"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

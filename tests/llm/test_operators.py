@@ -282,6 +282,28 @@ def test_nearest(spark, docs):
     assert ann.fit(ann.usable(vectors.where("false"))) is None
 
 
+def test_every_query_finds_five_and_every_dimension_is_searched(spark, docs):
+    """A tight cluster, outliers that are alone in their lists, and three dimensions."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((900, 8)) * 0.01 + np.eye(8)[0]
+    x[:4] = -np.eye(8)[:4]  # far from all others
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(1000 + i, rng.standard_normal(2).tolist()) for i in range(20)]
+    rows += [(2000 + i, [1.0, 2.0, float(i)]) for i in range(3)]
+    vectors = spark.createDataFrame([(i, list(v), "x") for i, v in rows], "vec_id bigint, embedding array<double>, score string")
+    asked = [0, 1, 2, 3, 500, 1000, 1010, 2000]
+    got = ann.nearest_of_all(vectors, vectors.where(ann.F.col("vec_id").isin(asked))).collect()
+    assert got and got[0].__fields__ == ["query_id", "rank", "vec_id", "score"]
+    found = {q: sorted((r.rank, r.vec_id) for r in got if r.query_id == q) for q in asked}
+    assert {q: len(v) for q, v in found.items()} == {q: 2 if q == 2000 else 5 for q in asked}
+    small = {i: np.array(v) for i, v in rows if i >= 1000}
+    for q in (1000, 1010):
+        same = {i: v for i, v in small.items() if len(v) == 2}
+        assert [i for _, i in found[q]] == [i for i, _ in brute.nearest(same, [q])[q]]
+    assert [i for _, i in found[2000]] == [2001, 2002]
+    assert ann.nearest_of_all(vectors.where("false"), vectors).count() == 0
+
+
 def test_secrets(docs, empty):
     import re
 
