@@ -347,3 +347,32 @@ def test_pipeline(spark, docs, tmp_path):
     assert leaks
     packed = corpus_pipeline.run(spark, folder).select("pieces.doc_id").collect()
     assert {d for r in packed for d in r.doc_id} == kept - leaks
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Repeated rows, rows without an id, and a column of every name that the stages use."""
+    ship_package(spark)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdeostn") for _ in range(6)) for _ in range(60)) for _ in range(8)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(1, texts[1]), (1, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[7] + " end"), (3, "own words " + texts[4]), (9, None), (9, "")]
+    extra = ["lang", "row_id", "document", "n_dropped", "kept_text", "n_lines", "kept", "component_id", "row", "part", "_lines", "lone", "pieces"]
+    odd = spark.createDataFrame([(*r, *"x" * len(extra)) for r in rows], "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in extra))
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, " ".join(texts[5].split()[3:50]))], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    near = corpus_pipeline.drop_near_duplicates(spark, odd, folder)
+    assert near.columns == odd.columns
+    kept = sorted(((r.doc_id, r.text) for r in near.collect()), key=repr)
+    left = [(i, t) for i, t in enumerate(texts) if i != 4]  # a smaller id holds nearly the same
+    assert kept == sorted([*left, (3, "own words " + texts[4]), (9, None), (9, "")], key=repr)
+    clean = corpus_pipeline.drop_contaminated(spark, odd, folder)
+    assert clean.columns == odd.columns
+    assert {r.text for r in clean.collect()} == {t for _, t in rows if t != texts[5]}
+    assert clean.count() == len(rows) - 1
+    for stage in (corpus_pipeline.drop_lines, corpus_pipeline.language_id):
+        got = stage(spark, odd, folder)
+        assert got.columns == odd.columns and {r.n_dropped for r in got.collect()} <= {"x"}
+        assert stage(spark, odd.where("false"), folder).count() == 0
+    assert corpus_pipeline.pack_sequences(spark, odd, folder).count() > 0
+    for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.drop_contaminated):
+        assert stage(spark, odd.where("false"), folder).count() == 0
