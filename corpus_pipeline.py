@@ -12,7 +12,9 @@ All but the last return the columns of ``documents``.
 * ``decontamination`` rejects documents that hold a passage of an item of ``benchmark``.
 * ``packing`` returns sequences of at most 2048 tokens and the pieces of documents in them.
 
-Rows without a doc_id cannot be compared and pass; an empty table gives no sequences.
+Rows that share a doc_id, or have none, are told apart by a number of their own where documents are compared, so of equal rows
+one stays and each row is searched; ``line_dedup`` counts them as one document, and not at all. An empty table gives no
+sequences.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from oreline.llm import decontaminate, langid, line_dedup, near_dedup, packing
 from oreline.llm.queries import table, tokenizer_path
 from oreline.llm.ship import ship_package
+from oreline.operators.keys import dense_keys
 from oreline.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -47,17 +50,37 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ).select("d.*")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row_id, text, document): each row under a number that orders rows as their doc_id does, those without one last.
+
+    The doc_id itself serves where it is unique, which one pass over that column tells.
+    """
+    counts = docs.agg(F.count("*"), F.count("doc_id"), F.count_distinct("doc_id")).first()
+    packed = docs.select(F.col("doc_id").cast("bigint").alias("row_id"), "text", F.struct("*").alias("document"))
+    if len(set(counts)) == 1:
+        return packed
+    ordered = packed.select(
+        "text", "document", F.col("row_id").isNull().alias("lone"), F.col("row_id").alias("at"), F.xxhash64("text").alias("print")
+    )
+    return dense_keys(ordered, "row_id", ["lone", "at", "print"]).select("row_id", "text", "document")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    groups = near_dedup.near_duplicates(docs)
-    gone = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(docs)
+    groups = near_dedup.near_duplicates(rows.select(F.col("row_id").alias("doc_id"), "text"))
+    gone = groups.where("not kept").select(F.col("doc_id").alias("row_id")).distinct()
+    return rows.join(gone, "row_id", "left_anti").select("document.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    ship_package(spark)
+    rows = numbered(docs)
+    found = decontaminate.find_passages(
+        rows.select(F.col("row_id").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
+    )
+    gone = found.select(F.col("doc_id").alias("row_id")).distinct()
+    return rows.join(gone, "row_id", "left_anti").select("document.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
