@@ -46,7 +46,7 @@ def _pk(spark, sf_dir):
     return _rule(spark, sf_dir, "pk_not_null")
 
 
-@query("q_allowed_values", _rule_sql("id_type IN ('CC', 'CE', 'TI', 'PAS')"))
+@query("q_allowed_values", _rule_sql("id_type IN ('AU', 'BU', 'FU', 'HO')"))
 def _allowed(spark, sf_dir):
     return _rule(spark, sf_dir, "allowed:id_type")
 
@@ -76,7 +76,7 @@ STRICT_SQL = """
     CASE WHEN amount IS NULL THEN 'not_null:amount' END,
     CASE WHEN raw_amount IS NOT NULL AND amount IS NULL THEN 'cast_failed:amount' END,
     CASE WHEN raw_birth_date IS NOT NULL AND birth_date IS NULL THEN 'cast_failed:birth_date' END,
-    CASE WHEN id_type NOT IN ('CC', 'CE', 'TI', 'PAS') THEN 'allowed:id_type' END,
+    CASE WHEN id_type NOT IN ('AU', 'BU', 'FU', 'HO') THEN 'allowed:id_type' END,
     CASE WHEN amount < 0 THEN 'min:amount' END,
     CASE WHEN birth_date < TIMESTAMP '1920-01-01' THEN 'date_floor:birth_date' END,
     CASE WHEN birth_date > TIMESTAMP '2010-01-01' THEN 'no_future:birth_date' END
@@ -117,7 +117,7 @@ def _split_strict(spark, sf_dir):
 
 SQL_POLICY_SQL = """
 , judged AS (
-  SELECT *, (id_type IN ('CC', 'CE', 'TI', 'PAS')) AND amount >= 0 AND risk_amount >= 0
+  SELECT *, (id_type IN ('AU', 'BU', 'FU', 'HO')) AND amount >= 0 AND risk_amount >= 0
         AND (birth_date IS NULL OR birth_date >= TIMESTAMP '1920-01-01')
         AND (birth_date IS NULL OR birth_date <= TIMESTAMP '2010-01-01') AS flag
   FROM tx
@@ -125,7 +125,7 @@ SQL_POLICY_SQL = """
 SELECT account_no, event_ts, id_number, amount,
        CASE WHEN flag THEN 'valid' WHEN NOT flag THEN 'rejected' ELSE 'indeterminate' END AS outcome,
        concat_ws(',',
-         CASE WHEN id_type NOT IN ('CC', 'CE', 'TI', 'PAS') THEN 'allowed:id_type' END,
+         CASE WHEN id_type NOT IN ('AU', 'BU', 'FU', 'HO') THEN 'allowed:id_type' END,
          CASE WHEN risk_amount IS NULL THEN 'min:risk_amount?' END,
          CASE WHEN birth_date < TIMESTAMP '1920-01-01' THEN 'date_floor:birth_date' END,
          CASE WHEN birth_date > TIMESTAMP '2010-01-01' THEN 'no_future:birth_date' END) AS reasons

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 TX_SQL = """
 SELECT
-  CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'CC' WHEN 'BUILDING' THEN 'CE'
-       WHEN 'FURNITURE' THEN 'TI' WHEN 'HOUSEHOLD' THEN 'PAS' ELSE 'NIT' END AS id_type,
+  substr(c_mktsegment, 1, 2) AS id_type,
   c_custkey AS id_number,
   concat(CAST(l_orderkey AS varchar(20)), '-', CAST(l_linenumber AS varchar(20))) AS account_no,
   c_name AS full_name,

@@ -33,7 +33,7 @@ NEXT = date(2024, 1, 2)
 COLUMNS = CONTRACT.schema.names
 
 
-def line(id_number, account, city="TOWN", amount="10.00", at="1998-05-01 10:00:00", id_type="CC",
+def line(id_number, account, city="TOWN", amount="10.00", at="1998-05-01 10:00:00", id_type="AU",
          product="LOAN"):
     return (id_type, id_number, account, f"Name {id_number}", "PURCHASE", amount, product, city,
             at, None, "false", None, None)
@@ -90,7 +90,7 @@ def test_nothing_valid_reads_as_empty(spark, lake):
 
 
 def test_no_row_is_lost_between_outcomes(spark, lake):
-    lines = [line(str(i), f"a{i}", amount=None if i % 4 == 0 else "1", id_type="CC" if i % 3 else "NIT") for i in range(40)]
+    lines = [line(str(i), f"a{i}", amount=None if i % 4 == 0 else "1", id_type="AU" if i % 3 else "MA") for i in range(40)]
     lenient = replace(CONTRACT, quality_rules=replace(CONTRACT.quality_rules, min_valid_rate=0.0))
     run = silver_job(spark, lake, lenient, DAY, as_of=AS_OF, raw=raw(spark, lines), null_policy="sql")
     # No risk amount is given: under this policy every row that fails nothing is undecided.
@@ -165,7 +165,7 @@ def test_as_of_lookup_in_the_job(spark, lake):
                                line("1", "c", city="NEW", at="2024-01-02 09:00:00")]))
     gold_job(spark, lake, CUSTOMER_PROCESS, CONTRACT, NEXT)
     config = copy.deepcopy(FACT_PROCESS)
-    config["target"]["load"][0]["lookups"][0]["as_of"] = True
+    next(d for d in config["target"]["load"][0]["lookups"] if d.get("versioned"))["as_of"] = True
     gold_job(spark, lake, config, CONTRACT, NEXT, use_watermark=False)
     assert [f[:2] for f in facts(lake)] == [("a", 1), ("b", 1), ("c", 2)]
 
