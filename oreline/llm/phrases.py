@@ -149,12 +149,14 @@ _KINDS = tuple(np.dtype(t) for t in ("u1", "<u2", "<u4", "<i8"))
 
 
 def _block(*columns: np.ndarray) -> bytes:
-    """Columns of counts or ids as bytes, each in the smallest type that holds it."""
+    """Columns of counts or ids as bytes, each in the smallest type that holds it; first all low bytes, and so on,
+    as the high ones are alike and shrink when they are shuffled."""
     parts = [np.int64(len(columns[0])).tobytes()]
     for column in columns:
         most = int(column.max(initial=0))
         kind = next(i for i, k in enumerate(_KINDS) if most <= np.iinfo(k).max)
-        parts += [bytes([kind]), column.astype(_KINDS[kind]).tobytes()]
+        whole = np.ascontiguousarray(column, dtype=_KINDS[kind]).view(np.uint8)
+        parts += [bytes([kind]), whole.reshape(len(column), _KINDS[kind].itemsize).T.tobytes()]
     return b"".join(parts)
 
 
@@ -163,7 +165,9 @@ def _unblock(block: bytes) -> list[np.ndarray]:
     at, columns = 8, []
     while at < len(block):
         kind = _KINDS[block[at]]
-        columns.append(np.frombuffer(block, dtype=kind, count=n, offset=at + 1).astype(np.int64))
+        planes = np.frombuffer(block, dtype=np.uint8, count=n * kind.itemsize, offset=at + 1)
+        whole = np.ascontiguousarray(planes.reshape(kind.itemsize, n).T)
+        columns.append(whole.reshape(-1).view(kind).astype(np.int64))
         at += 1 + n * kind.itemsize
     return columns
 
@@ -203,7 +207,7 @@ def _pairs_of(ids: np.ndarray, shards: int) -> tuple[np.ndarray, ...]:
 
 
 def pair_counts(stream: DataFrame, shards: int) -> DataFrame:
-    """(chunk, lang, shard, block): blocks of (left, right, n), how often neighbouring ids meet in each chunk."""
+    """(chunk, lang, shard, block): blocks of (step of left, right, n), how often neighbouring ids meet in each chunk."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +217,7 @@ def pair_counts(stream: DataFrame, shards: int) -> DataFrame:
                 left, right = own[left], own[right]
                 numbers, begin = np.unique(shard, return_index=True)
                 ends = np.append(begin[1:], len(shard))
-                blocks = [_block(left[a:b], right[a:b], n[a:b]) for a, b in zip(begin, ends)]
+                blocks = [_block(np.diff(left[a:b], prepend=0), right[a:b], n[a:b]) for a, b in zip(begin, ends)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk] * len(numbers), type=pa.int64()),
@@ -240,7 +244,8 @@ def frequent_pairs(counted: DataFrame, least: int, shards: int) -> DataFrame:
     def merge(key: tuple, blocks: pa.Table) -> pa.Table:
         shard = key[1].as_py()
         held = [_unblock(b) for b in blocks.column("block").to_pylist()]
-        left, right, n = (np.concatenate(x) for x in zip(*held))
+        left = np.concatenate([np.cumsum(h[0]) for h in held])
+        right, n = (np.concatenate([h[i] for h in held]) for i in (1, 2))
         order = _order(left, right)
         left, right = left[order], right[order]
         new = np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1]))

@@ -63,6 +63,13 @@ def test_tiles_are_counted_densely_and_sparsely():
     assert [len(x) for x in phrases.tile_counts(none, none, 1)] == [0, 0, 0]
 
 
+def test_blocks_hold_all_sizes():
+    columns = [np.array(x, dtype=np.int64) for x in ([0, 255, 3], [65535, 1, 0], [65536, 2**32 - 1, 7], [2**62, 0, 1])]
+    assert [c.tolist() for c in phrases._unblock(phrases._block(*columns))] == [c.tolist() for c in columns]
+    assert phrases._ids(phrases._stream(np.array([5, -1, 2**40]))).tolist() == [5, -1, 2**40]
+    assert [len(c) for c in phrases._unblock(phrases._block(np.empty(0, dtype=np.int64)))] == [0]
+
+
 def test_scores_beyond_64_bits(spark):
     big = 9 * 10**18
     level = spark.createDataFrame([("en", 1, "a b", [big, big - 1], [big, big - 1])], "lang string, id long, phrase string, begins array<long>, ends array<long>")
