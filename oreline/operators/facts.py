@@ -37,20 +37,28 @@ def lookup_as_of(
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
     key_source: DataFrame | None = None,
+    open_start: bool = False,
 ) -> DataFrame:
     """Key of the version that was valid at the fact's time.
 
     The interval test is a residual of the equi-join, so the join stays a hash or
-    merge join on the natural key.
+    merge join on the natural key.  With ``open_start`` a key's first version reaches back without limit: it starts
+    when it was loaded, and what happened before is as much its own.
     """
+    start = F.col(spec.start)
+    if open_start:
+        first = dimension.groupBy(*spec.keys).agg(F.min(spec.start).alias("_first"))
+        dimension = dimension.join(first, list(spec.keys))
+        start = F.when(start > F.col("_first"), start)
     versions = dimension.select(
         *spec.keys,
         spec.surrogate,
-        F.col(spec.start).alias("_from"),
+        start.alias("_from"),
         spec.exclusive_end().alias("_until"),
     )
     moment = facts[event_time]
-    valid = (moment >= F.col("_from")) & (F.col("_until").isNull() | (moment < F.col("_until")))
+    since = F.col("_from").isNull() | (moment >= F.col("_from"))
+    valid = since & (F.col("_until").isNull() | (moment < F.col("_until")))
     return lookup_join(
         facts, versions, spec.keys, spread, how, valid, broadcast_bytes, key_source
     ).drop("_from", "_until")

@@ -79,6 +79,10 @@ from oreline.session import materialize
 from oreline.sources import writers  # noqa: F401  (registers the csv_report handler)
 
 
+#: The job under which orphans are looked up again.
+REPLAY = "replay"
+
+
 class ConfigError(ValueError):
     """The process configuration is wrong; no data was touched."""
 
@@ -250,31 +254,38 @@ def _fact(load: Load, step: Mapping[str, Any]) -> None:
     for lookup in step["lookups"]:
         facts = _resolve(load, facts, lookup, moment, surrogate)
     day = F.col(moment)
-    shaped = facts.withColumns(
-        {
-            step["date_key"]: date_key(day),
-            "month_key": F.year(day) * 100 + F.month(day),
-            "resolved": resolved([d["surrogate"] for d in step["lookups"]]),
-        }
-    )
-    # Orphans keep their natural keys, to be traced and loaded again.
+    dated = facts.withColumns({step["date_key"]: date_key(day), "month_key": F.year(day) * 100 + F.month(day)})
+    files = _write_facts(load, step, dated, load.staged.schema)
+    orphans = sum(f.rows for f in files if ORPHANS in f.path)
+    load.run.rows_inserted += sum(f.rows for f in files) - orphans
+    load.run.rows_rejected += orphans
+    load.run.last_keys[step["table"]] = start + load.run.rows_valid
+
+
+#: In the path of a file of fact rows that found no dimension row.
+ORPHANS = "/resolved=false/"
+
+
+def _stored_schema(step: Mapping[str, Any], staged: T.StructType) -> T.StructType:
+    """The fact's columns, and the natural keys that orphans keep, to be traced and loaded again."""
+    schema = fact_schema(step, staged)
     traced = [n for n in _natural_keys(step) if n not in schema.names]
+    return T.StructType(schema.fields + [T.StructField(n, staged[n].dataType, True) for n in traced])
+
+
+def _write_facts(load: Load, step: Mapping[str, Any], facts: DataFrame, staged: T.StructType) -> list[DataFile]:
+    """Write looked-up facts below the run's folder, resolved ones and orphans apart."""
+    schema = _stored_schema(step, staged)
+    traced = [n for n in _natural_keys(step) if n not in fact_schema(step, staged).names]
+    shaped = facts.withColumn("resolved", resolved([d["surrogate"] for d in step["lookups"]]))
     shaped = shaped.withColumns({n: F.when(~F.col("resolved"), F.col(n)) for n in traced})
-    columns = [*schema.names, *traced]
     path = f"{load.lake.table(step['table'])}/run_id={load.run.run_id}"
     (
-        sorted_layout(
-            shaped.select(*columns), ["resolved", "month_key"], [step["date_key"], moment]
-        )
+        sorted_layout(shaped.select(*schema.names), ["resolved", "month_key"], [step["date_key"], step["event_time"]])
         .write.partitionBy("resolved", "month_key")
         .parquet(path)
     )
-    stored = T.StructType(schema.fields + [T.StructField(n, load.staged.schema[n].dataType, True) for n in traced])
-    files = load.publish(step["table"], stored, key=moment)
-    orphans = sum(f.rows for f in files if "/resolved=false/" in f.path)
-    load.run.rows_inserted += sum(f.rows for f in files) - orphans
-    load.run.rows_rejected += orphans
-    load.run.last_keys[step["table"]] = start + load.run.rows_valid
+    return load.publish(step["table"], schema, key=step["event_time"])
 
 
 def _natural_keys(step: Mapping[str, Any]) -> list[str]:
@@ -308,6 +319,7 @@ def _resolve(
     )
     if lookup.get("as_of"):
         versions = read_versions(load.lake, lookup["table"], schema, load.view)
+        sizing["open_start"] = bool(lookup.get("open_start"))
         return lookup_as_of(facts, versions, spec, moment, spread, "left", **sizing)
     active = read_active(load.lake, lookup["table"], schema, load.view)
     return lookup_active(facts, active, spec, spread, "left", **sizing)
@@ -324,16 +336,43 @@ def read_fact(lake: Lake, config: Mapping[str, Any], staged: T.StructType) -> Da
 def read_orphans(lake: Lake, config: Mapping[str, Any], staged: T.StructType) -> DataFrame:
     """Committed rows that found no dimension row, with their natural keys."""
     step = config["target"]["load"][-1]
-    schema = fact_schema(step, staged)
-    traced = [
-        T.StructField(n, staged[n].dataType, True)
-        for n in _natural_keys(step)
-        if n not in schema.names
-    ]
-    rows = read_appended(lake, step["table"], T.StructType(schema.fields + traced))
+    rows = read_appended(lake, step["table"], _stored_schema(step, staged))
     return rows.where(~F.col("resolved")).drop("resolved")
 
 
+def replay_orphans(
+    spark: SparkSession, lake: Lake, config: Mapping[str, Any], staged: T.StructType, execution_date: date
+) -> Run:
+    """Look up a fact's orphans again, now that dimensions may have caught up.
+
+    One commit takes the orphans' files out of the table and adds files of what they are now, with the fact keys they had. So a row
+    is never there twice, whatever is retried, and a replay that loses to a load publishes nothing.  Where no orphan
+    finds its rows, the files stay.
+    """
+    step = next(s for s in config["target"]["load"] if s["step"] == "fact")
+    table = step["table"]
+    with lake.ledger.run(REPLAY, config["process_type"], execution_date) as run:
+        view = lake.ledger.view()
+        run.read_version, run.changes = view.version, {table}
+        old = [f for f in view.files(table) if ORPHANS in f.path]
+        run.rows_read = sum(f.rows for f in old)
+        if not old:
+            return run
+        orphans = read_files(lake, table, old, _stored_schema(step, staged))
+        load = Load(spark, lake, run, config["process_type"], orphans, timedelta(0), None, view, {}, None)
+        facts = orphans.drop("resolved", *[d["surrogate"] for d in step["lookups"]])
+        for lookup in step["lookups"]:
+            facts = _resolve(load, facts, lookup, step["event_time"], step["surrogate"])
+        new = _write_facts(load, step, facts, staged)
+        run.rows_inserted = sum(f.rows for f in new if ORPHANS not in f.path)
+        run.rows_rejected = run.rows_read - run.rows_inserted
+        if run.rows_inserted:
+            run.removed = old
+        else:
+            run.added = []
+    return run
+
+
 def load_process(spark: SparkSession, path: str) -> dict[str, Any]:
     """Read a process configuration from anywhere Spark can read."""
     return json.loads(spark.read.text(path, wholetext=True).first()[0])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from oreline.operators.dimensions import date_dimension
 from oreline.operators.transforms import handler
 from oreline.plans.daily import daily_load
-from oreline.plans.gold import gold_job, insert_schema, read_fact, scd2_schema
+from oreline.plans.gold import gold_job, insert_schema, read_fact, replay_orphans, scd2_schema
 from oreline.plans.lake import (
     Lake,
     read_appended,
@@ -33,6 +34,7 @@ from oreline.suite.model import (
     DIMENSIONS,
     FACT_PROCESS,
     FACTS,
+    PRODUCT_PROCESS,
 )
 from oreline.suite.quality import STRICT_SQL, STRICT_TYPED_SQL, with_outcomes
 from oreline.suite.registry import query
@@ -259,3 +261,41 @@ def _touched_buckets(spark, sf_dir):
         silver_job(spark, lake, CONTRACT, day, as_of=AS_OF, raw=raw, allow_empty=True)
         gold_job(spark, lake, CUSTOMER_PROCESS, CONTRACT, day)
     return customer_versions(lake)
+
+
+#: Every fact under its customer's first version.
+FIRST_VERSION_SQL = FACT_SQL.replace(
+    "JOIN versions v ON v.id_type = l.id_type AND v.id_number = l.id_number\n"
+    " AND l.batch >= v.valid_from AND (v.valid_to IS NULL OR l.batch < v.valid_to)",
+    "JOIN (SELECT *, row_number() OVER (PARTITION BY id_type, id_number ORDER BY valid_from) AS nth FROM versions) v\n"
+    "  ON v.id_type = l.id_type AND v.id_number = l.id_number AND nth = 1",
+)
+
+
+@query("daily_load_as_of", FIRST_VERSION_SQL)
+def _daily_as_of(spark, sf_dir):
+    """Both deliveries with lookups by event time: all events lie before the first load, so first versions reach back."""
+    config = copy.deepcopy(FACT_PROCESS)
+    next(d for d in config["target"]["load"][0]["lookups"] if d.get("versioned")).update(as_of=True, open_start=True)
+    lake = fresh_lake(spark)
+    for day, raw in zip((FIRST_DAY, SECOND_DAY), deliveries(spark, sf_dir)):
+        daily_load(spark, lake, CONTRACT, DIMENSIONS, [config], day, as_of=AS_OF, raw=raw)
+    return facts_of(lake)
+
+
+@query("orphans_replayed", FIRST_VERSION_SQL)
+def _orphans_replayed(spark, sf_dir):
+    """Facts of the second day are loaded before its customers; a replay finds those who were missing, once."""
+    lake = fresh_lake(spark)
+    days = (FIRST_DAY, SECOND_DAY)
+    for day, raw in zip(days, deliveries(spark, sf_dir)):
+        silver_job(spark, lake, CONTRACT, day, as_of=AS_OF, raw=raw)
+    gold_job(spark, lake, CUSTOMER_PROCESS, CONTRACT, FIRST_DAY)
+    for day in days:
+        gold_job(spark, lake, PRODUCT_PROCESS, CONTRACT, day)
+        gold_job(spark, lake, FACT_PROCESS, CONTRACT, day, as_of=AS_OF)
+    replay_orphans(spark, lake, FACT_PROCESS, CONTRACT.schema, SECOND_DAY)
+    gold_job(spark, lake, CUSTOMER_PROCESS, CONTRACT, SECOND_DAY)
+    for _ in range(2):
+        replay_orphans(spark, lake, FACT_PROCESS, CONTRACT.schema, SECOND_DAY)
+    return facts_of(lake)

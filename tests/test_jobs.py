@@ -18,6 +18,7 @@ from oreline.plans.gold import (
     insert_schema,
     read_fact,
     read_orphans,
+    replay_orphans,
 )
 from oreline.plans.lake import Lake, NotLoaded, read_appended, read_rejects, read_silver
 from oreline.plans.silver import silver_job
@@ -158,6 +159,40 @@ def test_orphans_keep_their_natural_keys(spark, lake):
     assert [f[0] for f in facts(lake)] == ["b"]
 
 
+def test_orphans_are_replayed_once(spark, lake):
+    silver_job(spark, lake, CONTRACT, DAY, as_of=AS_OF, raw=raw(spark, [line("1", "a")]))
+    for config in DIMENSIONS:
+        gold_job(spark, lake, config, CONTRACT, DAY)
+    silver_job(spark, lake, CONTRACT, NEXT, as_of=AS_OF,
+               raw=raw(spark, [line("1", "b"), line("9", "c"), line("1", "d", product="CARD"), line("8", "e", product="X")]))
+    gold_job(spark, lake, FACT_PROCESS, CONTRACT, NEXT)
+    keys = {f[0]: f[2] for f in rows(read_orphans(lake, FACT_PROCESS, CONTRACT.schema).select("account_no", "id_number", "sk_transaction"))}
+    files = lake.ledger.view().files("fact_transactions")
+    run = replay_orphans(spark, lake, FACT_PROCESS, CONTRACT.schema, NEXT)
+    assert (run.rows_read, run.rows_inserted) == (3, 0) and lake.ledger.view().files("fact_transactions") == files
+    gold_job(spark, lake, CUSTOMER_PROCESS, CONTRACT, NEXT)
+    run = replay_orphans(spark, lake, FACT_PROCESS, CONTRACT.schema, NEXT)
+    assert (run.rows_read, run.rows_inserted, run.rows_rejected) == (3, 1, 2)
+    assert [(f[0], f[2]) for f in facts(lake) if f[0] != "b"] == [("c", keys["c"])]
+    orphans = read_orphans(lake, FACT_PROCESS, CONTRACT.schema)
+    assert rows(orphans.select("account_no", "sk_transaction")) == [("d", keys["d"]), ("e", keys["e"])]
+    gold_job(spark, lake, DIMENSIONS[1], CONTRACT, NEXT)
+    replay_orphans(spark, lake, FACT_PROCESS, CONTRACT.schema, NEXT)
+    assert [f[0] for f in facts(lake)] == ["b", "c", "d", "e"]
+    assert replay_orphans(spark, lake, FACT_PROCESS, CONTRACT.schema, NEXT).rows_read == 0
+
+
+def test_first_versions_reach_back_where_asked(spark, lake):
+    config = copy.deepcopy(FACT_PROCESS)
+    customer = next(d for d in config["target"]["load"][0]["lookups"] if d.get("versioned"))
+    customer.update(as_of=True, open_start=True)
+    for when, city, account in ((DAY, "TOWN", "a"), (NEXT, "NEW", "b")):
+        lines = [line("1", account, city=city, at="1998-05-01 10:00:00"), line("1", account + "2", city=city, at=f"{when} 09:00:00")]
+        daily_load(spark, lake, CONTRACT, DIMENSIONS, [config], when, as_of=AS_OF, raw=raw(spark, lines), use_watermark=False)
+    assert [f[:2] for f in facts(lake)] == [("a", 1), ("a2", 1), ("b", 1), ("b2", 2)]
+    assert read_orphans(lake, config, CONTRACT.schema).count() == 0
+
+
 def test_as_of_lookup_in_the_job(spark, lake):
     day(spark, lake, [line("1", "a", at="2024-01-01 08:00:00")], DAY, use_watermark=False)
     silver_job(spark, lake, CONTRACT, NEXT, as_of=AS_OF,
