@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from oreline.session import as_nullable, scratch_path
 
+#: Files whose offsets are broadcast: some 20 MB.
+BROADCAST_FILES = 100_000
+
 # The task and file numbers in the name Spark gives a file.
 _TASK_NUMBER = r"part-(\d+)-[^/]*$"
 _FILE_NUMBER = r"-c(\d+)[^/]*$"
@@ -41,7 +44,9 @@ def keys_by_position(source: DataFrame, key: str, start: int = 0) -> DataFrame:
     offsets = per_file.select(
         "_file", (F.sum("_n").over(in_write_order) - F.col("_n")).alias("_before")
     )
-    return placed.join(F.broadcast(offsets), "_file").select(
+    # The number of files is known without a job; beyond the limit Spark chooses the join.
+    known = F.broadcast(offsets) if len(source.inputFiles()) <= BROADCAST_FILES else offsets
+    return placed.join(known, "_file").select(
         (F.lit(start) + F.col("_before") + F.col("_index") + 1).cast("bigint").alias(key),
         *source.columns,
     )

@@ -391,6 +391,10 @@ def check_config(config: Mapping[str, Any], ctx: TransformContext) -> None:
         missing = [r for r in _load_steps[step["step"]][1] if r not in step]
         if missing:
             raise ConfigError(f"load step {step['step']!r} lacks {missing}")
+        filtered = (config.get("watermark") or {}).get("apply_filter")
+        if step["step"] == "fact" and filtered and not step.get("key"):
+            # The mark never passes ``as_of``: rows above it would load again at every rerun.
+            raise ConfigError("a fact step behind a watermark needs 'key', or rows would load twice")
         for lookup in step.get("lookups", []):
             missing = [r for r in ("table", "surrogate") if r not in lookup]
             if missing:

@@ -229,6 +229,13 @@ def test_bad_configs_fail_on_record(spark, lake, change):
     assert lake.ledger.state().first()["status"] == FAILED
 
 
+def test_a_watermark_needs_a_fact_key(spark, lake):
+    config = copy.deepcopy(FACT_PROCESS)
+    del config["target"]["load"][0]["key"]
+    with pytest.raises(ConfigError, match="needs 'key'"):
+        gold_job(spark, lake, config, CONTRACT, DAY)
+
+
 def test_missing_silver_fails_on_record(spark, lake):
     with pytest.raises(NotLoaded):
         gold_job(spark, lake, CUSTOMER_PROCESS, CONTRACT, DAY)
