@@ -13,6 +13,7 @@ optional custom handler, and the load steps of its target::
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
@@ -223,6 +224,65 @@ def _scd2(load: Load, step: Mapping[str, Any]) -> None:
     load.run.last_keys[table] = start + sum(changed.values())
 
 
+#: The staged set, under the name that queries give it.
+STAGED = "staged"
+
+
+def check_query(spark: SparkSession, query: str, frames: Sequence[str]) -> None:
+    """Refuse all but one query over the named frames; nothing is run.
+
+    Frames stand in the text as ``{name}``.
+    """
+    marks = {name: f"frame_of_{name}" for name in frames}
+    try:
+        text = query.format(**marks)
+    except (KeyError, IndexError) as unknown:
+        raise ConfigError(f"the query names {unknown}; it may read {sorted(frames)}") from None
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    logical = "org.apache.spark.sql.catalyst.plans.logical."
+    refused = [spark._jvm.java.lang.Class.forName(logical + c) for c in ("Command", "ParsedStatement", "CompoundBody")]
+    nodes, own = [plan], set()
+    while nodes:
+        node = nodes.pop()
+        if any(kind.isInstance(node) for kind in refused):
+            raise ConfigError(f"{node.nodeName()} is no query")
+        named = re.fullmatch(r"'UnresolvedRelation \[([^\]]*)\].*", node.simpleString(1000))
+        if named:
+            own.add(named[1])
+        for below in (node.children(), node.innerChildren(), node.subqueriesAll()):
+            nodes += [n for n in (below.apply(i) for i in range(below.size())) if hasattr(n, "innerChildren") and n.getClass().getName().startswith("org.apache.spark.sql.catalyst")]
+    with_names = set(re.findall(r"(?i)(\w+)\s+as\s*\(", text))
+    others = own - set(marks.values()) - with_names
+    if others:
+        raise ConfigError(f"the query reads {sorted(others)}; write tables as {{name}} and list them under 'reads'")
+
+
+@load_step("sql", "table", "query")
+def _sql(load: Load, step: Mapping[str, Any]) -> None:
+    """Append the rows of a query over the staged set and committed tables, or put them in place of the table's rows.
+
+    ``reads`` lists the tables the query names, with their partition columns as text (``resolved = 'true'``); ``args`` are
+    values for its parameters.  Like any load, it is published with the
+    run, and loses to another one that changed its table meanwhile.
+    """
+    table, reads = step["table"], list(step.get("reads", ()))
+    check_query(load.spark, step["query"], [STAGED, *reads])
+    frames = {STAGED: load.staged}
+    for name in reads:
+        files = load.view.files(name)
+        if not files:
+            raise ConfigError(f"nothing was loaded into {name!r}")
+        root = load.lake.table(name)
+        stored = load.spark.read.option("basePath", root).parquet(*[f"{root}/{f.path}" for f in files])
+        frames[name] = stored.drop("run_id", "_bucket")
+    rows = load.spark.sql(step["query"], args=step.get("args", {}), **frames)
+    rows.write.parquet(f"{load.lake.table(table)}/run_id={load.run.run_id}")
+    added = load.publish(table, rows.schema)
+    if step.get("mode", "append") == "replace":
+        load.run.removed += load.view.files(table)
+    load.run.rows_inserted += sum(f.rows for f in added)
+
+
 def fact_schema(step: Mapping[str, Any], staged: T.StructType) -> T.StructType:
     keys = [step["surrogate"], *[d["surrogate"] for d in step["lookups"]]]
     fields = [T.StructField(k, T.LongType(), True) for k in keys]
@@ -391,6 +451,8 @@ def check_config(config: Mapping[str, Any], ctx: TransformContext) -> None:
         missing = [r for r in _load_steps[step["step"]][1] if r not in step]
         if missing:
             raise ConfigError(f"load step {step['step']!r} lacks {missing}")
+        if step["step"] == "sql" and step.get("mode", "append") not in ("append", "replace"):
+            raise ConfigError(f"a sql step appends or replaces, not {step['mode']!r}")
         filtered = (config.get("watermark") or {}).get("apply_filter")
         if step["step"] == "fact" and filtered and not step.get("key"):
             # The mark never passes ``as_of``: rows above it would load again at every rerun.

@@ -299,3 +299,46 @@ def _orphans_replayed(spark, sf_dir):
     for _ in range(2):
         replay_orphans(spark, lake, FACT_PROCESS, CONTRACT.schema, SECOND_DAY)
     return facts_of(lake)
+
+
+SUMMARY_PROCESS = {
+    "process_type": "product_months",
+    "source": {"source_name": "transactions"},
+    "transformations": [{"type": "select", "columns": ["product_type"]}],
+    "target": {
+        "gold_path": "staged/product_months",
+        "load": [
+            {
+                "step": "sql",
+                "table": "product_months",
+                "mode": "replace",
+                "reads": ["fact_transactions", "dim_product"],
+                "args": {"least": 0},
+                "query": """
+                    SELECT p.product_type, f.month_key, count(*) AS n, CAST(sum(f.amount) AS decimal(28,2)) AS total
+                    FROM {fact_transactions} f JOIN {dim_product} p USING (sk_product)
+                    WHERE f.resolved = 'true' AND f.amount >= :least AND p.product_type IN (SELECT product_type FROM {staged})
+                    GROUP BY ALL
+                """,
+            }
+        ],
+    },
+}
+
+
+@query(
+    "post_load_sql",
+    FACT_SQL.replace("\nSELECT v.sk_customer", "\n, facts AS (SELECT l.product_type, v.sk_customer", 1)
+    + """)
+SELECT product_type, month_key, count(*) AS n, CAST(sum(amount) AS decimal(28,2)) AS total
+FROM facts WHERE product_type IN (SELECT product_type FROM loaded WHERE batch = TIMESTAMP '2024-01-02')
+GROUP BY product_type, month_key
+""",
+)
+def _post_load_sql(spark, sf_dir):
+    """A summary by SQL after each day's load; the second takes the place of the first."""
+    lake = fresh_lake(spark)
+    for day, raw in zip((FIRST_DAY, SECOND_DAY), deliveries(spark, sf_dir)):
+        daily_load(spark, lake, CONTRACT, [CUSTOMER_PROCESS, PRODUCT_PROCESS], [FACT_PROCESS, SUMMARY_PROCESS], day, as_of=AS_OF, raw=raw)
+    schema = T.StructType.fromDDL("product_type string, month_key int, n bigint, total decimal(28,2)")
+    return read_appended(lake, "product_months", schema)

@@ -229,6 +229,45 @@ def test_bad_configs_fail_on_record(spark, lake, change):
     assert lake.ledger.state().first()["status"] == FAILED
 
 
+@pytest.mark.parametrize(
+    "query, why",
+    [
+        ("DROP TABLE t", "no query"),
+        ("INSERT INTO {staged} SELECT 1", "no query"),
+        ("WITH a AS (SELECT * FROM secret) SELECT * FROM a", "reads .*secret"),
+        ("SELECT * FROM {staged} WHERE EXISTS (SELECT 1 FROM secret)", "reads .*secret"),
+        ("SELECT * FROM parquet.`/x`", "reads"),
+        ("SELECT * FROM {unlisted}", "names 'unlisted'"),
+        ("SELECT * FROM {missing}", "nothing was loaded"),
+    ],
+)
+def test_sql_steps_are_checked(spark, lake, query, why):
+    silver_job(spark, lake, CONTRACT, DAY, as_of=AS_OF, raw=raw(spark, [line("1", "a")]))
+    config = {"process_type": "p", "source": {"source_name": "transactions"}, "transformations": [],
+              "target": {"gold_path": "p", "load": [{"step": "sql", "table": "t", "query": query, "reads": ["missing"]}]}}
+    with pytest.raises(ConfigError, match=why):
+        gold_job(spark, lake, config, CONTRACT, DAY)
+    config["target"]["load"][0] |= {"mode": "merge"}
+    with pytest.raises(ConfigError, match="appends or replaces"):
+        gold_job(spark, lake, config, CONTRACT, DAY)
+    assert lake.ledger.view().files("t") == []
+
+
+def test_sql_steps_append_and_replace(spark, lake):
+    from oreline.plans.lake import read_files
+
+    schema = T.StructType([CONTRACT.schema["account_no"], T.StructField("twice", T.LongType())])
+    for mode, expected in (("append", ["a", "a"]), ("replace", ["a"])):
+        for _ in range(2):
+            silver_job(spark, lake, CONTRACT, DAY, as_of=AS_OF, raw=raw(spark, [line("1", "a")]))
+            step = {"step": "sql", "table": mode, "mode": mode, "args": {"n": 2},
+                    "query": "SELECT account_no, id_number * :n AS twice FROM {staged}"}
+            gold_job(spark, lake, {"process_type": mode, "source": {"source_name": "transactions"},
+                                   "target": {"gold_path": mode, "load": [step]}}, CONTRACT, DAY)
+        found = read_files(lake, mode, lake.ledger.view().files(mode), schema)
+        assert rows(found) == [(a, 2) for a in expected]
+
+
 def test_a_watermark_needs_a_fact_key(spark, lake):
     config = copy.deepcopy(FACT_PROCESS)
     del config["target"]["load"][0]["key"]
