@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,7 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     delimiter: str = ",",
     encoding: str = "utf-8",
     headers: Sequence[str] | None = None,
@@ -51,10 +53,56 @@ def read_csv(
     return df.toDF(*[c.lstrip(BOM) for c in df.columns])
 
 
+#: Headers that the files of one source may have between them.
+HEADERS = 100
+
+
+def header_of(spark: SparkSession, uri: str, encoding: str) -> str | None:
+    """The first line of a text file, unpacked if its name says so; None if it is empty.
+
+    A header with a line break in a quoted name is not supported.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        opened = codec.createInputStream(stream) if codec else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, spark_encoding(encoding))).readLine()
+    finally:
+        stream.close()
+    return line.lstrip(BOM) if line is not None else None
+
+
+def read_csv_by_header(
+    spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8"
+) -> DataFrame:
+    """Headered CSV files whose columns may differ in order, or be missing in some; all columns are text.
+
+    The driver reads one line of each file that it has listed.  Files with the same header are one scan, checked against it, and the
+    scans are put together by name; a column that a file lacks is null there.
+    """
+    by_header: dict[str, list[str]] = {}
+    for uri in spark.read.text(path).inputFiles():
+        header = header_of(spark, uri, encoding)
+        if header is not None:
+            file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+            by_header.setdefault(header, []).append(file)
+    if len(by_header) < 2:
+        return read_csv(spark, path, delimiter, encoding)
+    if len(by_header) > HEADERS:
+        raise ValueError(f"the files of {path} have {len(by_header)} different headers")
+    frames = []
+    for header in sorted(by_header):
+        names = next(csv.reader([header], delimiter=delimiter))
+        frames.append(read_csv(spark, by_header[header], delimiter, encoding, headers=names))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_source(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
     """The contract's source, in the format it declares."""
     if contract.file_format == "csv":
-        return read_csv(spark, path, contract.delimiter, contract.encoding)
+        return read_csv_by_header(spark, path, contract.delimiter, contract.encoding)
     if contract.file_format == "parquet":
         return spark.read.parquet(path)
     return spark.read.schema(text_schema(contract.raw_headers)).json(path)

@@ -23,7 +23,14 @@ from oreline.operators.dimensions import date_dimension, insert_if_new
 from oreline.operators.layout import sorted_layout
 from oreline.operators.quality import REASONS, REJECTED, split
 from oreline.session import as_nullable, scratch_path
-from oreline.sources.readers import BOM, arrival_audit, landed_files, on_day, read_csv
+from oreline.sources.readers import (
+    BOM,
+    arrival_audit,
+    landed_files,
+    on_day,
+    read_csv,
+    read_csv_by_header,
+)
 from oreline.sources.writers import land_raw, write_partitioned, write_rejects, write_report
 from oreline.suite.quality import KEYS, strict_rows, with_outcomes
 from oreline.suite.registry import query
@@ -47,6 +54,38 @@ def _bom(spark, sf_dir):
     return read_csv(spark, path, encoding="utf-8-sig")
 
 
+def _two_headers(spark, sf_dir, second: list[str]) -> DataFrame:
+    """Customers in files of two kinds below one folder, read back together."""
+    path = scratch_path(spark, "csv")
+    customers = table(spark, sf_dir, "customer").select(*CUSTOMER_TEXTS)
+    even = F.col("c_custkey") % 2 == 0
+    for part, columns in ((customers.where(even), CUSTOMER_TEXTS), (customers.where(~even), second)):
+        part.select(*columns).write.mode("append").option("header", True).option("sep", "|").csv(path)
+    return read_csv_by_header(spark, path, delimiter="|").select(*CUSTOMER_TEXTS)
+
+
+CUSTOMER_TEXTS = ["c_custkey", "c_name", "c_mktsegment"]
+
+
+@query(
+    "csv_mixed_header_order",
+    "SELECT CAST(c_custkey AS varchar) AS c_custkey, c_name, c_mktsegment FROM customer",
+)
+def _mixed_headers(spark, sf_dir):
+    return _two_headers(spark, sf_dir, ["c_mktsegment", "c_custkey", "c_name"])
+
+
+@query(
+    "csv_missing_column",
+    """
+SELECT CAST(c_custkey AS varchar) AS c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment
+FROM customer
+""",
+)
+def _missing_column(spark, sf_dir):
+    return _two_headers(spark, sf_dir, ["c_name", "c_custkey"])
+
+
 @query(
     "partitioned_sink_dynamic",
     """

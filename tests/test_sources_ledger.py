@@ -26,6 +26,7 @@ from oreline.sources.readers import (
     landed_files,
     on_day,
     read_csv,
+    read_csv_by_header,
     read_if_present,
     text_schema,
 )
@@ -251,6 +252,20 @@ def test_runs_may_write_the_ledger_side_by_side(spark, folder):
     assert ledger.state().where(F.col("status") == SUCCESS).count() == 4
 
 
+def test_files_with_other_headers(spark, folder):
+    import gzip
+
+    os.makedirs(f"{folder}/a b/day=1")
+    base = f"{folder}/a b/day=1"
+    for name, text in (("1.csv", "\ufeffid;v\n1;x\n"), ("2.csv", "v;id\n\"y;z\";2\n"), ("3.csv", ""), ("4.csv", "id\n3\n"), ("5.csv", "id;v\n4;ñ\n")):
+        with open(f"{base}/{name}", "w", encoding="utf-8") as file:
+            file.write(text)
+    with gzip.open(f"{base}/6.csv.gz", "wt", encoding="utf-8") as file:
+        file.write("v;id\nw;5\n")
+    got = read_csv_by_header(spark, base, ";", "utf-8-sig").select("id", "v")
+    assert rows(got) == [("1", "x"), ("2", "y;z"), ("3", None), ("4", "ñ"), ("5", "w")]
+
+
 def test_arrival_audit_where_nothing_has_landed(spark, folder):
     expected = spark.createDataFrame([("s", 2024, 1, 2)], "source_name string, year int, month int, day int")
     missing = arrival_audit(expected, landed_files(spark, f"{folder}/nowhere"))
