@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -86,7 +87,7 @@ def discard(df: DataFrame) -> None:
     """Remove the files of a materialised frame that nothing will read again, to free the shared folder."""
     spark = df.sparkSession
     root = shared_folder(spark)
-    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+    for folder in {unquote(file).rsplit("/", 1)[0] for file in df.inputFiles()}:
         if root.split(":", 1)[-1].rstrip("/") not in folder:
             raise ValueError(f"{folder} is not below the shared folder")
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
