@@ -6,8 +6,8 @@ publishes: its watermark, its highest surrogate keys, and the data files that it
 
 * Concurrency is optimistic.  A load works on the log as of some version.  If, when it commits, a newer event has
   changed a table that it changes too, it has lost: :class:`ConcurrentLoad`, and nothing of it is ever read.
-* Every ``CHECKPOINT`` versions the whole log is written as one Parquet file.  Readers take the newest
-  complete one and the events behind it; a marker file, created last, switches to it at once.
+* Every ``CHECKPOINT`` versions the whole log is written as Parquet: one file, or several where the log is long.  Readers
+  take the newest complete checkpoint and the events behind it; a marker file, created last, switches to it at once.
 """
 
 from __future__ import annotations
@@ -186,7 +186,7 @@ class Ledger:
         return frames[0].unionByName(frames[1]) if len(frames) > 1 else frames[0]
 
     def events(self) -> DataFrame:
-        """All events: one checkpoint file and the few event files behind it."""
+        """All events: one checkpoint and the few event files behind it."""
         return self._events_of(*self._listing())
 
     def view(self) -> LedgerView:
@@ -235,7 +235,7 @@ class Ledger:
             self.compact(version)
 
     def compact(self, version: int | None = None) -> None:
-        """Write the log up to a version (by default the newest) as one file, and switch readers to it."""
+        """Write the log up to a version (by default the newest) as a checkpoint, and switch readers to it."""
         mark, tail = self._listing()
         version = version or max(tail, default=mark)
         if version <= mark:
@@ -244,8 +244,10 @@ class Ledger:
         self._write_checkpoint(events, version)
 
     def _write_checkpoint(self, events: DataFrame, version: int) -> None:
-        # What an earlier attempt left behind has no marker, so nobody reads it.
-        _folded(events).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/checkpoints/{_name(version)}")
+        # What an earlier attempt left behind has no marker, so nobody reads it.  Adaptive execution makes one file of a
+        # short log and several of a long one, so no task holds it whole.
+        path = f"{self.path}/checkpoints/{_name(version)}"
+        _folded(events).hint("rebalance", "run_id").write.mode("overwrite").parquet(path)
         self._marks.create(f"{_name(version)}.json", json.dumps({"version": version}))
 
     def restore(self, events: DataFrame) -> None:
@@ -365,18 +367,25 @@ class LedgerView:
 
 
 def _folded(events: DataFrame) -> DataFrame:
-    """Events without the files that later ones took out, so that a long history of rewrites stays short."""
+    """Events without the files that later ones took out, so that a long history of rewrites stays short.
+
+    Only events that added files are joined with what is left of them; all others, which may be most, are not shuffled.
+    """
+    none = F.array().cast(T.ArrayType(DATA_FILE))
+    adds = F.coalesce(F.size("added") > 0, F.lit(False))
+    idle = events.where(~adds).withColumns({"added": none, "removed": none}).select(*SCHEMA.names)
     gone = events.select(F.explode("removed").alias("f")).select("f.table", "f.path")
     added = events.select("run_id", "seq", F.explode("added").alias("file"))
     live = added.join(gone, (F.col("file.table") == gone["table"]) & (F.col("file.path") == gone["path"]), "left_anti")
     kept = live.groupBy("run_id", "seq").agg(F.collect_list("file").alias("added"))
-    none = F.array().cast(T.ArrayType(DATA_FILE))
-    return (
-        events.drop("added", "removed")
+    loads = (
+        events.where(adds)
+        .drop("added", "removed")
         .join(kept, ["run_id", "seq"], "left")
         .withColumns({"added": F.coalesce("added", none), "removed": none})
         .select(*SCHEMA.names)
     )
+    return idle.unionByName(loads)
 
 
 def committed(job_name: str, source_name: str) -> Column:

@@ -202,6 +202,32 @@ def test_a_thousand_runs_are_read_from_one_checkpoint_and_a_short_tail(spark, fo
     assert ledger.state().count() == 1041 and ledger.last_success("j", "s")["run_id"] == run.run_id
 
 
+def test_a_long_checkpoint_is_written_by_several_tasks(spark, folder):
+    """One task would hold the whole log; rows that added nothing are not even joined."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    log = spark.range(20_000).select(
+        F.when(F.col("id") % 100 > 0, F.concat(F.lit("run-"), F.col("id"))).alias("run_id"), F.lit(1).alias("seq"),
+        F.lit(SUCCESS).alias("status"), F.sha2(F.col("id").cast("string"), 256).alias("error_msg"),
+    )
+    spark.conf.set(size, "64k")
+    try:
+        ledger = Ledger(spark, f"{folder}/ledger", checkpoint=4)
+        ledger.restore(log)
+        assert len(ledger.events().inputFiles()) > 1
+        with ledger.run("j", "s") as run:
+            run.added = [DataFile("t", "rows", "f", 1), DataFile("t", "rows", "g", 2)]
+        with ledger.run("j", "s") as run:
+            run.removed = ledger.view().files("t")[:1]
+        ledger.compact()
+        assert len(ledger.events().inputFiles()) > 1
+    finally:
+        spark.conf.set(size, before)
+    assert [f.path for f in ledger.view().files("t")] == ["g"] and ledger.events().count() == 20_004
+    kept = ledger.events().where("job_name is null").select("run_id", "seq", "status", "error_msg")
+    assert rows(kept) == rows(log)
+
+
 def test_half_written_checkpoints_are_ignored(spark, folder):
     ledger = Ledger(spark, f"{folder}/ledger", checkpoint=4)
     with ledger.run("j", "s"):
