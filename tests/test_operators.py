@@ -26,6 +26,7 @@ from oreline.operators.transforms import (
     apply_transforms,
     transform_names,
 )
+from oreline.suite.views import TX_SQL, tx
 
 
 def test_transform_registry():
@@ -257,3 +258,34 @@ def test_hot_folder_is_cut_and_its_files_are_sorted(spark, folder):
 def test_top_k_rejects_k_below_one(spark):
     with pytest.raises(ValueError):
         top_k_by_rank(spark.range(3), "id", 0)
+
+
+def test_transactions_join_customers_to_orders_before_lines(spark, folder):
+    """Lines are shuffled without a customer's columns; null and repeated keys give the rows of the SQL."""
+    day = datetime(1998, 5, 1)
+    tables = {
+        "lineitem": ("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+                     [(1, 1, 7, 5.0, "A", day), (1, 2, 8, 6.0, "N", day), (2, 1, 7, 7.0, None, day), (None, 1, 7, 8.0, "R", day), (1, 3, None, 9.0, "R", day), (9, 1, 7, 1.0, "A", day)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint", [(1, 3), (1, 3), (2, 4), (None, 3), (9, None)]),
+        "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+                     [(3, "c", 0, -2.5, "BUILDING"), (4, None, 1, 1.0, None), (4, "d", 1, None, "AUTOMOBILE"), (None, "n", 0, 1.0, "x")]),
+        "nation": ("n_nationkey int, n_name string", [(0, "N0"), (1, "N1"), (1, "N2")]),
+        "part": ("p_partkey bigint, p_type string", [(7, "LARGE"), (7, None), (8, "SMALL"), (None, "x")]),
+    }
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
+        spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "-1")
+        got = tx(spark, folder)
+        text = plan(got)
+        expected = rows(spark.sql(TX_SQL))
+    finally:
+        spark.conf.set(limit, before)
+        for name in tables:
+            spark.catalog.dropTempView(name)
+    assert rows(got) == expected and len(expected) == 14
+    joins = [text.index(f"SortMergeJoin [{key}") for key in ("l_orderkey", "l_partkey", "o_custkey")]
+    assert joins == sorted(joins)  # the last join is the only one that meets lines and customers
