@@ -163,3 +163,14 @@ def test_spelling_lists_of_any_length(spark, n):
     assert fixed.columns == ["city", "n"]
     assert rows(fixed) == sorted([(None, 1), ("fine", 2), (None, 3), ("good2", 4)], key=repr)
     assert "Join" not in plan(fixed)
+
+
+def test_judging_gives_foreign_sessions_the_defaults_it_needs(spark):
+    """A session of others runs wide rules in methods too long to be compiled, and sorts before a write by outcome."""
+    limit, writers = "spark.sql.codegen.hugeMethodLimit", "spark.sql.maxConcurrentOutputFileWriters"
+    other = spark.newSession()
+    other.conf.unset(limit)
+    other.conf.set(writers, "3")
+    df = other.createDataFrame([(1,)], "id long")
+    assert flag_rows(df, {"one": F.col("id") == 1}).first()[OUTCOME] == "valid"
+    assert (other.conf.get(limit), other.conf.get(writers)) == ("8000", "3")
