@@ -29,7 +29,7 @@ def _ingest(spark, sf_dir):
     """Land the files as they come; a second run of the stream finds nothing new."""
     lake, incoming = fresh_lake(spark), scratch_path(spark, "incoming")
     checkpoint = scratch_path(spark, "checkpoint")
-    as_delivered(raw_tx(spark, sf_dir)).write.option("header", True).csv(incoming)
+    as_delivered(raw_tx(spark, sf_dir)).write.option("header", True).csv(incoming, compression="snappy")
     for _ in range(2):
         stream_landing(
             spark, lake, CONTRACT, incoming, checkpoint, F.lit("2024-06-03").cast("date")

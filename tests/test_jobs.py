@@ -480,3 +480,16 @@ def test_staged_sets_of_reruns_lie_side_by_side(spark, lake):
         assert rows(read_staged(lake, PRODUCT_PROCESS, DAY, schema)) == [(product,)]
     with pytest.raises(NotLoaded):
         read_staged(lake, PRODUCT_PROCESS, NEXT, schema)
+
+
+def test_files_for_the_landing_stream_are_compressed(spark, folder, monkeypatch):
+    import os
+
+    from conftest import DATA
+
+    from oreline.suite import QUERIES, streams
+
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, label: f"{folder}/{label}")
+    assert QUERIES["stream_ingest"](spark, DATA).count() == spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+    files = [f for f in os.listdir(f"{folder}/incoming") if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.snappy") for f in files)
