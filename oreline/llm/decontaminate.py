@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreline.llm.words import SYMBOLS, Words, mix, run_hashes, tidied, words
+from oreline.llm.words import SMALL_GROUP, SYMBOLS, Words, mix, run_hashes, tidied, words
 from oreline.session import materialize
 
 #: Bits of a bitmap of shingles, as powers of two: at least, at most (16 MB), and for each shingle.
@@ -81,7 +81,7 @@ def item_prints(items: DataFrame, k: int, percent: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("item_id").to_pylist()
-            for group in words(lowered(batch.column("text")), SYMBOLS):
+            for group in words(lowered(batch.column("text")), SYMBOLS, size=SMALL_GROUP):
                 bounds = group.bounds()
                 rows = []
                 for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
@@ -98,7 +98,7 @@ def item_prints(items: DataFrame, k: int, percent: int) -> DataFrame:
                         )
                 yield _batch(rows)
 
-    return items.where("item_id is not null").select("item_id", "text").mapInArrow(make, SCHEMA)
+    return items.where("item_id is not null").select("item_id", "text").mapInArrow(tidied(make), SCHEMA)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -142,7 +142,7 @@ def bitmaps(prints: DataFrame) -> Maps:
 
     found = (
         prints.select("n_words", "shingles")
-        .mapInArrow(make, "word bigint, bit bigint")
+        .mapInArrow(tidied(make), "word bigint, bit bigint")
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
@@ -221,7 +221,7 @@ def window_prints(docs: DataFrame, maps: Maps, k: int, percent: int) -> DataFram
         short, rest = [n for n in maps.sizes if n < k], [n for n in maps.sizes if n >= k]
         for batch in batches:
             ids = batch.column("doc_id").to_pylist() if maps.sizes else []
-            for group in words(lowered(batch.column("text")), SYMBOLS) if maps.sizes else ():
+            for group in words(lowered(batch.column("text")), SYMBOLS, size=SMALL_GROUP) if maps.sizes else ():
                 rows = []
                 for found in (whole(group, short, maps), long(group, rest, maps)):
                     for i, *window in found:
@@ -331,7 +331,7 @@ def find_passages(
         .join(prints.select(F.col("id").alias("item_id"), F.col("shingles").alias("y"), "size"), ["item_id", "size"])
         .select("doc_id", "item_id", "start", "n_words", "distance", "x", "y")
         .mapInArrow(
-            measure,
+            tidied(measure),
             "doc_id bigint, item_id bigint, start bigint, n_words bigint, distance int, similarity double",
         )
         .where(F.col("similarity") * 100 >= percent)

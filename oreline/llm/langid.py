@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreline.llm.words import row_groups, utf8
+from oreline.llm.words import row_groups, tidied, utf8
 
 BUCKETS = 1 << 16
 #: Bytes of a text above which its trigrams are counted in slices of as many.
 SLICE = 1 << 19
+#: Trigrams worked out at once: a few arrays of eight bytes each.
+BLOCK = 1 << 18
 #: Languages that a model may have.
 LANGUAGES = 1000
 #: Languages whose counts a task holds at once.
@@ -33,7 +35,7 @@ UNKNOWN = "und"
 
 _letter = re.compile(r"[^\W\d_]")
 
-_FOLD = np.zeros(256, dtype=np.int64)
+_FOLD = np.zeros(256, dtype=np.uint8)
 for _b in range(128):
     _FOLD[_b] = _b | 0x20 if chr(_b).isalpha() else 0
 _FOLD[128:] = np.arange(128, 256)
@@ -46,16 +48,26 @@ def trigrams(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """
     n, rows = len(data), len(edges) - 1
     # two blanks after each row, and two before the first
-    shift = np.repeat(np.arange(rows), np.diff(edges)) * 2 + 2
-    folded = np.zeros(n + 2 * rows + 2, dtype=np.int64)
-    folded[np.arange(n) + shift] = _FOLD[data]
-    a, b, c = folded[:-2], folded[1:-1], folded[2:]
-    code = a << 16 | b << 8 | c
-    at = np.flatnonzero(code)
+    blank = np.repeat(edges[1:], 2)
+    folded = np.concatenate((np.zeros(2, dtype=np.uint8), np.insert(_FOLD[data], blank, 0)))
     ends = edges[1:] + 2 * np.arange(1, rows + 1)  # the last trigram that starts in a row
-    row = np.searchsorted(ends, at, side="left")
-    keys = code[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return np.minimum(row, rows - 1), (keys >> np.uint64(48)).astype(np.int64)
+    row, bucket = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.uint16)]
+    for low in range(0, n + 2 * rows, BLOCK):
+        code = codes(folded[low : low + BLOCK + 2])
+        at = np.flatnonzero(code)
+        row.append(np.minimum(np.searchsorted(ends, at + low, side="left"), rows - 1).astype(np.int32))
+        bucket.append(buckets(code[at]))
+    return np.concatenate(row), np.concatenate(bucket)
+
+
+def codes(folded: np.ndarray) -> np.ndarray:
+    """Three bytes from each place as one number; 0 where none has a letter."""
+    part = folded.astype(np.uint32)
+    return part[:-2] << 16 | part[1:-1] << 8 | part[2:]
+
+
+def buckets(code: np.ndarray) -> np.ndarray:
+    return (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.uint16)
 
 
 def long_counts(data: np.ndarray) -> np.ndarray:
@@ -64,10 +76,8 @@ def long_counts(data: np.ndarray) -> np.ndarray:
     folded[2:-2] = _FOLD[data]
     counts = np.zeros(BUCKETS, dtype=np.int64)
     for low in range(0, len(data) + 2, SLICE):
-        part = folded[low : low + SLICE + 2].astype(np.int64)
-        code = part[:-2] << 16 | part[1:-1] << 8 | part[2:]
-        keys = code[code > 0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        counts += np.bincount((keys >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
+        code = codes(folded[low : low + SLICE + 2])
+        counts += np.bincount(buckets(code[code > 0]), minlength=BUCKETS)
     return counts
 
 
@@ -110,7 +120,7 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
 
     return (
         docs.select("lang", "text")
-        .mapInArrow(count, "lang string, bucket bigint, n bigint")
+        .mapInArrow(tidied(count), "lang string, bucket bigint, n bigint")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
@@ -268,7 +278,7 @@ def predict(docs: DataFrame, model: Model, penalty: float = 4.0, keys: tuple = (
             T.StructField("shares", T.ArrayType(T.DoubleType())),
         ]
     )
-    return docs.select(*keys, F.col("text").alias("_text")).mapInArrow(judge, schema)
+    return docs.select(*keys, F.col("text").alias("_text")).mapInArrow(tidied(judge), schema)
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:

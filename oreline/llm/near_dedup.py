@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreline.llm.words import Words, mix, run_hashes, words
+from oreline.llm.words import SMALL_GROUP, Words, mix, run_hashes, tidied, words
 from oreline.operators.joins import lookup_join
 from oreline.session import materialize
 
@@ -111,7 +111,7 @@ def sketch(docs: DataFrame, k: int, bands: int, rows: int, lower: bool = True) -
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for group in words(batch.column("text"), lower=lower):
+            for group in words(batch.column("text"), lower=lower, size=SMALL_GROUP):
                 row, h = shingle_sets(group, k)
                 n = np.bincount(row, minlength=group.n_rows)
                 f1 = np.zeros(group.n_rows, dtype=np.uint64)
@@ -138,7 +138,7 @@ def sketch(docs: DataFrame, k: int, bands: int, rows: int, lower: bool = True) -
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        make, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, bands array<bigint>"
+        tidied(make), "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, bands array<bigint>"
     )
 
 
@@ -148,7 +148,7 @@ def full_sets(docs: DataFrame, k: int, lower: bool = True) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for group in words(batch.column("text"), lower=lower):
+            for group in words(batch.column("text"), lower=lower, size=SMALL_GROUP):
                 row, h = shingle_sets(group, k)
                 edges = np.searchsorted(row, np.arange(group.n_rows + 1))
                 sets = [h[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
@@ -164,7 +164,7 @@ def full_sets(docs: DataFrame, k: int, lower: bool = True) -> DataFrame:
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        make, "doc_id bigint, n bigint, shingles binary, parity binary"
+        tidied(make), "doc_id bigint, n bigint, shingles binary, parity binary"
     )
 
 
@@ -223,7 +223,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep[i] = within_reach(differ, na[i] + nb[i], percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    sifted = materialize(sized.mapInArrow(sift, "a bigint, b bigint"), "sifted")
+    sifted = materialize(sized.mapInArrow(tidied(sift), "a bigint, b bigint"), "sifted")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,7 +243,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         sifted.join(left.drop("na", "pa"), "a")
         .join(right.drop("nb", "pb").join(sifted.select("b"), "b", "left_semi"), "b")
         .select("a", "b", "sa", "sb")
-        .mapInArrow(compare, "a bigint, b bigint")
+        .mapInArrow(tidied(compare), "a bigint, b bigint")
     )
 
 
@@ -271,7 +271,7 @@ def _forest(edges: DataFrame) -> DataFrame:
             [pa.array([t[i] for t in tree], type=pa.int64()) for i in (0, 1)], names=["a", "b"]
         )
 
-    return edges.select("a", "b").mapInArrow(unite, "a bigint, b bigint")
+    return edges.select("a", "b").mapInArrow(tidied(unite), "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 GROUP_BYTES = 2 << 20
+#: The same where many numbers are made of each word.
+SMALL_GROUP = 1 << 19
 #: ``[\x20\x09-\x0D]``
 BLANKS = tuple(range(0x09, 0x0E)) + (0x20,)
 #: ASCII other than letters and digits
