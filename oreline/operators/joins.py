@@ -7,13 +7,14 @@ its share of the rows calls for.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreline.functions.literals import quoted
 from oreline.session import materialize, shuffle_partitions
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -24,7 +25,7 @@ def measured_bytes(df: DataFrame) -> int:
     fixed, text = 0, []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            text.append(F.coalesce(F.sum(F.octet_length(f.name)), F.lit(0)))
+            text.append(F.coalesce(F.sum(F.octet_length(quoted(f.name))), F.lit(0)))
             fixed += 16
         else:
             fixed += 16 if isinstance(f.dataType, T.DecimalType) else 8
@@ -39,6 +40,32 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
+PLANNED, ADAPTIVE = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
+
+def least_estimate(df: DataFrame) -> int:
+    """The least size that Spark may take columns of a frame for: the bytes of its files, shared out by the columns' types."""
+    whole = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # Spark counts 8 bytes for a row besides its columns.
+    return whole * 8 // (8 + df._jdf.schema().defaultSize())
+
+
+def plan_by_rows(spark: SparkSession, frames: Iterable[DataFrame], limit: int = BROADCAST_BYTES) -> None:
+    """Keep queries of a session from broadcasting those of the frames that are small only as files.
+
+    Spark plans by the bytes of a frame's files, where a column of few values takes some bits a row.  A broadcast holds
+    every row at its whole width, in the driver first.  If a frame's measured values are beyond ``limit``, no broadcast
+    is planned from its size in files on; adaptive execution still makes those that its own measurements allow.
+    """
+    planned = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    sizes = [(least_estimate(f), f) for f in frames]
+    wrong = [size for size, f in sizes if size <= planned and not fits_broadcast(f, limit)]
+    if wrong:
+        if spark.conf.get(ADAPTIVE, None) is None:
+            spark.conf.set(ADAPTIVE, str(planned))
+        spark.conf.set(PLANNED, str(min(wrong) - 1))
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys holding more than two fair shares of the rows, and their slices.
 

@@ -6,10 +6,13 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import plan, rows
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreline.ledger import FAILED, ConcurrentLoad
 from oreline.operators.quality import QualityGateError
+from oreline.operators.transforms import handler
 from oreline.plans.daily import daily_load
 from oreline.plans.gold import (
     ConfigError,
@@ -268,6 +271,56 @@ def test_sql_steps_append_and_replace(spark, lake):
         assert rows(found) == [(a, 2) for a in expected]
 
 
+def broadcast_part(text):
+    """The lines of a plan below its broadcasts."""
+    below, depth = [], None
+    for row in text.splitlines():
+        at = len(row) - len(row.lstrip(" :+-"))
+        depth = None if depth is not None and at <= depth else depth
+        if depth is not None:
+            below.append(row)
+        elif "BroadcastExchange" in row:
+            depth = at
+    return "\n".join(below)
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        "SELECT account_no FROM {first} WHERE product_type IN (SELECT product_type FROM {staged})",
+        "WITH s AS (SELECT product_type FROM {staged} UNION ALL SELECT product_type FROM {staged})"
+        " SELECT account_no FROM {first} WHERE product_type IN (SELECT product_type FROM s)",
+        "SELECT account_no FROM {first} LEFT JOIN {staged} s USING (product_type) GROUP BY account_no HAVING count(s.text) > 0",
+    ],
+)
+def test_sql_steps_do_not_broadcast_rows_that_are_small_as_files_only(spark, lake, monkeypatch, query):
+    """Two million copies of a row are some kilobytes of Parquet, and 88 MB of values."""
+    silver_job(spark, lake, CONTRACT, DAY, as_of=AS_OF, raw=raw(spark, [line("1", "a"), line("2", "b", product="CARD")]))
+    planned, write = {}, DataFrameWriter.parquet
+
+    def spy(writer, path, *args, **kwargs):
+        planned[path.split("/")[-2]] = plan(writer._df)
+        return write(writer, path, *args, **kwargs)
+
+    @handler("copied")
+    def copied(staged, config, ctx):
+        return staged.where("account_no = 'a'").crossJoin(spark.range(2_000_000)).select(F.lit("LOAN" * 5).alias("text"), "product_type")
+
+    def load(process, step, **more):
+        gold_job(spark, lake, {"process_type": process, "source": {"source_name": "transactions"}, **more,
+                               "target": {"gold_path": process, "load": [{"step": "sql", "table": process, **step}]}}, CONTRACT, DAY)
+
+    load("first", {"query": "SELECT account_no, product_type FROM {staged}"})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    load("second", {"query": query, "reads": ["first"]}, custom_handler="copied")
+    found = read_appended(lake, "second", T.StructType([CONTRACT.schema["account_no"]]))
+    assert rows(found) == [("a",)]
+    sent = broadcast_part(planned["second"])
+    assert "/gold/second/" in planned["second"] and ("/gold/second/" not in sent or "HashAggregate" in sent)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+
+
 def test_a_watermark_needs_a_fact_key(spark, lake):
     config = copy.deepcopy(FACT_PROCESS)
     del config["target"]["load"][0]["key"]
