@@ -64,3 +64,16 @@ def test_small_files_of_many_values_are_not_broadcast(spark, stored, folder):
     assert ["BroadcastHashJoin" in plan(df) for df in found.values()] == [False, True]
     assert rows(found[1 << 20]) == rows(found[1 << 26])
     assert own.conf.get("spark.sql.autoBroadcastJoinThreshold") == spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_session_of_its_own_knows_the_functions_and_settings(spark):
+    spark.sql("CREATE TEMPORARY FUNCTION thrice(x INT) RETURNS INT RETURN x * 3")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        own = own_session(spark)
+        assert own.conf.get("spark.sql.shuffle.partitions") == before
+        own.conf.set("spark.sql.shuffle.partitions", "3")
+        assert own.sql("SELECT thrice(2)").first()[0] == 6
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    finally:
+        spark.sql("DROP TEMPORARY FUNCTION thrice")
